@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tunelake.operators import views
 from tunelake.plans import jobs, oracle
+from tunelake.schema import ALL_COUNTRIES
 from tunelake.sources.fixtures import chart_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,44 @@ def clean_chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(chart_view(spark, sf_dir, _Q1_COLS))
 
 
+# --- serving views over the job results --------------------------------------
+
+def country_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.country_options(top_genre_by_country(spark, sf_dir))
+
+
+def country_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.headline(top_track_all_time(spark, sf_dir), oracle.FIXTURE_COUNTRY, "track_name")
+
+
+def country_slice_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.headline(top_genre_by_country(spark, sf_dir), ALL_COUNTRIES, "genre")
+
+
+def genre_artist_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = jobs.artist_genre_totals(chart_view(spark, sf_dir, _Q4_COLS),
+                                      oracle.FIXTURE_ARTIST_PREFIX)
+    return views.hierarchy_totals(totals)
+
+
+def genre_artist_totals_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.hierarchy_totals(top_artist_by_genre(spark, sf_dir))
+
+
+def feature_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.metric_long(feature_means_by_country(spark, sf_dir),
+                             ["avg_energy", "avg_danceability"])
+
+
+def feature_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.metric_labels(feature_means_by_country(spark, sf_dir),
+                               ["avg_energy", "avg_danceability"])
+
+
+def preview_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.preview(top_genre_by_country(spark, sf_dir), ["country", "genre"])
+
+
 QUERIES: dict[str, Query] = {
     "top_genre_by_country": top_genre_by_country,
     "top_track_all_time": top_track_all_time,
@@ -60,6 +100,14 @@ QUERIES: dict[str, Query] = {
     "feature_means_by_country": feature_means_by_country,
     "top3_genre_by_country": top3_genre_by_country,
     "clean_chart_rows": clean_chart_rows,
+    "country_selector": country_selector,
+    "country_slice": country_slice,
+    "country_slice_all": country_slice_all,
+    "genre_artist_totals": genre_artist_totals,
+    "genre_artist_totals_top1": genre_artist_totals_top1,
+    "feature_long": feature_long,
+    "feature_labels": feature_labels,   # no oracle: Java and DuckDB round halves differently
+    "preview_first5": preview_first5,
 }
 
 ORACLE: dict[str, str] = {
@@ -70,4 +118,11 @@ ORACLE: dict[str, str] = {
     "feature_means_by_country": oracle.q5(),
     "top3_genre_by_country": oracle.q3(n=3),
     "clean_chart_rows": oracle.clean_rows(),
+    "country_selector": oracle.country_selector(),
+    "country_slice": oracle.country_slice(),
+    "country_slice_all": oracle.country_slice_all(),
+    "genre_artist_totals": oracle.genre_artist_totals(),
+    "genre_artist_totals_top1": oracle.genre_artist_totals_top1(),
+    "feature_long": oracle.feature_long(),
+    "preview_first5": oracle.preview_first5(),
 }

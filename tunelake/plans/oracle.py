@@ -90,43 +90,115 @@ def _top(rows: str, keys: list[str], part: list[str], n: int = 1) -> str:
 ) r WHERE rn <= {n}"""
 
 
-def with_chart(*ctes: str, body: str) -> str:
-    return "WITH " + ",\n".join((CHART_CTE,) + ctes) + "\n" + body
+def sql(ctes: list[str], body: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def q1_ctes(n: int = 1) -> list[str]:
+    return [CHART_CTE, Q1_ROWS,
+            f"q1 AS ({_top('q1_rows', ['country', 'track_name', 'uri'], ['country'], n)})"]
+
+
+def q2_ctes(year: str = FIXTURE_YEAR) -> list[str]:
+    return [CHART_CTE, Q2_ROWS.format(year=year),
+            f"q2 AS ({_top('q2_rows', ['country', 'track_name'], ['country'])})"]
+
+
+def q3_ctes(n: int = 1) -> list[str]:
+    return [CHART_CTE, Q3_ROWS, f"q3 AS ({_top('q3_rows', ['country', 'genre'], ['country'], n)})"]
+
+
+def q4_ctes(prefix: str = FIXTURE_ARTIST_PREFIX) -> list[str]:
+    return [CHART_CTE, Q4_ROWS.format(prefix=prefix),
+            """q4_totals AS (
+  SELECT genre, artist, artist_id, CAST(SUM(streams) AS BIGINT) AS total_streams
+  FROM q4_rows GROUP BY genre, artist, artist_id
+)""",
+            f"q4 AS ({_top('q4_rows', ['genre', 'artist', 'artist_id'], ['genre'])})"]
+
+
+def q5_ctes() -> list[str]:
+    return [CHART_CTE, Q5_ROWS, """q5 AS (
+  SELECT country,
+         round(avg(danceability), 6) AS avg_danceability,
+         round(avg(energy), 6) AS avg_energy
+  FROM q5_rows GROUP BY country
+)"""]
 
 
 def q1(n: int = 1) -> str:
-    return with_chart(Q1_ROWS, body=_top("q1_rows", ["country", "track_name", "uri"], ["country"], n))
+    return sql(q1_ctes(n), "SELECT * FROM q1")
 
 
 def q2(year: str = FIXTURE_YEAR) -> str:
-    return with_chart(Q2_ROWS.format(year=year),
-                      body=_top("q2_rows", ["country", "track_name"], ["country"]))
+    return sql(q2_ctes(year), "SELECT * FROM q2")
 
 
 def q3(n: int = 1) -> str:
-    return with_chart(Q3_ROWS, body=_top("q3_rows", ["country", "genre"], ["country"], n))
+    return sql(q3_ctes(n), "SELECT * FROM q3")
 
 
 def q4(prefix: str = FIXTURE_ARTIST_PREFIX) -> str:
-    return with_chart(Q4_ROWS.format(prefix=prefix),
-                      body=_top("q4_rows", ["genre", "artist", "artist_id"], ["genre"]))
+    return sql(q4_ctes(prefix), "SELECT * FROM q4")
 
 
 def q5() -> str:
-    return with_chart(Q5_ROWS, body="""SELECT country,
-  round(avg(danceability), 6) AS avg_danceability,
-  round(avg(energy), 6) AS avg_energy
-FROM q5_rows GROUP BY country""")
+    return sql(q5_ctes(), "SELECT * FROM q5")
 
 
 def clean_rows() -> str:
-    return with_chart(Q1_ROWS, body="SELECT country, track_name, uri, streams FROM q1_rows")
+    return sql([CHART_CTE, Q1_ROWS], "SELECT country, track_name, uri, streams FROM q1_rows")
 
 
-def q4_totals(prefix: str = FIXTURE_ARTIST_PREFIX) -> str:
-    return f"""{CHART_CTE.join(["WITH ", ""])},
-{Q4_ROWS.format(prefix=prefix)},
-q4_totals AS (
-  SELECT genre, artist, artist_id, CAST(SUM(streams) AS BIGINT) AS total_streams
-  FROM q4_rows GROUP BY genre, artist, artist_id
-)"""
+# --- serving views -----------------------------------------------------------
+
+FIXTURE_COUNTRY = "NATION_7"
+ALL_LABEL = "All Countries"
+
+
+def country_selector() -> str:
+    return sql(q3_ctes(), f"""SELECT 0 AS ord, '{ALL_LABEL}' AS country
+UNION ALL
+SELECT DISTINCT 1 AS ord, country FROM q3 WHERE country IS NOT NULL""")
+
+
+def _label(col: str) -> str:
+    return f"format('{{:,}}', {col}) || ' streams'"
+
+
+def country_slice(country: str = FIXTURE_COUNTRY) -> str:
+    return sql(q1_ctes(), f"""SELECT country, track_name, total_streams,
+       {_label('total_streams')} AS label
+FROM q1 WHERE country = '{country}'
+ORDER BY total_streams DESC NULLS LAST, track_name ASC NULLS FIRST LIMIT 1""")
+
+
+def country_slice_all() -> str:
+    return sql(q3_ctes(), f"""SELECT country, genre, total_streams,
+       {_label('total_streams')} AS label FROM q3""")
+
+
+def _rollup(src: str) -> str:
+    return f"""SELECT genre, artist, CAST(SUM(total_streams) AS BIGINT) AS total_streams,
+       GROUPING(genre, artist) AS gid
+FROM {src} GROUP BY ROLLUP (genre, artist)
+HAVING GROUPING(genre, artist) <> 3"""
+
+
+def genre_artist_totals() -> str:
+    return sql(q4_ctes(), _rollup("q4_totals"))
+
+
+def genre_artist_totals_top1() -> str:
+    return sql(q4_ctes(), _rollup("q4"))
+
+
+def feature_long() -> str:
+    return sql(q5_ctes(), """SELECT country, 'avg_energy' AS metric, avg_energy AS value FROM q5
+UNION ALL
+SELECT country, 'avg_danceability' AS metric, avg_danceability AS value FROM q5""")
+
+
+def preview_first5() -> str:
+    return sql(q3_ctes(), """SELECT * FROM q3
+ORDER BY country ASC NULLS FIRST, genre ASC NULLS FIRST LIMIT 5""")
