@@ -110,6 +110,10 @@ QUERIES: dict[str, Query] = {
     "preview_first5": preview_first5,
 }
 
+from tunelake.plans import roundtrips  # noqa: E402
+
+QUERIES.update(roundtrips.QUERIES)
+
 ORACLE: dict[str, str] = {
     "top_genre_by_country": oracle.q3(),
     "top_track_all_time": oracle.q1(),
@@ -126,3 +130,5 @@ ORACLE: dict[str, str] = {
     "feature_long": oracle.feature_long(),
     "preview_first5": oracle.preview_first5(),
 }
+
+ORACLE.update(roundtrips.ORACLE)

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.schema import CHART_COLUMNS
@@ -108,3 +108,91 @@ def chart_view(spark: SparkSession, sf_dir: str,
         df = join(df, supplier, "l_suppkey", "s_suppkey")
     exprs = _chart_exprs()
     return df.select(*[exprs[c].alias(c) for c in columns])
+
+
+# --- chart documents (S7 input) ----------------------------------------------
+
+def chart_documents(spark: SparkSession, sf_dir: str, entries: int = 50) -> DataFrame:
+    """One nested chart document per order date (FIXTURES.md §4, one per day).
+
+    Entry ``k`` of a day is its ``k``-th most expensive order (ties by order
+    key); the track name is ``order:<key>`` and the artists are the suppliers
+    of its lines in line order. A second, empty chart follows the real one in
+    every document. Every collected list is bounded: at most ``entries``
+    entries per document and one artist per line of one order.
+    """
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    w = Window.partitionBy("day").orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
+    top = (orders.withColumn("rank", F.row_number().over(w))
+                 .filter(F.col("rank") <= entries)
+                 .select("o_orderkey", "day", "rank"))
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    named = lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+    with_lines = top.join(named, top.o_orderkey == named.l_orderkey, "left")
+    artist = F.struct("l_linenumber", "l_suppkey", F.col("s_name").alias("name"))
+    per_order = (with_lines.groupBy("day", "rank", "o_orderkey")
+                 .agg(F.array_sort(F.collect_list(
+                     F.when(F.col("s_name").isNotNull(), artist))).alias("a")))
+    entry = F.struct(
+        F.col("rank").alias("pos"),
+        F.struct(F.col("rank").cast("bigint").alias("currentRank")).alias("chartEntryData"),
+        F.struct(
+            F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("trackName"),
+            F.transform("a", lambda x: F.struct(x["name"].alias("name"))).alias("artists"),
+        ).alias("trackMetadata"),
+    )
+    per_day = per_order.groupBy("day").agg(F.array_sort(F.collect_list(entry)).alias("es"))
+    empty = F.array().cast("array<struct<chartEntryData:struct<currentRank:bigint>,"
+                           "trackMetadata:struct<trackName:string,"
+                           "artists:array<struct<name:string>>>>>")
+    real = F.transform("es", lambda e: e.dropFields("pos"))
+    return per_day.select(
+        F.col("day").cast("string").alias("chartDate"),
+        F.array(F.struct(real.alias("entries")), F.struct(empty.alias("entries")))
+         .alias("chartEntryViewResponses"))
+
+
+# --- event fixtures (S2, S5, T*) ---------------------------------------------
+
+def _ts_text(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def event_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events under the simulator's source column names (typed where numeric)."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.get_json_object("props", "$.k").alias("track_id"),
+        _ts_text(F.col("ts")).alias("created_at"),
+        F.col("event_type").alias("tweet_language"),
+        F.col("value").alias("energy"),
+    )
+
+
+def event_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines of the event source with injected bad lines (for S2).
+
+    ``event_id % 89 = 0``: short line (only the first five fields);
+    ``event_id % 97 = 0`` (and not short): one surplus field. Returns
+    ``(line,)``; the header is the list of source column names.
+    """
+    from tunelake.schema import EVENT_SOURCE_RENAMES
+    src = event_source_rows(spark, sf_dir).withColumn(
+        "energy", F.format_string("%.2f", F.col("energy")))
+    have = set(src.columns)
+    fields = [F.coalesce(F.col(s), F.lit("")) if s in have else F.lit("")
+              for s, _ in EVENT_SOURCE_RENAMES]
+    eid = F.col("id").cast("bigint")
+    line = (F.when(eid % 89 == 0, F.concat_ws(",", *fields[:5]))
+             .when(eid % 97 == 0, F.concat_ws(",", *fields, F.lit("x")))
+             .otherwise(F.concat_ws(",", *fields)))
+    return src.select(line.alias("line"))
+
+
+def event_source_header() -> str:
+    from tunelake.schema import EVENT_SOURCE_RENAMES
+    return ",".join(s for s, _ in EVENT_SOURCE_RENAMES)
