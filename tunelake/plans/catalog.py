@@ -110,9 +110,10 @@ QUERIES: dict[str, Query] = {
     "preview_first5": preview_first5,
 }
 
-from tunelake.plans import roundtrips  # noqa: E402
+from tunelake.plans import roundtrips, streams  # noqa: E402
 
 QUERIES.update(roundtrips.QUERIES)
+QUERIES.update(streams.QUERIES)
 
 ORACLE: dict[str, str] = {
     "top_genre_by_country": oracle.q3(),
@@ -132,3 +133,4 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE.update(roundtrips.ORACLE)
+ORACLE.update(streams.ORACLE)
