@@ -26,6 +26,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # runtime join choice, both size-checked by AQE from shuffle statistics:
+        # broadcast a side only below 4 MB; turn a sort-merge join into a
+        # shuffled hash join only when every partition's build side is < 64 MB
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "4MB")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
