@@ -92,6 +92,16 @@ def preview_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.preview(top_genre_by_country(spark, sf_dir), ["country", "genre"])
 
 
+def refresh_result_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q5 + K1 from one staged scan of the chart rows; summary of what was published."""
+    from tunelake.plans.refresh import published_summary, refresh_results
+    from tunelake.session import scratch_path
+    root = scratch_path(spark, "results")
+    refresh_results(chart_view(spark, sf_dir), root, oracle.FIXTURE_YEAR,
+                    oracle.FIXTURE_ARTIST_PREFIX)
+    return published_summary(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "top_genre_by_country": top_genre_by_country,
     "top_track_all_time": top_track_all_time,
@@ -108,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "feature_long": feature_long,
     "feature_labels": feature_labels,   # no oracle: Java and DuckDB round halves differently
     "preview_first5": preview_first5,
+    "refresh_result_tables": refresh_result_tables,
 }
 
 from tunelake.plans import roundtrips, streams  # noqa: E402
@@ -130,6 +141,7 @@ ORACLE: dict[str, str] = {
     "genre_artist_totals_top1": oracle.genre_artist_totals_top1(),
     "feature_long": oracle.feature_long(),
     "preview_first5": oracle.preview_first5(),
+    "refresh_result_tables": oracle.refresh_summary(),
 }
 
 ORACLE.update(roundtrips.ORACLE)

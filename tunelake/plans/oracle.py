@@ -202,3 +202,16 @@ SELECT country, 'avg_danceability' AS metric, avg_danceability AS value FROM q5"
 def preview_first5() -> str:
     return sql(q3_ctes(), """SELECT * FROM q3
 ORDER BY country ASC NULLS FIRST, genre ASC NULLS FIRST LIMIT 5""")
+
+
+def refresh_summary() -> str:
+    ctes = [CHART_CTE, Q1_ROWS, Q2_ROWS.format(year=FIXTURE_YEAR), Q3_ROWS,
+            Q4_ROWS.format(prefix=FIXTURE_ARTIST_PREFIX), Q5_ROWS,
+            q1_ctes()[-1], q2_ctes()[-1], q3_ctes()[-1], q4_ctes()[-1], q5_ctes()[-1]]
+    parts = [f"SELECT '{name}' AS table_name, COUNT(*) AS n, "
+             f"CAST(SUM(total_streams) AS BIGINT) AS total FROM {q}"
+             for name, q in (("top_songs_all_time", "q1"), ("top_song_2020", "q2"),
+                             ("top_genre_all_time", "q3"), ("top_artist_per_genre", "q4"))]
+    parts.append("SELECT 'energy_per_country' AS table_name, COUNT(*) AS n, "
+                 "CAST(NULL AS BIGINT) AS total FROM q5")
+    return sql(ctes, "\nUNION ALL\n".join(parts))

@@ -115,3 +115,13 @@ def now_playing_rows(events: DataFrame, indexed: DataFrame, n: int,
         F.col("track_name").alias("track name"),
         time_of_day(ts).alias("timestamp"),
     )
+
+
+def latest(df: DataFrame, order: list[str], cols: list[str]) -> DataFrame:
+    """T7 "now playing": the row that is last in ``order`` (one-row result).
+
+    ``max_by`` is an ordinary aggregate with a map-side partial step, so no
+    task ever holds more than one candidate row per input partition.
+    """
+    pick = F.max_by(F.struct(*cols), F.struct(*order)).alias("r")
+    return df.agg(pick).select("r.*")
