@@ -28,8 +28,12 @@ def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
     if replace not in ("days", "all"):
         raise ValueError("replace must be 'days' or 'all'")
     label = F.date_format(F.lit(day) if not hasattr(day, "_jc") else day, EXPORT_DATE_FORMAT)
+    # the partition count is pinned to the session's shuffle partitions: AQE
+    # would otherwise coalesce this small shuffle into one task that writes
+    # every day's file in sequence; empty partitions write no files
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(partition_col, label).drop(*drop)
-       .repartition(partition_col)
+       .repartition(parts, partition_col)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
        .option("header", True)
