@@ -59,3 +59,21 @@ def test_flatten_first_chart_and_missing_artists(spark):
     second = [tuple(r) for r in flatten_chart(docs, chart_index=1, keep=()).collect()]
     assert second == [(9, "", "Z")]
     assert flatten_chart(docs, chart_index=5, keep=()).count() == 0
+
+
+def test_dashboard_dispatch(spark):
+    from tunelake.operators.views import dashboard_view, has_rows
+    from tunelake import schema as S
+    tables = {
+        S.TOP_SONGS_ALL_TIME: spark.createDataFrame([("FR", "t", "u", 9)], S.RESULT_SCHEMAS[S.TOP_SONGS_ALL_TIME]),
+        S.TOP_GENRE_ALL_TIME: spark.createDataFrame([("FR", "pop", 9)], S.RESULT_SCHEMAS[S.TOP_GENRE_ALL_TIME]),
+        S.TOP_ARTIST_PER_GENRE: spark.createDataFrame([("pop", "a", "id", 9)], S.RESULT_SCHEMAS[S.TOP_ARTIST_PER_GENRE]),
+        S.ENERGY_PER_COUNTRY: spark.createDataFrame([("FR", 0.5, 0.25)], S.RESULT_SCHEMAS[S.ENERGY_PER_COUNTRY]),
+        S.DAILY_CHARTS: spark.createDataFrame([(2, "b", "B"), (1, "a", "A")], S.RESULT_SCHEMAS[S.DAILY_CHARTS]),
+    }
+    assert dashboard_view("Top Songs", tables, "FR").collect()[0].label == "9 streams"
+    assert dashboard_view("Top Genre", tables, "DE").count() == 0
+    assert dashboard_view("Top Artists", tables).count() == 2
+    assert [tuple(r) for r in dashboard_view("Energy Map", tables, "FR").collect()] == [("FR", "0.25", "0.50")]
+    assert [r.Rank for r in dashboard_view("Trending Now", tables).collect()] == [1, 2]
+    assert has_rows(tables[S.DAILY_CHARTS]) and not has_rows(tables[S.DAILY_CHARTS].limit(0))

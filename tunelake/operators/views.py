@@ -85,3 +85,47 @@ def metric_labels(df: DataFrame, metrics: Sequence[str], key: str = "country") -
 def preview(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
     """First ``n`` rows in key order (a top-k, so the limit is the feature)."""
     return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """F8: emptiness test that stays in the DataFrame API (a limit-1 probe)."""
+    return not df.isEmpty()
+
+
+def energy_view(df: DataFrame, country: str | None,
+                metric: str = "avg_energy") -> DataFrame:
+    """Q12: all countries -> (country, value) of the chosen metric; one country
+    -> its two-decimal labels."""
+    if country is None or country == ALL_COUNTRIES:
+        return metric_pick(df, metric)
+    return metric_labels(country_slice(df, country), ["avg_energy", "avg_danceability"])
+
+
+# --- Q15: view name -> view over the published result tables ----------------
+
+VIEW_NAMES = ("Top Songs", "Top Artists", "Top Genre", "Energy Map", "Trending Now")
+
+
+def dashboard_view(name: str, tables: dict[str, DataFrame], country: str | None = None,
+                   metric: str = "avg_energy") -> DataFrame:
+    """Dispatch a view name to its DataFrame.
+
+    ``tables`` maps catalog names (``tunelake.schema``) to result frames, e.g.
+    ``{n: read_published(spark, root, n) for n in ...}``.
+    """
+    from tunelake.operators.daily import sorted_by_rank
+    from tunelake.schema import (
+        DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
+        TOP_SONGS_ALL_TIME,
+    )
+    if name == "Top Songs":
+        return headline(tables[TOP_SONGS_ALL_TIME], country, "track_name")
+    if name == "Top Artists":
+        return hierarchy_totals(tables[TOP_ARTIST_PER_GENRE])
+    if name == "Top Genre":
+        return headline(tables[TOP_GENRE_ALL_TIME], country, "genre")
+    if name == "Energy Map":
+        return energy_view(tables[ENERGY_PER_COUNTRY], country, metric)
+    if name == "Trending Now":
+        return sorted_by_rank(tables[DAILY_CHARTS])
+    raise ValueError(f"unknown view {name!r}; expected one of {VIEW_NAMES}")

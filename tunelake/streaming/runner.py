@@ -13,8 +13,10 @@ Design
   every event exactly once even when executors or the driver die mid-batch.
   Errors are not swallowed: a failing write fails the query, which then
   restarts from the checkpoint.
-* One action per epoch: the batch is decoded, stamped and written in a single
-  job; the row count comes from ``observe`` (no extra pass, no driver collect).
+* One action per epoch in the enrich job: the batch is decoded, stamped and
+  written in a single job; the row count comes from ``observe`` (no extra
+  pass, no driver collect). The generic appender can probe for an empty epoch
+  (F8, a limit-1 job) to avoid writing empty folders.
 """
 
 from __future__ import annotations
@@ -61,9 +63,15 @@ def epoch_path(sink: str, epoch_id: int) -> str:
 
 
 def epoch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame],
-                 fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """K5/K6: ``foreachBatch`` callback writing ``transform(batch)`` idempotently."""
+                 fmt: str = "parquet", skip_empty: bool = True) -> Callable[[DataFrame, int], None]:
+    """K5/K6: ``foreachBatch`` callback writing ``transform(batch)`` idempotently.
+
+    ``skip_empty`` (F8) probes the batch with a limit-1 job and writes nothing
+    for an empty epoch.
+    """
     def write(batch: DataFrame, epoch_id: int) -> None:
+        if skip_empty and batch.isEmpty():
+            return
         out = transform(batch, epoch_id)
         out.write.mode("overwrite").format(fmt).save(epoch_path(sink, epoch_id))
     return write
@@ -107,7 +115,9 @@ def start_enrich(stream: DataFrame, sink: str, checkpoint: str,
             write_kafka(values(batch, epoch_id), servers, topic)
         fn = publish
     else:
-        fn = epoch_writer(sink, values, fmt="text")
+        # one action per epoch: no emptiness probe (Spark does not run empty
+        # micro-batches for a stateless query), so `observe` counts the write
+        fn = epoch_writer(sink, values, fmt="text", skip_empty=False)
     q = (decoded.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     return _trigger(q, trigger).start()
