@@ -116,7 +116,7 @@ QUERIES: dict[str, Query] = {
     "genre_artist_totals": genre_artist_totals,
     "genre_artist_totals_top1": genre_artist_totals_top1,
     "feature_long": feature_long,
-    "feature_labels": feature_labels,   # no oracle: Java and DuckDB round halves differently
+    "feature_labels": feature_labels,
     "preview_first5": preview_first5,
     "refresh_result_tables": refresh_result_tables,
 }
@@ -140,6 +140,7 @@ ORACLE: dict[str, str] = {
     "genre_artist_totals": oracle.genre_artist_totals(),
     "genre_artist_totals_top1": oracle.genre_artist_totals_top1(),
     "feature_long": oracle.feature_long(),
+    "feature_labels": oracle.feature_labels(),
     "preview_first5": oracle.preview_first5(),
     "refresh_result_tables": oracle.refresh_summary(),
 }

@@ -199,6 +199,20 @@ UNION ALL
 SELECT country, 'avg_danceability' AS metric, avg_danceability AS value FROM q5""")
 
 
+def _two_decimals(col: str) -> str:
+    """X16 as Java prints it: the shortest decimal text of the double, rounded
+    half up to two places (DuckDB's own ``printf`` rounds the binary value)."""
+    return (f"CAST(CAST(round(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,12)), 2) "
+            f"AS DECIMAL(38,2)) AS VARCHAR)")
+
+
+def feature_labels() -> str:
+    return sql(q5_ctes(), f"""SELECT country,
+  {_two_decimals('avg_energy')} AS avg_energy_label,
+  {_two_decimals('avg_danceability')} AS avg_danceability_label
+FROM q5""")
+
+
 def preview_first5() -> str:
     return sql(q3_ctes(), """SELECT * FROM q3
 ORDER BY country ASC NULLS FIRST, genre ASC NULLS FIRST LIMIT 5""")
