@@ -33,3 +33,13 @@ def flatten_chart(docs: DataFrame, chart_index: int = 0,
 def sorted_by_rank(df: DataFrame) -> DataFrame:
     """O2: ascending rank (a distributed range sort)."""
     return df.orderBy(F.col("Rank").asc_nulls_first())
+
+
+def newest_chart(flat: DataFrame, date_col: str = "chartDate") -> DataFrame:
+    """Q6: the rows of the newest chart only (what replaces ``daily_charts``).
+
+    The newest date is a scalar subquery (one aggregate with a map-side partial
+    ``max``) used as a filter value: no driver collect and no join.
+    """
+    newest = flat.agg(F.max(date_col)).scalar()
+    return flat.filter(F.col(date_col) == newest)

@@ -121,10 +121,11 @@ QUERIES: dict[str, Query] = {
     "refresh_result_tables": refresh_result_tables,
 }
 
-from tunelake.plans import roundtrips, streams  # noqa: E402
+from tunelake.plans import dashboard, roundtrips, streams  # noqa: E402
 
 QUERIES.update(roundtrips.QUERIES)
 QUERIES.update(streams.QUERIES)
+QUERIES.update(dashboard.QUERIES)
 
 ORACLE: dict[str, str] = {
     "top_genre_by_country": oracle.q3(),
@@ -147,3 +148,4 @@ ORACLE: dict[str, str] = {
 
 ORACLE.update(roundtrips.ORACLE)
 ORACLE.update(streams.ORACLE)
+ORACLE.update(dashboard.ORACLE)

@@ -206,11 +206,12 @@ def _two_decimals(col: str) -> str:
             f"AS DECIMAL(38,2)) AS VARCHAR)")
 
 
-def feature_labels() -> str:
+def feature_labels(country: str | None = None) -> str:
+    where = f"\nWHERE country = '{country}'" if country is not None else ""
     return sql(q5_ctes(), f"""SELECT country,
   {_two_decimals('avg_energy')} AS avg_energy_label,
   {_two_decimals('avg_danceability')} AS avg_danceability_label
-FROM q5""")
+FROM q5{where}""")
 
 
 def preview_first5() -> str:

@@ -21,8 +21,10 @@ from tunelake.session import checkpoint_root, scratch_path
 from tunelake.sinks.export import write_messages
 from tunelake.sources.fixtures import event_source_rows, read_table
 from tunelake.streaming.events import (
-    decode_events, encode_events, index_lookup, now_playing_rows, rename_source_columns,
+    decode_events, encode_events, index_lookup, latest, now_playing_rows,
+    rename_source_columns,
 )
+from tunelake.functions.format import with_default
 from tunelake.streaming.runner import (
     read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich,
 )
@@ -155,6 +157,18 @@ def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("timestamp").rlike(r"^\d{2}:\d{2}:\d{2}$").alias("time_ok"))
 
 
+def now_playing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13 "now playing" (T7 X12): the newest event of the result topic.
+
+    Newest = largest ``created_at``, ties by the larger event id; ``max_by``
+    reduces every task to one candidate row before the single final merge.
+    """
+    res = read_result_topic(spark, run_enrich(spark, sf_dir))
+    ordered = res.withColumn("_eid", F.col("event_id").cast("bigint"))
+    picked = latest(ordered, ["created_at", "_eid"], ["event_id", "track_id", "created_at"])
+    return picked.select("event_id", with_default("track_id").alias("track ID"), "created_at")
+
+
 QUERIES = {
     "event_encode_fields": event_encode_fields,
     "event_decode_stream": event_decode_stream,
@@ -163,6 +177,7 @@ QUERIES = {
     "event_enrich_stream": event_enrich_stream,
     "event_append_epochs": event_append_epochs,
     "now_playing_feed": now_playing_feed,
+    "now_playing_latest": now_playing_latest,
 }
 
 
@@ -198,6 +213,10 @@ _BAD = "(event_id % 53 = 0 OR event_id % 59 = 0 OR event_id % 61 = 0 OR event_id
 _ENERGY_BAD = "event_id % 71 = 0"
 
 ORACLE = {
+    "now_playing_latest": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+  coalesce(json_extract_string(props, '$.k'), 'Unknown Track') AS "track ID",
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at
+FROM events ORDER BY ts DESC, event_id DESC LIMIT 1""",
     "event_encode_fields": f"SELECT\n  {_event_fields()}\nFROM events",
     "event_decode_stream": f"SELECT\n  {_event_fields()}\nFROM events",
     "event_decode_dirty_keep": f"SELECT\n  {_event_fields(_BAD, _ENERGY_BAD)}\nFROM events",
