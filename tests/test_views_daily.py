@@ -77,3 +77,25 @@ def test_dashboard_dispatch(spark):
     assert [tuple(r) for r in dashboard_view("Energy Map", tables, "FR").collect()] == [("FR", "0.25", "0.50")]
     assert [r.Rank for r in dashboard_view("Trending Now", tables).collect()] == [1, 2]
     assert has_rows(tables[S.DAILY_CHARTS]) and not has_rows(tables[S.DAILY_CHARTS].limit(0))
+
+
+def test_dated_export_spreads_a_hot_day_and_keeps_every_row(spark, tmp_path):
+    import glob
+    from pyspark.sql import functions as F
+    from tunelake.sinks.export import export_dated_csv
+    rows = [("2024-01-02" if i % 3 else "2024-01-03", i, f"a{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "d string, Rank bigint, Artist string")
+    root = str(tmp_path / "hist")
+    export_dated_csv(df, root, F.to_date("d"), drop=("d",), replace="all", files_per_day=4)
+    back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
+    assert sorted((r.dt, r.Rank) for r in back.collect()) == sorted(
+        ("02-01-2024" if i % 3 else "03-01-2024", i) for i in range(300))
+    assert len(glob.glob(f"{root}/dt=02-01-2024/*.csv")) > 1
+
+
+def test_lookup_scan_drops_nulls_and_keeps_duplicates(spark, tmp_path):
+    from tunelake.sources.charts import read_lookup
+    path = str(tmp_path / "lookup")
+    spark.createDataFrame([("a", 1), (None, 2), ("a", 3), ("b", 4)], "track_name string, n int") \
+         .write.option("header", True).csv(path)
+    assert sorted(r.track_name for r in read_lookup(spark, path).collect()) == ["a", "a", "b"]

@@ -9,7 +9,8 @@ from tunelake.functions.format import EXPORT_DATE_FORMAT
 
 
 def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
-                     drop: tuple[str, ...] = (), replace: str = "days") -> str:
+                     drop: tuple[str, ...] = (), replace: str = "days",
+                     files_per_day: int = 1) -> str:
     """K2: write ``df`` as CSV with a header under ``<root>/<partition_col>=<dd-MM-yyyy>``.
 
     ``day`` is a ``datetime.date``/``datetime`` or a date column expression
@@ -24,16 +25,27 @@ def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
     ``replace="days"`` (default) swaps only the days present in ``df``;
     ``replace="all"`` rewrites the whole history in one commit (a backfill),
     which avoids the per-partition commit work of dynamic overwrite.
+
+    ``files_per_day`` > 1 splits every day over that many tasks (and files)
+    by a hash of the whole row, for exports whose days are not bounded: a day
+    holding a third of all rows is then written by ``files_per_day`` tasks,
+    not one. The hash is deterministic, so a retried task rebuilds exactly
+    the rows it had.
     """
     if replace not in ("days", "all"):
         raise ValueError("replace must be 'days' or 'all'")
+    if files_per_day < 1:
+        raise ValueError("files_per_day must be >= 1")
     label = F.date_format(F.lit(day) if not hasattr(day, "_jc") else day, EXPORT_DATE_FORMAT)
     # the partition count is pinned to the session's shuffle partitions: AQE
     # would otherwise coalesce this small shuffle into one task that writes
     # every day's file in sequence; empty partitions write no files
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.withColumn(partition_col, label).drop(*drop)
-       .repartition(parts, partition_col)
+    out = df.withColumn(partition_col, label).drop(*drop)
+    keys = [F.col(partition_col)]
+    if files_per_day > 1:
+        keys.append(F.pmod(F.xxhash64(*out.columns), F.lit(files_per_day)))
+    (out.repartition(max(parts, files_per_day), *keys)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
        .option("header", True)
