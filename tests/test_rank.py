@@ -67,3 +67,24 @@ def test_plan_uses_partial_window_group_limit(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_large_n_uses_exact_salted_two_step(spark):
+    """n above the partial-limit threshold: same rows as the plain window."""
+    from pyspark.sql import functions as F
+    from tunelake.operators.rank import top_n
+    base = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 7).cast("string"))
+         .alias("country"),
+        (F.col("id") * 7919 % 1000).cast("string").alias("genre"),
+        (F.col("id") % 13).alias("total_streams"))
+    plain = {tuple(r) for r in top_n(base, ["country"], "total_streams", ["genre"], 50).collect()}
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        two_step = top_n(base, ["country"], "total_streams", ["genre"], 50)
+        plan = two_step._jdf.queryExecution().optimizedPlan().toString()
+        got = {tuple(r) for r in two_step.collect()}
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert "_salt" in plan
+    assert got == plain and len(got) == 8 * 50

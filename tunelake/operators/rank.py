@@ -22,19 +22,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_rank"
+_SALT = "_salt"
+_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def ranking_order(measure: str, tie_keys: Sequence[str]) -> list[Column]:
     return [F.col(measure).desc_nulls_last()] + [F.col(k).asc_nulls_first() for k in tie_keys]
 
 
+def _first_n(df: DataFrame, partition: Sequence[Column | str], order: list[Column],
+             n: int) -> DataFrame:
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) <= n).drop(_RANK)
+
+
 def top_n(df: DataFrame, partition: Sequence[str], measure: str,
           tie_keys: Sequence[str], n: int = 1) -> DataFrame:
-    """Keep the first ``n`` rows of every ``partition`` group (W1 + F6 + P5)."""
-    w = Window.partitionBy(*partition).orderBy(*ranking_order(measure, tie_keys))
-    return (df.withColumn(_RANK, F.row_number().over(w))
-              .filter(F.col(_RANK) <= n)
-              .drop(_RANK))
+    """Keep the first ``n`` rows of every ``partition`` group (W1 + F6 + P5).
+
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000)
+    Catalyst adds a partial per-task limit before the shuffle. Above it, the
+    rows of a partition are first cut to ``n`` within each of ``S`` hash
+    buckets of the tie keys (``S`` = shuffle partitions), then to ``n``
+    overall: exact, because the order is total and every member of the
+    overall top ``n`` is in the top ``n`` of its bucket; a hot partition key
+    is spread over ``S`` tasks and the second step sees at most ``n x S`` rows.
+    """
+    order = ranking_order(measure, tie_keys)
+    spark = df.sparkSession
+    limit = int(spark.conf.get(_LIMIT_CONF, "1000"))
+    if n <= limit or not tie_keys:
+        return _first_n(df, partition, order, n)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*tie_keys), F.lit(buckets)))
+    per_bucket = _first_n(salted, [*partition, _SALT], order, n).drop(_SALT)
+    return _first_n(per_bucket, partition, order, n)
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], value: str,
