@@ -32,17 +32,26 @@ from tunelake.streaming.runner import (
 TOPIC_FILES = 4
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q7 (P7 X7): events as JSON message values, keyed by user."""
-    src = event_source_rows(spark, sf_dir)
-    return encode_events(rename_source_columns(src))
+def event_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Q7 (P7 X7): events as JSON message values.
+
+    With ``partitions``, the renamed rows are hash-partitioned by user first
+    (a keyed topic: one user's events stay in one partition, in order), so the
+    encoding runs in every partition instead of after the shuffle, and the key
+    is read from its column rather than parsed back out of the JSON.
+    """
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
+    if partitions:
+        rows = rows.repartition(partitions, "user_id")
+    return encode_events(rows)
 
 
 def produce_topic(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> str:
-    """K7: write the messages to a new topic folder (one file per topic partition)."""
+    """K7: write the messages to a new topic folder, one file per topic
+    partition (default: the events keyed by user, ``TOPIC_FILES`` partitions)."""
     topic = scratch_path(spark, "topic")
-    msgs = messages if messages is not None else event_messages(spark, sf_dir)
-    write_messages(msgs.repartition(TOPIC_FILES, F.get_json_object("value", "$.user_id")), topic)
+    msgs = messages if messages is not None else event_messages(spark, sf_dir, TOPIC_FILES)
+    write_messages(msgs, topic)
     return topic
 
 
@@ -55,13 +64,13 @@ def event_decode_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 (folder) T1 T2: stream decode into an append-only parquet sink."""
     topic = produce_topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "decoded"), scratch_path(spark, "ckpt")
-    run_to_end(start_decode(read_topic(spark, topic, max_per_trigger=1), sink, ckpt))
+    run_to_end(start_decode(read_topic(spark, topic, max_per_trigger=2), sink, ckpt))
     return spark.read.schema(EVENT_SCHEMA).parquet(sink)
 
 
 def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with malformed lines injected by key arithmetic."""
-    msgs = event_messages(spark, sf_dir).withColumn(
+    msgs = event_messages(spark, sf_dir, TOPIC_FILES).withColumn(
         "_id", F.get_json_object("value", "$.event_id").cast("bigint"))
     v, i = F.col("value"), F.col("_id")
     dirty = (F.when(i % 53 == 0, F.expr("substring(value, 1, length(value) - 1)"))  # broken
@@ -121,14 +130,13 @@ def event_append_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: events arrive in two waves; the stream is restarted on the same
     checkpoint after each wave and once more with nothing new. The sink must
     hold every event exactly once."""
-    msgs = event_messages(spark, sf_dir).withColumn(
+    msgs = event_messages(spark, sf_dir, TOPIC_FILES).withColumn(
         "_wave", F.get_json_object("value", "$.event_id").cast("bigint") % 2)
     topic = scratch_path(spark, "topic")
     sink, ckpt = scratch_path(spark, "appended"), scratch_path(spark, "ckpt")
     for wave in (0, 1, None):
         if wave is not None:
-            write_messages(msgs.filter(F.col("_wave") == wave).select("value")
-                               .repartition(TOPIC_FILES), topic)
+            write_messages(msgs.filter(F.col("_wave") == wave).select("value"), topic)
         run_to_end(start_append(read_topic(spark, topic, max_per_trigger=2), sink, ckpt,
                                 lambda b: decode_events(b)))
     return read_epochs(spark, sink)
