@@ -38,9 +38,15 @@ def streams_label(c: str | Column) -> Column:
 
 
 def two_decimals(c: str | Column) -> Column:
-    """Two-decimal text. Java rounds HALF_UP (0.125 -> 0.13) where
-    Python's ``:.2f`` rounds the binary value (0.125 -> 0.12)."""
-    return F.format_string("%.2f", _c(c))
+    """Two-decimal text as Python's ``f"{x:.2f}"`` prints it.
+
+    Python rounds the exact binary value (ties of exact halves to even:
+    0.125 -> ``0.12``, 2.675 -> ``2.67``). ``format_number`` does the same
+    (``DecimalFormat``, HALF_EVEN on the exact value); its grouping commas are
+    removed. Java's ``format_string("%.2f")`` would differ on such values
+    (``0.13``, ``2.68``): it rounds the shortest decimal text half up.
+    """
+    return F.regexp_replace(F.format_number(_c(c), 2), ",", "")
 
 
 def with_default(c: str | Column, default: str = UNKNOWN_TRACK) -> Column:

@@ -200,10 +200,8 @@ SELECT country, 'avg_danceability' AS metric, avg_danceability AS value FROM q5"
 
 
 def _two_decimals(col: str) -> str:
-    """X16 as Java prints it: the shortest decimal text of the double, rounded
-    half up to two places (DuckDB's own ``printf`` rounds the binary value)."""
-    return (f"CAST(CAST(round(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,12)), 2) "
-            f"AS DECIMAL(38,2)) AS VARCHAR)")
+    """DuckDB's ``printf`` rounds the exact binary value, like Python."""
+    return f"printf('%.2f', {col})"
 
 
 def feature_labels(country: str | None = None) -> str:

@@ -235,9 +235,10 @@ def event_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_id % 97 = 0`` (and not short): one surplus field. Returns
     ``(line,)``; the header is the list of source column names.
     """
+    from tunelake.functions.format import two_decimals
     from tunelake.schema import EVENT_SOURCE_RENAMES
     src = event_source_rows(spark, sf_dir).withColumn(
-        "energy", F.format_string("%.2f", F.col("energy")))
+        "energy", two_decimals("energy"))
     have = set(src.columns)
     fields = [F.coalesce(F.col(s), F.lit("")) if s in have else F.lit("")
               for s, _ in EVENT_SOURCE_RENAMES]
