@@ -25,3 +25,16 @@ def test_latest_row(spark):
     df = spark.createDataFrame([(1, "a", 10), (2, "b", 30), (3, "c", 20)],
                                "id bigint, track string, ts bigint")
     assert [tuple(r) for r in latest(df, ["ts", "id"], ["track"]).collect()] == [("b",)]
+
+
+def test_random_mode_picks_from_the_lookup_and_is_seeded(spark):
+    from pyspark.sql import functions as F
+    from tunelake.streaming.events import random_key
+    lookup = spark.createDataFrame([(k, f"t{k}") for k in range(7)], "k int, track_name string")
+    idx = index_lookup(lookup, "k")
+    ev = spark.range(0, 500, numPartitions=4)   # no shuffle: a fixed row order per partition
+    a = keyed_pick(ev, idx, random_key(7, seed=11), 7)
+    b = keyed_pick(ev, idx, random_key(7, seed=11), 7)
+    ra = {r.id: r.track_name for r in a.collect()}
+    assert len(ra) == 500 and set(ra.values()) == {f"t{k}" for k in range(7)}
+    assert ra == {r.id: r.track_name for r in b.collect()}

@@ -94,6 +94,14 @@ def index_lookup(lookup: DataFrame, key: str, col: str = "track_name") -> DataFr
                  .select((F.col("_off") + F.col("_n")).alias("idx"), F.col(col)))
 
 
+def random_key(n: int, seed: int) -> Column:
+    """J1, random mode (the reference draws a random track name per event): a
+    uniform index in ``[0, n)``. Seeded: a retried task that reads its
+    partition in the same order (a file split, a micro-batch's source
+    partition) redraws the same values. The pick itself is the keyed join."""
+    return F.floor(F.rand(seed) * F.lit(n)).cast("bigint")
+
+
 def keyed_pick(events: DataFrame, indexed: DataFrame, key: Column, n: int,
                col: str = "track_name") -> DataFrame:
     """Attach ``indexed[pmod(key, n)]`` to each event (deterministic pick)."""
