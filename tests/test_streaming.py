@@ -56,3 +56,32 @@ def test_stream_equals_batch_decode(spark):
     run_to_end(start_decode(read_topic(spark, topic), sink, ckpt))
     batch = decode_events(spark.read.schema("value string").text(topic))
     assert sorted(spark.read.parquet(sink).collect()) == sorted(batch.collect())
+
+
+def test_live_latest_keeps_state_across_restarts(spark):
+    """The newest row survives restarts; older late rows do not replace it."""
+    from tunelake.sinks.publish import read_published
+    from tunelake.streaming.runner import start_latest
+
+    topic, root, ckpt = (scratch_path(spark, n) for n in ("topic", "published", "ckpt"))
+
+    def wave(ids):
+        return spark.createDataFrame([(i,) for i in ids], "id long").select(
+            F.to_json(F.struct(F.col("id").cast("string").alias("event_id"),
+                               F.format_string("t%03d", "id").alias("created_at"))).alias("value"))
+
+    def prep(values):
+        d = values.select(F.from_json("value", "event_id string, created_at string").alias("d"))
+        return d.select("d.*", F.col("d.event_id").cast("bigint").alias("_eid"))
+
+    def run():
+        run_to_end(start_latest(read_topic(spark, topic, max_per_trigger=1), root, "now",
+                                ckpt, ["created_at", "_eid"], ["event_id", "created_at"], prep))
+        return [tuple(r) for r in read_published(spark, root, "now").collect()]
+
+    write_messages(wave(range(100, 150)).repartition(2), topic)
+    assert run() == [("149", "t149")]
+    write_messages(wave(range(0, 50)), topic)          # late, older events
+    assert run() == [("149", "t149")]
+    write_messages(wave([150, 7]), topic)
+    assert run() == [("150", "t150")]

@@ -26,7 +26,7 @@ from tunelake.streaming.events import (
 )
 from tunelake.functions.format import with_default
 from tunelake.streaming.runner import (
-    read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich,
+    read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich, start_latest,
 )
 
 TOPIC_FILES = 4
@@ -177,6 +177,26 @@ def now_playing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("event_id", with_default("track_id").alias("track ID"), "created_at")
 
 
+def now_playing_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13 "now playing" as a live stateful stream over the result topic:
+    a streaming ``max_by`` keeps the newest event in the state store and each
+    epoch publishes it as the ``now_playing`` table, which is read back."""
+    from tunelake.schema import NOW_PLAYING
+    from tunelake.sinks.publish import read_published
+    result_sink = run_enrich(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "published"), scratch_path(spark, "ckpt")
+
+    def prepare(values: DataFrame) -> DataFrame:
+        ev = values.select(F.from_json("value", _result_schema()).alias("d")).select("d.*")
+        return ev.select("event_id", with_default("track_id").alias("track ID"), "created_at",
+                         F.col("event_id").cast("bigint").alias("_eid"))
+
+    run_to_end(start_latest(read_topic(spark, result_sink + "/*", max_per_trigger=2), root,
+                            NOW_PLAYING, ckpt, ["created_at", "_eid"],
+                            ["event_id", "track ID", "created_at"], prepare))
+    return read_published(spark, root, NOW_PLAYING)
+
+
 QUERIES = {
     "event_encode_fields": event_encode_fields,
     "event_decode_stream": event_decode_stream,
@@ -186,6 +206,7 @@ QUERIES = {
     "event_append_epochs": event_append_epochs,
     "now_playing_feed": now_playing_feed,
     "now_playing_latest": now_playing_latest,
+    "now_playing_live": now_playing_live,
 }
 
 
@@ -220,7 +241,13 @@ def _event_fields(bad: str | None = None, energy_bad: str | None = None) -> str:
 _BAD = "(event_id % 53 = 0 OR event_id % 59 = 0 OR event_id % 61 = 0 OR event_id % 67 = 0)"
 _ENERGY_BAD = "event_id % 71 = 0"
 
+_LATEST_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id,
+  coalesce(json_extract_string(props, '$.k'), 'Unknown Track') AS "track ID",
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at
+FROM events ORDER BY ts DESC, event_id DESC LIMIT 1"""
+
 ORACLE = {
+    "now_playing_live": _LATEST_SQL,
     "now_playing_latest": """SELECT CAST(event_id AS VARCHAR) AS event_id,
   coalesce(json_extract_string(props, '$.k'), 'Unknown Track') AS "track ID",
   strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at

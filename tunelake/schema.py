@@ -60,6 +60,7 @@ TOP_GENRE_ALL_TIME = "top_genre_all_time"
 TOP_ARTIST_PER_GENRE = "top_artist_per_genre"
 ENERGY_PER_COUNTRY = "energy_per_country"
 DAILY_CHARTS = "daily_charts"
+NOW_PLAYING = "now_playing"
 ALL_COUNTRIES = "All Countries"
 # ---------------------------------------------------------------------------
 
@@ -97,4 +98,5 @@ RESULT_SCHEMAS = {
     TOP_ARTIST_PER_GENRE: "genre string, artist string, artist_id string, total_streams bigint",
     ENERGY_PER_COUNTRY: "country string, avg_danceability double, avg_energy double",
     DAILY_CHARTS: "Rank bigint, Artist string, TrackName string",
+    NOW_PLAYING: "event_id string, `track ID` string, created_at string",
 }

@@ -133,6 +133,33 @@ def start_append(stream: DataFrame, sink: str, checkpoint: str,
     return _trigger(q, trigger).start()
 
 
+def start_latest(stream: DataFrame, root: str, table: str, checkpoint: str,
+                 order: list[str], cols: list[str],
+                 prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """T7 live "now playing": the row that is last in ``order`` over the whole
+    stream so far, published as the newest snapshot of ``table`` every epoch.
+
+    A global streaming aggregate (``max_by``) in complete mode: the state is a
+    single row kept in the checkpointed state store, so a restart continues
+    from it and every task reduces its rows to one candidate before the merge.
+    A replayed epoch publishes the same row again (a newer snapshot with equal
+    content); older snapshots beyond the newest two are pruned.
+    """
+    from tunelake.sinks.publish import publish
+
+    rows = prepare(stream) if prepare is not None else stream
+    pick = F.max_by(F.struct(*cols), F.struct(*order)).alias("r")
+    latest_row = rows.agg(pick)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        publish(batch.filter(F.col("r").isNotNull()).select("r.*"), root, table, keep=2)
+
+    q = (latest_row.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(q, trigger).start()
+
+
 def read_epochs(spark: SparkSession, sink: str, fmt: str = "parquet",
                 schema: str | None = None) -> DataFrame:
     """Read every epoch folder of a sink as one table (``epoch`` column dropped)."""
