@@ -10,32 +10,22 @@ write/read/serve cycle, checked against the oracle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tunelake.operators.daily import flatten_chart, newest_chart
+from tunelake.operators.daily import flatten_chart
 from tunelake.operators.views import dashboard_view
 from tunelake.plans import jobs, oracle
+from tunelake.plans.refresh import save_daily_chart
 from tunelake.plans.roundtrips import _CHART_DAYS, land_chart_documents
 from tunelake.schema import (
     ALL_COUNTRIES, DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
     TOP_SONGS_ALL_TIME,
 )
 from tunelake.session import scratch_path
-from tunelake.sinks.export import export_dated_csv
 from tunelake.sinks.publish import publish, read_published
 from tunelake.sources.charts import read_chart_documents
 from tunelake.sources.fixtures import chart_view
 
 
-def save_daily_chart(flat: DataFrame, root: str, history_root: str,
-                     date_col: str = "chartDate") -> str:
-    """Q6 (K1 + K2): the newest chart replaces ``daily_charts`` and is added
-    to the dated CSV history; returns the published snapshot path."""
-    current = newest_chart(flat, date_col)
-    export_dated_csv(current, history_root, F.to_date(date_col), drop=(date_col,))
-    return publish(current.drop(date_col), root, DAILY_CHARTS)
-
-
 def _result(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One batch job's result, by catalog name (fixture parameters)."""
     if table == TOP_SONGS_ALL_TIME:

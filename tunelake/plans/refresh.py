@@ -1,4 +1,5 @@
-"""Refresh every result table from one scan of the chart rows (Q1-Q5 + K1).
+"""Publishing jobs: every result table from one scan of the chart rows
+(Q1-Q5 + K1), and the daily chart (Q6: K1 + K2).
 
 The reference runs five jobs that each rescan and re-clean the same input.
 Here the chart rows are written once as parquet below the checkpoint root
@@ -12,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunelake.operators.daily import newest_chart
 from tunelake.plans import jobs
 from tunelake.schema import (
-    ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME, TOP_SONG_2020,
+    DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME, TOP_SONG_2020,
     TOP_SONGS_ALL_TIME,
 )
 from tunelake.session import scratch_path
+from tunelake.sinks.export import export_dated_csv
 from tunelake.sinks.publish import publish, read_published
 
 
@@ -59,3 +62,12 @@ def published_summary(spark: SparkSession, root: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def save_daily_chart(flat: DataFrame, root: str, history_root: str,
+                     date_col: str = "chartDate") -> str:
+    """Q6 (K1 + K2): the newest chart replaces ``daily_charts`` and is added
+    to the dated CSV history; returns the published snapshot path."""
+    current = newest_chart(flat, date_col)
+    export_dated_csv(current, history_root, F.to_date(date_col), drop=(date_col,))
+    return publish(current.drop(date_col), root, DAILY_CHARTS)

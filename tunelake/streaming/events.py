@@ -13,8 +13,7 @@ from pyspark.sql import types as T
 
 from tunelake.functions.format import time_of_day, with_default
 from tunelake.schema import (
-    EVENT_DOUBLE_FIELDS, EVENT_FIELDS, EVENT_SCHEMA, EVENT_SOURCE_RENAMES,
-    PROCESSING_TIME_COLUMN,
+    EVENT_FIELDS, EVENT_SCHEMA, EVENT_SOURCE_RENAMES, PROCESSING_TIME_COLUMN,
 )
 
 
