@@ -28,18 +28,34 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def snapshot_dirs(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Committed snapshot directories of ``table``, oldest first."""
+def _candidates(spark: SparkSession, root: str, table: str):
+    """(fs, jvm, snapshot paths oldest first) -- one listing, no commit checks."""
     fs, base, jvm = _fs(spark, f"{root.rstrip('/')}/{table}")
     if not fs.exists(base):
-        return []
-    out = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _SUCCESS)):
-            out.append(st.getPath().toString())
-    return sorted(out, key=lambda s: s.rsplit("/", 1)[-1])
+        return fs, jvm, []
+    dirs = [st.getPath() for st in fs.listStatus(base)
+            if st.isDirectory() and st.getPath().getName().startswith("v=")]
+    return fs, jvm, sorted(dirs, key=lambda p: p.getName())
+
+
+def _committed(fs, jvm, path) -> bool:
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path, _SUCCESS))
+
+
+def snapshot_dirs(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Committed snapshot directories of ``table``, oldest first."""
+    fs, jvm, dirs = _candidates(spark, root, table)
+    return [p.toString() for p in dirs if _committed(fs, jvm, p)]
+
+
+def newest_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
+    """The newest committed snapshot, checking from the newest down (one
+    listing, and commit checks only until the first committed one)."""
+    fs, jvm, dirs = _candidates(spark, root, table)
+    for p in reversed(dirs):
+        if _committed(fs, jvm, p):
+            return p.toString()
+    return None
 
 
 def publish(df: DataFrame, root: str, table: str, keep: int | None = None) -> str:
@@ -65,9 +81,9 @@ def read_published(spark: SparkSession, root: str, table: str,
     With no snapshot yet, an empty frame of ``schema`` (if given) is returned
     so views render "no data" instead of failing.
     """
-    snaps = snapshot_dirs(spark, root, table)
-    if not snaps:
+    newest = newest_snapshot(spark, root, table)
+    if newest is None:
         if schema is None:
             raise FileNotFoundError(f"no published snapshot of {table!r} under {root}")
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(snaps[-1])
+    return spark.read.parquet(newest)
