@@ -44,3 +44,12 @@ def test_q4_requires_artist_prefix_and_q5_keeps_numeric_country(spark):
     assert q4 == [("pop", "x", "spotify:artist:1", 4)]
     q5 = [tuple(r) for r in jobs.feature_means_by_country(df).collect()]
     assert q5 == [("12", 0.5, 0.25)]
+
+
+def test_doubled_quote_escape_keeps_columns_in_place(spark, tmp_path):
+    from tunelake.sources.charts import read_chart_csv
+    path = tmp_path / "chart.csv"
+    path.write_text('country,track_name,streams\nFR,"Say ""hi"", now",12\nDE,plain,7\n')
+    rows = {r.country: (r.track_name, r.streams)
+            for r in read_chart_csv(spark, str(path), escape='"').collect()}
+    assert rows == {"FR": ('Say "hi", now', "12"), "DE": ("plain", "7")}
