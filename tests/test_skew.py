@@ -15,8 +15,8 @@ from tunelake.sources.fixtures import chart_view
 MID = "/root/testdata/sf0.01"
 
 
-def _hot_chart(spark):
-    cols = ("country", "track_name", "uri", "artist_genre", "streams")
+def _hot_chart(spark, extra=()):
+    cols = ("country", "track_name", "uri", "artist_genre", "streams") + tuple(extra)
     base = chart_view(spark, MID, cols)
     # the hot rows keep their dirty streams values, so cleaning still applies
     h = F.xxhash64("country", "track_name", "uri", "streams")
@@ -25,7 +25,7 @@ def _hot_chart(spark):
         F.when(F.pmod(h, F.lit(3)) == 0, F.lit("hot track")).otherwise(F.col("track_name"))
          .alias("track_name"),
         F.when(F.pmod(h, F.lit(3)) == 0, F.lit("part:hot")).otherwise(F.col("uri")).alias("uri"),
-        "artist_genre", "streams")
+        "artist_genre", "streams", *extra)
 
 
 def _brute_top1(pdf, keys, part):

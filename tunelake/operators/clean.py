@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.functions.text import (
@@ -31,7 +31,8 @@ class CleanRules:
     keep: tuple[str, ...] = field(default=())  # projection after cleaning (empty: all)
 
 
-def clean(df: DataFrame, rules: CleanRules) -> DataFrame:
+def condition(rules: CleanRules) -> Column:
+    """The row predicate of a rule set (F1-F4); null counts as false."""
     cond = all_not_null(rules.required)
     for c in rules.numeric:
         cond = cond & is_plain_number(c)
@@ -39,7 +40,11 @@ def clean(df: DataFrame, rules: CleanRules) -> DataFrame:
         cond = cond & not_plain_number(c)
     for c, p in rules.prefixes:
         cond = cond & has_prefix(c, p)
-    out = df.filter(cond)
+    return cond
+
+
+def clean(df: DataFrame, rules: CleanRules) -> DataFrame:
+    out = df.filter(condition(rules))
     casts = {c: to_count(c) for c in rules.counts}
     casts.update({c: to_feature(c) for c in rules.features})
     if casts:

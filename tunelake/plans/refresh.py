@@ -1,11 +1,17 @@
-"""Publishing jobs: every result table from one scan of the chart rows
+"""Publishing jobs: every result table from one pass over the chart rows
 (Q1-Q5 + K1), and the daily chart (Q6: K1 + K2).
 
 The reference runs five jobs that each rescan and re-clean the same input.
-Here the chart rows are written once as parquet below the checkpoint root
-(which also cuts the lineage: a lost executor recomputes from that table, not
-from the raw input and its joins), then each job reads only its columns from
-it with pushed-down filters, and each result is published as a new snapshot.
+``all_results`` computes the five in one pass: each chart row emits one small
+entry per job whose cleaning rules it passes (at most five; no expansion of
+rows that fail), one aggregate over ``(job, k1, k2, k3)`` sums / averages them
+(partial aggregation before its single shuffle), and one top-1 window ranks
+all jobs together -- jobs 1-4 partition by ``(job, k1)`` and break ties on
+``(k2, k3)``; job 5 has one row per ``(job, k1)``, which the top-1 keeps. Input is scanned once, there are two shuffles instead of nine,
+and the large chart rows are never written. Only the small combined result is
+staged below the checkpoint root (this cuts the lineage: publishing and any
+retry read that table, not the input and its joins); the five tables are
+published from it.
 """
 
 from __future__ import annotations
@@ -13,7 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunelake.functions.text import to_count, to_feature
+from tunelake.operators.clean import (
+    condition, feature_rules, top_artist_rules, top_genre_rules, top_track_all_time_rules,
+    top_track_by_year_rules,
+)
 from tunelake.operators.daily import newest_chart
+from tunelake.operators.rank import top_n
 from tunelake.plans import jobs
 from tunelake.schema import (
     DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME, TOP_SONG_2020,
@@ -36,16 +48,68 @@ def result_tables(rows: DataFrame, year: str = jobs.DEFAULT_YEAR,
     }
 
 
+# job ids of the combined result, and how each maps back to its table
+_TABLE_OF_JOB = {1: TOP_SONGS_ALL_TIME, 2: TOP_SONG_2020, 3: TOP_GENRE_ALL_TIME,
+                 4: TOP_ARTIST_PER_GENRE, 5: ENERGY_PER_COUNTRY}
+_COLUMNS_OF_JOB = {
+    1: (("k1", "country"), ("k2", "track_name"), ("k3", "uri"), ("total_streams", None)),
+    2: (("k1", "country"), ("k2", "track_name"), ("total_streams", None)),
+    3: (("k1", "country"), ("k2", "genre"), ("total_streams", None)),
+    4: (("k1", "genre"), ("k2", "artist"), ("k3", "artist_id"), ("total_streams", None)),
+    5: (("k1", "country"), ("avg_danceability", None), ("avg_energy", None)),
+}
+
+
+def all_results(chart: DataFrame, year: str = jobs.DEFAULT_YEAR,
+                artist_prefix: str = jobs.DEFAULT_ARTIST_PREFIX) -> DataFrame:
+    """Q1-Q5 in one pass: ``(job, k1, k2, k3, total_streams, avg_danceability,
+    avg_energy)``, one row per result row of each job."""
+    text = F.lit(None).cast("string")
+    count = to_count("streams")
+    none_l, none_d = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+
+    def entry(job, rules, k1, k2=text, k3=text, s=none_l, d=none_d, e=none_d):
+        return F.when(condition(rules), F.struct(
+            F.lit(job).alias("job"), k1.alias("k1"), k2.alias("k2"), k3.alias("k3"),
+            s.alias("s"), d.alias("d"), e.alias("e")))
+
+    c = F.col
+    entries = F.array(
+        entry(1, top_track_all_time_rules(), c("country"), c("track_name"), c("uri"), s=count),
+        entry(2, top_track_by_year_rules(year), c("country"), c("track_name"), s=count),
+        entry(3, top_genre_rules(), c("country"), c("artist_genre"), s=count),
+        entry(4, top_artist_rules(artist_prefix), c("artist_genre"), c("artist_individual"),
+              c("artist_id"), s=count),
+        entry(5, feature_rules(), c("country"),
+              d=to_feature("danceability"), e=to_feature("energy")),
+    )
+    rows = (chart.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("x"))
+                 .select("x.*"))
+    agg = rows.groupBy("job", "k1", "k2", "k3").agg(
+        F.sum("s").alias("total_streams"),          # sum, not try_sum: overflow fails (R6)
+        F.avg("d").alias("avg_danceability"), F.avg("e").alias("avg_energy"))
+    # job 5 groups by country alone, so each of its (job, k1) partitions holds
+    # exactly one row and the top-1 keeps it: one window for all five jobs
+    return top_n(agg, ["job", "k1"], "total_streams", ["k2", "k3"])
+
+
+def table_of(combined: DataFrame, job: int) -> DataFrame:
+    """One result table out of the combined result, with its own column names."""
+    cols = [F.col(src).alias(dst or src) for src, dst in _COLUMNS_OF_JOB[job]]
+    return combined.filter(F.col("job") == job).select(*cols)
+
+
 def refresh_results(chart: DataFrame, root: str, year: str = jobs.DEFAULT_YEAR,
                     artist_prefix: str = jobs.DEFAULT_ARTIST_PREFIX,
                     keep: int | None = None) -> dict[str, str]:
-    """Stage the chart rows once, publish all five tables; returns snapshot paths."""
+    """Compute all five tables in one pass, stage the small combined result,
+    publish each table from it; returns the snapshot paths."""
     spark = chart.sparkSession
-    stage = scratch_path(spark, "chart-rows")
-    chart.write.parquet(stage)
-    rows = spark.read.parquet(stage)
-    return {name: publish(df, root, name, keep)
-            for name, df in result_tables(rows, year, artist_prefix).items()}
+    stage = scratch_path(spark, "results-combined")
+    all_results(chart, year, artist_prefix).write.parquet(stage)
+    combined = spark.read.parquet(stage)
+    return {table: publish(table_of(combined, job), root, table, keep)
+            for job, table in _TABLE_OF_JOB.items()}
 
 
 def published_summary(spark: SparkSession, root: str) -> DataFrame:
