@@ -85,3 +85,16 @@ def test_live_latest_keeps_state_across_restarts(spark):
     assert run() == [("149", "t149")]
     write_messages(wave([150, 7]), topic)
     assert run() == [("150", "t150")]
+
+
+def test_enrich_counts_rows_per_epoch_without_an_extra_pass(spark):
+    """A6 in the stream: the per-epoch row count comes from ``observe``."""
+    from tunelake.streaming.runner import start_enrich
+    topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic", "sink", "ckpt"))
+    write_messages(_msgs(spark, 0, 240).repartition(3), topic)
+    q = run_to_end(start_enrich(read_topic(spark, topic, max_per_trigger=1), sink, ckpt,
+                                trigger="availableNow"))
+    counts = [p["observedMetrics"]["enrich"]["rows"] for p in q.recentProgress
+              if p.get("observedMetrics", {}).get("enrich")]
+    assert len(counts) == 3 and sum(counts) == 240
+    assert read_epochs(spark, sink, fmt="text").count() == 240
