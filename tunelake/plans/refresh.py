@@ -83,7 +83,10 @@ def all_results(chart: DataFrame, year: str = jobs.DEFAULT_YEAR,
         entry(5, feature_rules(), c("country"),
               d=to_feature("danceability"), e=to_feature("energy")),
     )
-    rows = (chart.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("x"))
+    # explode, then drop the empty slots with a plain filter: a lambda
+    # (``F.filter``) would leave whole-stage codegen for every row
+    rows = (chart.select(F.explode(entries).alias("x"))
+                 .filter(F.col("x").isNotNull())
                  .select("x.*"))
     agg = rows.groupBy("job", "k1", "k2", "k3").agg(
         F.sum("s").alias("total_streams"),          # sum, not try_sum: overflow fails (R6)
