@@ -41,13 +41,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by whoever launches the job (a folder every
-    executor can reach). Only when it is unset -- local tests -- a private
-    folder is created and registered, so lineage cuts and stream checkpoints
-    still have a home.
+    executor can reach); if it is unset there, this fails instead of falling
+    back to a folder on the driver's disk. Only in local mode (tests) an unset
+    root gets a private folder, so lineage cuts and stream checkpoints still
+    have a home.
     """
     sc = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: point it at a folder every "
+                               "executor can reach (scratch tables, lineage cuts and stream "
+                               "checkpoints live there)")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunelake-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
