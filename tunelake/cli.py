@@ -1,5 +1,5 @@
-"""Command line for the reference's runnable jobs (``spark-submit -m tunelake.cli ...``
-or ``python -m tunelake.cli ...``).
+"""Command line for the reference's runnable jobs (``python -m tunelake.cli ...``, or
+``spark-submit --py-files tunelake.zip tunelake/cli.py ...``).
 
 The library never builds a session; this application does (``getOrCreate``, so
 the master and settings come from ``spark-submit`` / the cluster defaults), and
