@@ -19,6 +19,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tunelake.plans.jobs import DEFAULT_ARTIST_PREFIX, DEFAULT_YEAR
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tunelake")
@@ -27,8 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     r = sub.add_parser("refresh", help="Q1-Q5 from a chart CSV")
     r.add_argument("--chart-csv", required=True)
     r.add_argument("--root", required=True, help="published tables root")
-    r.add_argument("--year", default="2020")
-    r.add_argument("--artist-prefix", default="spotify:artist")
+    r.add_argument("--year", default=DEFAULT_YEAR)
+    r.add_argument("--artist-prefix", default=DEFAULT_ARTIST_PREFIX)
     r.add_argument("--keep", type=int, default=None, help="snapshots to keep per table")
 
     d = sub.add_parser("daily-chart", help="Q6 from landed chart documents")
