@@ -45,6 +45,9 @@ def two_decimals(c: str | Column) -> Column:
     (``DecimalFormat``, HALF_EVEN on the exact value); its grouping commas are
     removed. Java's ``format_string("%.2f")`` would differ on such values
     (``0.13``, ``2.68``): it rounds the shortest decimal text half up.
+    Equal to Python for ``|x| < 2**44`` (~1.8e13), where a double's spacing is
+    below 0.005; beyond that ``DecimalFormat`` pads the shortest text with
+    zeros where Python prints the exact binary value.
     """
     return F.regexp_replace(F.format_number(_c(c), 2), ",", "")
 
