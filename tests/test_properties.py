@@ -57,3 +57,34 @@ def test_plain_number_and_count(spark, ss):
         assert r.ok == plain, s
         if plain:                                   # the cast the jobs apply after the test
             assert r.n == int(float(s)), s
+
+
+def _brute_top(rows, n):
+    """Sum per (country, genre) -- all-null groups total None -- then the best
+    n per country: total desc (None last), genre asc (None first)."""
+    sums = {}
+    for c, g, v in rows:
+        t = sums.setdefault((c, g), None)
+        if v is not None:
+            sums[(c, g)] = v if t is None else t + v
+    by_country = {}
+    for (c, g), t in sums.items():
+        by_country.setdefault(c, []).append((g, t))
+    out = set()
+    for c, items in by_country.items():
+        items.sort(key=lambda it: (it[1] is None, -(it[1] or 0), it[0] is not None, it[0] or ""))
+        out |= {(c, g, t) for g, t in items[:n]}
+    return out
+
+
+key = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+row = st.tuples(key, key, st.one_of(st.none(), st.integers(min_value=0, max_value=5)))
+
+
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=200), st.integers(min_value=1, max_value=3))
+def test_top_n_per_group_matches_brute_force(spark, rows, n):
+    from tunelake.operators.rank import top_n_per_group
+    df = spark.createDataFrame(rows, "country string, genre string, streams bigint")
+    got = {tuple(r) for r in top_n_per_group(df, ["country", "genre"], ["country"], n=n).collect()}
+    assert got == _brute_top(rows, n)
