@@ -88,3 +88,40 @@ def test_top_n_per_group_matches_brute_force(spark, rows, n):
     df = spark.createDataFrame(rows, "country string, genre string, streams bigint")
     got = {tuple(r) for r in top_n_per_group(df, ["country", "genre"], ["country"], n=n).collect()}
     assert got == _brute_top(rows, n)
+
+
+def _opt(*vals):
+    return st.one_of(st.none(), st.sampled_from(list(vals)))
+
+
+chart_row = st.tuples(
+    _opt("FR", "DE", "12"),                                  # country (numeric = shifted row)
+    _opt("x", "y"),                                          # track_name
+    _opt("u1", "u2"),                                        # uri
+    _opt("3", "2.75", "10", "n/a", "-5", "1e3"),             # streams
+    _opt("2020-01-02", "2019-05-05", "2020"),                # release_date
+    _opt("pop", "rock"),                                     # artist_genre
+    _opt("A", "B"),                                          # artist_individual
+    _opt("spotify:artist:1", "spotify:artist:2", "id3"),     # artist_id
+    _opt("0.5", "1", "bad"),                                 # danceability
+    _opt("0.25", "0", "x"),                                  # energy
+)
+CHART = ("country string, track_name string, uri string, streams string, release_date string, "
+         "artist_genre string, artist_individual string, artist_id string, "
+         "danceability string, energy string")
+
+
+@settings(SETTINGS, max_examples=15)
+@given(st.lists(chart_row, min_size=1, max_size=120))
+def test_one_pass_refresh_equals_five_jobs(spark, rows):
+    from tunelake.plans.refresh import _TABLE_OF_JOB, all_results, result_tables, table_of
+    chart = spark.createDataFrame(rows, CHART)
+    combined = all_results(chart, "2020", "spotify:artist")
+    per_job = result_tables(chart, "2020", "spotify:artist")
+
+    def norm(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                       for r in df.collect()), key=repr)
+
+    for job, table in _TABLE_OF_JOB.items():
+        assert norm(table_of(combined, job)) == norm(per_job[table]), table
