@@ -78,13 +78,19 @@ def to_values(df: DataFrame) -> DataFrame:
 def index_lookup(lookup: DataFrame, key: str, col: str = "track_name") -> DataFrame:
     """Dense 0-based index over a lookup table in ``key`` order (for J1).
 
-    Built without a single-task global window: rows are range-partitioned by
-    ``key``, each partition numbers its own rows, and a per-partition offset
-    (one small row per partition) is added through a broadcast join.
+    One shuffle and no single-task global window: rows are range-partitioned
+    by ``key`` and sorted within each partition; a row's position in its
+    partition is the low 33 bits of ``monotonically_increasing_id`` (the
+    documented layout: partition id above, record number below). Each
+    partition's offset (one small row per partition) is added through a
+    broadcast join. The sort includes ``col`` so equal keys number the same
+    way on every evaluation.
     """
-    ranged = lookup.repartitionByRange(key).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_n", F.row_number().over(Window.partitionBy("_pid").orderBy(key)) - 1)
+    ranged = lookup.repartitionByRange(key).sortWithinPartitions(key, col)
+    pid = F.spark_partition_id()
+    local = ranged.select(
+        F.col(col), pid.alias("_pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_n"))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.withColumn(
         "_off", F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
