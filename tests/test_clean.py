@@ -33,15 +33,18 @@ def test_q1_and_q3_reject_numeric_country_and_dirty_counts(spark):
     assert q3 == [("FR", "pop", 60)]
 
 
+ARTIST_1 = f"{jobs.DEFAULT_ARTIST_PREFIX}:1"
+
+
 def test_q4_requires_artist_prefix_and_q5_keeps_numeric_country(spark):
     df = _chart(spark, [
-        dict(artist_genre="pop", artist_individual="x", artist_id="spotify:artist:1", streams="4"),
+        dict(artist_genre="pop", artist_individual="x", artist_id=ARTIST_1, streams="4"),
         dict(artist_genre="pop", artist_individual="y", artist_id="1", streams="40"),
         dict(country="12", danceability="0.5", energy="0.25"),
         dict(country="12", danceability="bad", energy="0.9"),
     ])
     q4 = [tuple(r) for r in jobs.top_artist_by_genre(df).collect()]
-    assert q4 == [("pop", "x", "spotify:artist:1", 4)]
+    assert q4 == [("pop", "x", ARTIST_1, 4)]
     q5 = [tuple(r) for r in jobs.feature_means_by_country(df).collect()]
     assert q5 == [("12", 0.5, 0.25)]
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tunelake.functions.format import streams_label, two_decimals
 from tunelake.functions.text import is_plain_number, to_count
+from tunelake.plans.jobs import DEFAULT_ARTIST_PREFIX as PREFIX, DEFAULT_YEAR as YEAR
 
 SETTINGS = settings(max_examples=25, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture,
@@ -99,10 +100,10 @@ chart_row = st.tuples(
     _opt("x", "y"),                                          # track_name
     _opt("u1", "u2"),                                        # uri
     _opt("3", "2.75", "10", "n/a", "-5", "1e3"),             # streams
-    _opt("2020-01-02", "2019-05-05", "2020"),                # release_date
+    _opt(f"{YEAR}-01-02", "2019-05-05", YEAR),               # release_date
     _opt("pop", "rock"),                                     # artist_genre
     _opt("A", "B"),                                          # artist_individual
-    _opt("spotify:artist:1", "spotify:artist:2", "id3"),     # artist_id
+    _opt(f"{PREFIX}:1", f"{PREFIX}:2", "id3"),                 # artist_id
     _opt("0.5", "1", "bad"),                                 # danceability
     _opt("0.25", "0", "x"),                                  # energy
 )
@@ -116,8 +117,8 @@ CHART = ("country string, track_name string, uri string, streams string, release
 def test_one_pass_refresh_equals_five_jobs(spark, rows):
     from tunelake.plans.refresh import _TABLE_OF_JOB, all_results, result_tables, table_of
     chart = spark.createDataFrame(rows, CHART)
-    combined = all_results(chart, "2020", "spotify:artist")
-    per_job = result_tables(chart, "2020", "spotify:artist")
+    combined = all_results(chart, YEAR, PREFIX)
+    per_job = result_tables(chart, YEAR, PREFIX)
 
     def norm(df):
         return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r)
