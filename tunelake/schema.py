@@ -60,10 +60,12 @@ TOP_GENRE_ALL_TIME = "top_genre_all_time"
 TOP_ARTIST_PER_GENRE = "top_artist_per_genre"
 ENERGY_PER_COUNTRY = "energy_per_country"
 DAILY_CHARTS = "daily_charts"
-NOW_PLAYING = "now_playing"
 ALL_COUNTRIES = "All Countries"
 # ---------------------------------------------------------------------------
 
+# Live "now playing" table of the T7 stream (this library's own name).
+NOW_PLAYING = "now_playing"
+
 EVENT_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType(), True) for n in EVENT_STRING_FIELDS]
     + [T.StructField(n, T.DoubleType(), True) for n in EVENT_DOUBLE_FIELDS]
