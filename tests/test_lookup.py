@@ -38,3 +38,15 @@ def test_random_mode_picks_from_the_lookup_and_is_seeded(spark):
     ra = {r.id: r.track_name for r in a.collect()}
     assert len(ra) == 500 and set(ra.values()) == {f"t{k}" for k in range(7)}
     assert ra == {r.id: r.track_name for r in b.collect()}
+
+
+def test_index_with_a_hot_key_is_dense_and_spread(spark):
+    from pyspark.sql import functions as F
+    lookup = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        F.format_string("t%05d", "id").alias("track_name"))
+    idx = index_lookup(lookup, "k")
+    rows = idx.orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(3000))
+    want = sorted(((7 if i % 3 == 0 else i), f"t{i:05d}") for i in range(3000))
+    assert [r.track_name for r in rows] == [t for _, t in want]

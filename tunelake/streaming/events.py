@@ -83,10 +83,12 @@ def index_lookup(lookup: DataFrame, key: str, col: str = "track_name") -> DataFr
     partition is the low 33 bits of ``monotonically_increasing_id`` (the
     documented layout: partition id above, record number below). Each
     partition's offset (one small row per partition) is added through a
-    broadcast join. The sort includes ``col`` so equal keys number the same
-    way on every evaluation.
+    broadcast join. Order is ``key``, ties by ``col``, so equal keys number
+    the same way on every evaluation.
     """
-    ranged = lookup.repartitionByRange(key).sortWithinPartitions(key, col)
+    # range bounds on (key, col): a key repeated on a third of the rows still
+    # spreads over several partitions
+    ranged = lookup.repartitionByRange(key, col).sortWithinPartitions(key, col)
     pid = F.spark_partition_id()
     local = ranged.select(
         F.col(col), pid.alias("_pid"),
