@@ -8,7 +8,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tunelake.functions.format import streams_label, two_decimals
 from tunelake.functions.text import is_plain_number, to_count

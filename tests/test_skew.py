@@ -6,7 +6,6 @@ and every third part to one track, so one country, one track and one
 (country, track) group each carry about a third of the rows.
 """
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tunelake.plans import jobs

@@ -1,6 +1,5 @@
 """F2/P1/P2 on the literal value table."""
 
-from pyspark.sql import functions as F
 
 from tunelake.functions.text import has_prefix, is_plain_number, to_count, to_feature
 
