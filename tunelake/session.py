@@ -46,8 +46,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     root gets a private folder, so lineage cuts and stream checkpoints still
     have a home.
     """
+    root = spark.conf.get(_CHECKPOINT_KEY, None)
+    if root:                      # the cluster's setting; no SparkContext needed
+        return root.rstrip("/")
     sc = spark.sparkContext
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+    root = sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: point it at a folder every "
