@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tunelake.operators.daily import flatten_chart
-from tunelake.operators.views import dashboard_view
+from tunelake.operators.views import country_options, dashboard_view
 from tunelake.plans import jobs, oracle
 from tunelake.plans.refresh import save_daily_chart
 from tunelake.plans.roundtrips import _CHART_DAYS, land_chart_documents
@@ -76,6 +76,13 @@ def view_energy_map_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _served(spark, sf_dir, ENERGY_PER_COUNTRY, "Energy Map", oracle.FIXTURE_COUNTRY)
 
 
+def view_country_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: the country list read from the published top-genre table."""
+    root = scratch_path(spark, "published")
+    publish(_result(spark, sf_dir, TOP_GENRE_ALL_TIME), root, TOP_GENRE_ALL_TIME)
+    return country_options(read_published(spark, root, TOP_GENRE_ALL_TIME))
+
+
 def view_trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 + Q13 chart part: landed documents -> newest chart published as
     ``daily_charts`` (and exported) -> served by rank."""
@@ -92,6 +99,7 @@ QUERIES = {
     "view_energy_map": view_energy_map,
     "view_energy_map_country": view_energy_map_country,
     "view_trending_now": view_trending_now,
+    "view_country_selector": view_country_selector,
 }
 
 ORACLE = {
@@ -100,6 +108,7 @@ ORACLE = {
     "view_top_artists": oracle.genre_artist_totals_top1(),
     "view_energy_map": oracle.sql(oracle.q5_ctes(), "SELECT country, avg_energy AS value FROM q5"),
     "view_energy_map_country": oracle.feature_labels(oracle.FIXTURE_COUNTRY),
+    "view_country_selector": oracle.country_selector(),
     "view_trending_now": f"WITH {_CHART_DAYS}\nSELECT Rank, Artist, TrackName FROM flat\n"
                          "WHERE day = (SELECT max(day) FROM flat)",
 }
