@@ -40,6 +40,8 @@ def newest_chart(flat: DataFrame, date_col: str = "chartDate") -> DataFrame:
 
     The newest date is a scalar subquery (one aggregate with a map-side partial
     ``max``) used as a filter value: no driver collect and no join.
+    ``date_col`` must order chronologically: a date, or ISO ``yyyy-MM-dd`` text
+    (as the landed documents carry); convert other text with ``to_date`` first.
     """
     newest = flat.agg(F.max(date_col)).scalar()
     return flat.filter(F.col(date_col) == newest)
