@@ -99,3 +99,18 @@ def test_lookup_scan_drops_nulls_and_keeps_duplicates(spark, tmp_path):
     spark.createDataFrame([("a", 1), (None, 2), ("a", 3), ("b", 4)], "track_name string, n int") \
          .write.option("header", True).csv(path)
     assert sorted(r.track_name for r in read_lookup(spark, path).collect()) == ["a", "a", "b"]
+
+
+def test_dated_export_rerun_replaces_only_its_day(spark, tmp_path):
+    """Re-exporting one day swaps that day's file and keeps the history."""
+    from pyspark.sql import functions as F
+    from tunelake.sinks.export import export_dated_csv
+    root = str(tmp_path / "hist")
+    schema = "d string, Rank bigint, Artist string"
+    first = spark.createDataFrame([("2024-01-02", 1, "a"), ("2024-01-03", 1, "b")], schema)
+    export_dated_csv(first, root, F.to_date("d"), drop=("d",))
+    again = spark.createDataFrame([("2024-01-03", 1, "c"), ("2024-01-03", 2, "d")], schema)
+    export_dated_csv(again, root, F.to_date("d"), drop=("d",))
+    back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
+    assert sorted(tuple(r) for r in back.collect()) == [
+        (1, "a", "02-01-2024"), (1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
