@@ -56,3 +56,10 @@ def test_doubled_quote_escape_keeps_columns_in_place(spark, tmp_path):
     rows = {r.country: (r.track_name, r.streams)
             for r in read_chart_csv(spark, str(path), escape='"').collect()}
     assert rows == {"FR": ('Say "hi", now', "12"), "DE": ("plain", "7")}
+
+
+def test_count_rows_is_a_one_row_frame(spark):
+    from tunelake.operators.clean import count_rows
+    df = spark.range(0, 1234).selectExpr("cast(id as string) as streams")
+    assert [tuple(r) for r in count_rows(df).collect()] == [(1234,)]
+    assert [tuple(r) for r in count_rows(df.limit(0)).collect()] == [(0,)]

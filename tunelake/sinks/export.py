@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.functions.format import EXPORT_DATE_FORMAT
+from tunelake.functions.format import export_date
 
 
 def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
@@ -36,7 +36,7 @@ def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
         raise ValueError("replace must be 'days' or 'all'")
     if files_per_day < 1:
         raise ValueError("files_per_day must be >= 1")
-    label = F.date_format(F.lit(day) if not hasattr(day, "_jc") else day, EXPORT_DATE_FORMAT)
+    label = export_date(F.lit(day) if not hasattr(day, "_jc") else day)
     # the partition count is pinned to the session's shuffle partitions: AQE
     # would otherwise coalesce this small shuffle into one task that writes
     # every day's file in sequence; empty partitions write no files
