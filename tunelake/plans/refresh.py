@@ -106,13 +106,23 @@ def refresh_results(chart: DataFrame, root: str, year: str = jobs.DEFAULT_YEAR,
                     artist_prefix: str = jobs.DEFAULT_ARTIST_PREFIX,
                     keep: int | None = None) -> dict[str, str]:
     """Compute all five tables in one pass, stage the small combined result,
-    publish each table from it; returns the snapshot paths."""
+    publish each table from it; returns the snapshot paths.
+
+    The five publishes are independent small jobs over the staged result, so
+    they are submitted together from driver threads (Spark schedules
+    concurrent jobs of one application); each table's snapshot still commits
+    on its own, as before.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = chart.sparkSession
     stage = scratch_path(spark, "results-combined")
     all_results(chart, year, artist_prefix).write.parquet(stage)
     combined = spark.read.parquet(stage)
-    return {table: publish(table_of(combined, job), root, table, keep)
-            for job, table in _TABLE_OF_JOB.items()}
+    with ThreadPoolExecutor(max_workers=len(_TABLE_OF_JOB)) as pool:
+        futures = {table: pool.submit(publish, table_of(combined, job), root, table, keep)
+                   for job, table in _TABLE_OF_JOB.items()}
+        return {table: f.result() for table, f in futures.items()}
 
 
 def published_summary(spark: SparkSession, root: str) -> DataFrame:
