@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunelake.session import shuffle_partitions
+
 _RANK = "_rank"
 _SALT = "_salt"
 _LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -53,7 +55,7 @@ def top_n(df: DataFrame, partition: Sequence[str], measure: str,
     limit = int(spark.conf.get(_LIMIT_CONF, "1000"))
     if n <= limit or not tie_keys:
         return _first_n(df, partition, order, n)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = shuffle_partitions(spark)
     salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*tie_keys), F.lit(buckets)))
     per_bucket = _first_n(salted, [*partition, _SALT], order, n).drop(_SALT)
     return _first_n(per_bucket, partition, order, n)

@@ -64,3 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """``spark.sql.shuffle.partitions`` as a number (``default`` when it is not
+    a plain number, e.g. ``auto`` on some platforms)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", str(default))
+    return int(value) if value.isdigit() else default

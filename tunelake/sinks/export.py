@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.functions.format import export_date
+from tunelake.session import shuffle_partitions
 
 
 def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
@@ -40,7 +41,7 @@ def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
     # the partition count is pinned to the session's shuffle partitions: AQE
     # would otherwise coalesce this small shuffle into one task that writes
     # every day's file in sequence; empty partitions write no files
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_partitions(df.sparkSession)
     out = df.withColumn(partition_col, label).drop(*drop)
     keys = [F.col(partition_col)]
     if files_per_day > 1:
