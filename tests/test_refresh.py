@@ -32,3 +32,26 @@ def test_one_pass_equals_per_job_with_a_hot_key(spark):
     from test_skew import _hot_chart
     _same_as_per_job(_hot_chart(spark, ("release_date", "artist_individual", "artist_id",
                                         "danceability", "energy")))
+
+
+def test_one_pass_plan_scans_once_and_shuffles_twice(spark, small_dir):
+    """The production shape: a flat chart table in, one scan, one aggregate
+    exchange fed by partial aggregates, one window exchange fed by the partial
+    top-1 -- for all five jobs together."""
+    from tunelake.session import scratch_path
+    path = scratch_path(spark, "flat-chart")
+    chart_view(spark, small_dir).write.parquet(path)
+    flat = spark.read.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = all_results(flat, oracle.FIXTURE_YEAR, oracle.FIXTURE_ARTIST_PREFIX) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    assert sum("FileScan" in s for s in lines) == 1
+    exchanges = [i for i, s in enumerate(lines) if "Exchange hashpartitioning" in s]
+    assert len(exchanges) == 2
+    assert any("partial_sum" in s for s in lines[exchanges[1] + 1:exchanges[1] + 3])
+    assert any("WindowGroupLimit" in s and "Partial" in s
+               for s in lines[exchanges[0] + 1:exchanges[0] + 3])
