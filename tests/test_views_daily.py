@@ -114,3 +114,28 @@ def test_dated_export_rerun_replaces_only_its_day(spark, tmp_path):
     back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
     assert sorted(tuple(r) for r in back.collect()) == [
         (1, "a", "02-01-2024"), (1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
+
+
+def test_chart_documents_probe_lineitem_without_shuffling_it(spark, small_dir):
+    from tunelake.sources.fixtures import chart_documents
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = chart_documents(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-|"))
+
+    scan = next(i for i, s in enumerate(lines) if "FileScan parquet [l_orderkey" in s)
+    ancestors, d = [], depth(lines[scan])
+    for s in reversed(lines[:scan]):        # nearest ancestor first
+        if depth(s) < d:
+            ancestors.append(s.strip(" :+-|*0123456789()"))
+            d = depth(s)
+    first = next(a for a in ancestors if a.startswith(("Exchange", "BroadcastHashJoin",
+                                                       "SortMergeJoin", "ShuffledHashJoin")))
+    # lineitem is probed against the broadcast top orders before any exchange;
+    # only the few lines of those orders are shuffled afterwards
+    assert first.startswith("BroadcastHashJoin [l_orderkey"), first
