@@ -84,3 +84,22 @@ def test_hot_key_plan_reduces_before_each_shuffle(spark):
     # the partition-key exchange is fed by the partial per-task top-1
     assert below(lambda s: "Exchange hashpartitioning(country" in s and "track_name" not in s,
                  lambda s: "WindowGroupLimit" in s and "Partial" in s)
+
+
+def test_cleaning_runs_before_the_first_shuffle(spark, small_dir):
+    """Q3 at scale settings: the regex filter sits between the lineitem scan
+    and its first exchange, so rejected rows are never shuffled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jobs.top_genre_by_country(
+            chart_view(spark, small_dir, ("country", "artist_genre", "streams"))) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scan = next(i for i, s in enumerate(lines) if "FileScan parquet [l_orderkey" in s)
+    exchange = max(i for i in range(scan) if "Exchange" in lines[i])
+    between = lines[exchange + 1:scan]
+    assert any("Filter" in s and "RLIKE" in s for s in between)
