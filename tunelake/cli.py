@@ -64,7 +64,7 @@ def run(spark: SparkSession, argv: list[str]):
     """Run one command on ``spark``; returns what the command produced
     (snapshot paths, or the started ``StreamingQuery``)."""
     import tunelake as tl
-    from tunelake.schema import EVENT_SOURCE_RENAMES, NOW_PLAYING
+    from tunelake.schema import EVENT_SOURCE_RENAMES, FEED_TRACK_ID, NOW_PLAYING
 
     a = _parser().parse_args(argv)
     if a.cmd == "refresh":
@@ -87,11 +87,11 @@ def run(spark: SparkSession, argv: list[str]):
     def prepare(values):
         from pyspark.sql import functions as F
         ev = tl.decode_events(values)
-        return ev.select("event_id", tl.with_default("track_id").alias("track ID"), "created_at",
+        return ev.select("event_id", tl.with_default("track_id").alias(FEED_TRACK_ID), "created_at",
                          F.col("event_id").cast("bigint").alias("_eid"))
 
     return tl.start_latest(stream, a.root, NOW_PLAYING, a.checkpoint, ["created_at", "_eid"],
-                           ["event_id", "track ID", "created_at"], prepare, a.trigger)
+                           ["event_id", FEED_TRACK_ID, "created_at"], prepare, a.trigger)
 
 
 def main(argv: list[str] | None = None) -> None:

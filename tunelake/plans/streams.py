@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelake.schema import (
-    EVENT_DOUBLE_FIELDS, EVENT_FIELDS, EVENT_SCHEMA, PROCESSING_TIME_COLUMN,
+    EVENT_DOUBLE_FIELDS, EVENT_FIELDS, EVENT_SCHEMA, FEED_TRACK_ID, FEED_TRACK_NAME,
+    PROCESSING_TIME_COLUMN,
 )
 from tunelake.session import checkpoint_root, scratch_path
 from tunelake.sinks.export import write_messages
@@ -161,7 +162,7 @@ def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run_to_end(start_append(stream, sink, ckpt, feed))
     out = read_epochs(spark, sink)
-    return out.select("event_id", "track ID", "track name",
+    return out.select("event_id", FEED_TRACK_ID, FEED_TRACK_NAME,
                       F.col("timestamp").rlike(r"^\d{2}:\d{2}:\d{2}$").alias("time_ok"))
 
 
@@ -174,7 +175,7 @@ def now_playing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = read_result_topic(spark, run_enrich(spark, sf_dir))
     ordered = res.withColumn("_eid", F.col("event_id").cast("bigint"))
     picked = latest(ordered, ["created_at", "_eid"], ["event_id", "track_id", "created_at"])
-    return picked.select("event_id", with_default("track_id").alias("track ID"), "created_at")
+    return picked.select("event_id", with_default("track_id").alias(FEED_TRACK_ID), "created_at")
 
 
 def now_playing_live(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,12 +189,12 @@ def now_playing_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def prepare(values: DataFrame) -> DataFrame:
         ev = values.select(F.from_json("value", _result_schema()).alias("d")).select("d.*")
-        return ev.select("event_id", with_default("track_id").alias("track ID"), "created_at",
+        return ev.select("event_id", with_default("track_id").alias(FEED_TRACK_ID), "created_at",
                          F.col("event_id").cast("bigint").alias("_eid"))
 
     run_to_end(start_latest(read_topic(spark, result_sink + "/*", max_per_trigger=2), root,
                             NOW_PLAYING, ckpt, ["created_at", "_eid"],
-                            ["event_id", "track ID", "created_at"], prepare))
+                            ["event_id", FEED_TRACK_ID, "created_at"], prepare))
     return read_published(spark, root, NOW_PLAYING)
 
 

@@ -61,20 +61,11 @@ TOP_ARTIST_PER_GENRE = "top_artist_per_genre"
 ENERGY_PER_COUNTRY = "energy_per_country"
 DAILY_CHARTS = "daily_charts"
 ALL_COUNTRIES = "All Countries"
-# ---------------------------------------------------------------------------
-
-# Live "now playing" table of the T7 stream (this library's own name).
-NOW_PLAYING = "now_playing"
-
-EVENT_SCHEMA = T.StructType(
-    [T.StructField(n, T.StringType(), True) for n in EVENT_STRING_FIELDS]
-    + [T.StructField(n, T.DoubleType(), True) for n in EVENT_DOUBLE_FIELDS]
-    + [T.StructField(n, T.StringType(), True) for n in EVENT_TAIL_STRING_FIELDS]
-)
-
-EVENT_FIELDS = [f.name for f in EVENT_SCHEMA.fields]
 
-CHART_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHART_COLUMNS])
+# Live feed columns (one row per received event).
+FEED_TRACK_ID = "track ID"
+FEED_TRACK_NAME = "track name"
+FEED_TIME = "timestamp"
 
 # Nested chart document (one JSON object per landing file line).
 CHART_DOCUMENT_SCHEMA = T.StructType([
@@ -93,12 +84,32 @@ CHART_DOCUMENT_SCHEMA = T.StructType([
     ])), True),
 ])
 
-RESULT_SCHEMAS = {
+# Result tables and their columns.
+REFERENCE_RESULT_SCHEMAS = {
     TOP_SONGS_ALL_TIME: "country string, track_name string, uri string, total_streams bigint",
     TOP_SONG_2020: "country string, track_name string, total_streams bigint",
     TOP_GENRE_ALL_TIME: "country string, genre string, total_streams bigint",
     TOP_ARTIST_PER_GENRE: "genre string, artist string, artist_id string, total_streams bigint",
     ENERGY_PER_COUNTRY: "country string, avg_danceability double, avg_energy double",
     DAILY_CHARTS: "Rank bigint, Artist string, TrackName string",
-    NOW_PLAYING: "event_id string, `track ID` string, created_at string",
 }
+# ---------------------------------------------------------------------------
+
+# Live "now playing" table of the T7 stream (this library's own name).
+NOW_PLAYING = "now_playing"
+
+RESULT_SCHEMAS = {
+    **REFERENCE_RESULT_SCHEMAS,
+    NOW_PLAYING: f"event_id string, `{FEED_TRACK_ID}` string, created_at string",
+}
+
+EVENT_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType(), True) for n in EVENT_STRING_FIELDS]
+    + [T.StructField(n, T.DoubleType(), True) for n in EVENT_DOUBLE_FIELDS]
+    + [T.StructField(n, T.StringType(), True) for n in EVENT_TAIL_STRING_FIELDS]
+)
+
+EVENT_FIELDS = [f.name for f in EVENT_SCHEMA.fields]
+
+CHART_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHART_COLUMNS])
+

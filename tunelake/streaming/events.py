@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tunelake.functions.format import time_of_day, with_default
 from tunelake.schema import (
-    EVENT_FIELDS, EVENT_SCHEMA, EVENT_SOURCE_RENAMES, PROCESSING_TIME_COLUMN,
+    EVENT_FIELDS, EVENT_SCHEMA, EVENT_SOURCE_RENAMES, FEED_TIME, FEED_TRACK_ID, FEED_TRACK_NAME,
+    PROCESSING_TIME_COLUMN,
 )
 
 
@@ -126,9 +127,9 @@ def now_playing_rows(events: DataFrame, indexed: DataFrame, n: int,
         else F.current_timestamp()
     return out.select(
         F.col("event_id"),
-        with_default("track_id").alias("track ID"),
-        F.col("track_name").alias("track name"),
-        time_of_day(ts).alias("timestamp"),
+        with_default("track_id").alias(FEED_TRACK_ID),
+        F.col("track_name").alias(FEED_TRACK_NAME),
+        time_of_day(ts).alias(FEED_TIME),
     )
 
 
