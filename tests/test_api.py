@@ -12,9 +12,14 @@ def test_readme_batch_flow(spark, small_dir):
     chart = tl.read_chart_csv(spark, csv)
     assert all(t.simpleString() == "string" for t in (f.dataType for f in chart.schema.fields))
 
+    import glob
+    from tunelake.session import checkpoint_root
+    staged = f"{checkpoint_root(spark).replace('file:', '')}/results-combined-*"
+    before = set(glob.glob(staged))
     root = scratch_path(spark, "api-results")
     paths = tl.refresh_results(chart, root, year=oracle.FIXTURE_YEAR,
                                artist_prefix=oracle.FIXTURE_ARTIST_PREFIX)
+    assert set(glob.glob(staged)) == before          # the stage was removed after publishing
     assert set(paths) == {"top_songs_all_time", "top_song_2020", "top_genre_all_time",
                           "top_artist_per_genre", "energy_per_country"}
 

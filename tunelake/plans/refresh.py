@@ -33,7 +33,7 @@ from tunelake.schema import (
 )
 from tunelake.session import scratch_path
 from tunelake.sinks.export import export_dated_csv
-from tunelake.sinks.publish import publish, read_published
+from tunelake.sinks.publish import publish, read_published, remove_path
 
 
 def result_tables(rows: DataFrame, year: str = jobs.DEFAULT_YEAR,
@@ -111,7 +111,8 @@ def refresh_results(chart: DataFrame, root: str, year: str = jobs.DEFAULT_YEAR,
     The five publishes are independent small jobs over the staged result, so
     they are submitted together from driver threads (Spark schedules
     concurrent jobs of one application); each table's snapshot still commits
-    on its own, as before.
+    on its own, as before. The stage is removed once all five have committed;
+    if a publish fails, it stays for inspection.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -122,7 +123,9 @@ def refresh_results(chart: DataFrame, root: str, year: str = jobs.DEFAULT_YEAR,
     with ThreadPoolExecutor(max_workers=len(_TABLE_OF_JOB)) as pool:
         futures = {table: pool.submit(publish, table_of(combined, job), root, table, keep)
                    for job, table in _TABLE_OF_JOB.items()}
-        return {table: f.result() for table, f in futures.items()}
+        paths = {table: f.result() for table, f in futures.items()}
+    remove_path(spark, stage)     # every snapshot is its own copy now
+    return paths
 
 
 def published_summary(spark: SparkSession, root: str) -> DataFrame:

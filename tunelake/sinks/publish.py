@@ -58,6 +58,12 @@ def newest_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
     return None
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder the library staged (recursive); ``False`` if absent."""
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def publish(df: DataFrame, root: str, table: str, keep: int | None = None) -> str:
     """Write ``df`` as the newest snapshot of ``table``; returns its path.
 
