@@ -50,3 +50,10 @@ def test_index_with_a_hot_key_is_dense_and_spread(spark):
     assert [r.idx for r in rows] == list(range(3000))
     want = sorted(((7 if i % 3 == 0 else i), f"t{i:05d}") for i in range(3000))
     assert [r.track_name for r in rows] == [t for _, t in want]
+
+
+def test_empty_lookup_gives_null_names(spark):
+    empty = spark.createDataFrame([], "k int, track_name string")
+    ev = spark.range(0, 5)
+    got = keyed_pick(ev, index_lookup(empty, "k"), ev.id, 0).collect()
+    assert len(got) == 5 and all(r.track_name is None for r in got)

@@ -112,8 +112,13 @@ def random_key(n: int, seed: int) -> Column:
 
 def keyed_pick(events: DataFrame, indexed: DataFrame, key: Column, n: int,
                col: str = "track_name") -> DataFrame:
-    """Attach ``indexed[pmod(key, n)]`` to each event (deterministic pick)."""
-    picked = events.withColumn("_idx", F.pmod(key, F.lit(n)))
+    """Attach ``indexed[pmod(key, n)]`` to each event (deterministic pick).
+
+    An empty lookup (``n == 0``) gives every event a null name instead of a
+    division by zero.
+    """
+    idx = F.pmod(key, F.lit(n)) if n > 0 else F.lit(None).cast("bigint")
+    picked = events.withColumn("_idx", idx)
     return (picked.join(indexed.withColumnRenamed("idx", "_idx"), "_idx", "left")
                   .drop("_idx"))
 
