@@ -57,3 +57,8 @@ def test_empty_lookup_gives_null_names(spark):
     ev = spark.range(0, 5)
     got = keyed_pick(ev, index_lookup(empty, "k"), ev.id, 0).collect()
     assert len(got) == 5 and all(r.track_name is None for r in got)
+
+
+def test_latest_of_nothing_is_no_row(spark):
+    empty = spark.createDataFrame([], "ts string, id int, track string")
+    assert latest(empty, ["ts", "id"], ["track"]).count() == 0

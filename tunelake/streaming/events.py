@@ -145,4 +145,5 @@ def latest(df: DataFrame, order: list[str], cols: list[str]) -> DataFrame:
     task ever holds more than one candidate row per input partition.
     """
     pick = F.max_by(F.struct(*cols), F.struct(*order)).alias("r")
-    return df.agg(pick).select("r.*")
+    # a global aggregate always yields one row; an empty input has nothing playing
+    return df.agg(pick).filter(F.col("r").isNotNull()).select("r.*")
