@@ -1,8 +1,9 @@
 """tunelake: music-trend analytics as plain Spark DataFrame operators.
 
 Every public function takes and returns a ``DataFrame`` (or a
-``StreamingQuery`` for stream starters). The library never creates or stops a
-``SparkSession``; callers pass one in.
+``StreamingQuery`` for stream starters). Library functions never create or stop
+a ``SparkSession``; callers pass one in (only ``tunelake.cli`` and the test/bench
+helper ``tunelake.session.local_session`` build one).
 
 The names below are the public surface; the sub-packages hold the same
 functions grouped by kind (``sources``, ``operators``, ``functions``,
