@@ -1,7 +1,7 @@
 """tunelake: music-trend analytics as plain Spark DataFrame operators.
 
-Every public function takes and returns a ``DataFrame`` (or a
-``StreamingQuery`` for stream starters). Library functions never create or stop
+Operators take and return ``DataFrame``s (lazy); sinks return where they wrote
+(snapshot paths) and stream starters the ``StreamingQuery``. Library functions never create or stop
 a ``SparkSession``; callers pass one in (only ``tunelake.cli`` and the test/bench
 helper ``tunelake.session.local_session`` build one).
 
