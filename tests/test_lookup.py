@@ -62,3 +62,24 @@ def test_empty_lookup_gives_null_names(spark):
 def test_latest_of_nothing_is_no_row(spark):
     empty = spark.createDataFrame([], "ts string, id int, track string")
     assert latest(empty, ["ts", "id"], ["track"]).count() == 0
+
+
+def test_small_checkpointed_index_is_broadcast(spark, small_dir):
+    """The per-epoch pick joins a checkpointed index; while it is small Spark
+    broadcasts it (its size is checked against the threshold), so a
+    micro-batch never shuffles the lookup."""
+    from pyspark.sql import functions as F
+    from tunelake.session import checkpoint_root
+    from tunelake.sources.fixtures import read_table
+    checkpoint_root(spark)
+    lookup = read_table(spark, small_dir, "part").select(
+        "p_partkey", F.col("p_name").alias("track_name"))
+    idx = index_lookup(lookup, "p_partkey").checkpoint()
+    ev = read_table(spark, small_dir, "events")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = keyed_pick(ev, idx, ev.event_id, idx.count())._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
