@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,6 +27,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it (a
+    source tree that is on a shared path, as in tests); an installed package is
+    found either way."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInPandas`` with this package within reach of the workers."""
+    reach_workers(df.sparkSession)
+    return df.mapInPandas(run, schema)
+
+
 def fan_out(df: DataFrame) -> int:
     """Partitions for a shuffle on a key that the caller deals out itself."""
     n = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import slices
+from tunelake.llm.common import map_batches, slices
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "bucket int, ids array<int>")
@@ -104,10 +104,10 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 0,
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    cut = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .mapInPandas(pieces, PIECE_SCHEMA)
-               .withColumn("sequence_id", F.monotonically_increasing_id())
-               .withColumn("offset", F.lit(0).cast("long")))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    cut = (map_batches(rows, pieces, PIECE_SCHEMA)
+           .withColumn("sequence_id", F.monotonically_increasing_id())
+           .withColumn("offset", F.lit(0).cast("long")))
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
             "bucket"]
     return cut.select(*cols, *(["ids"] if with_ids else []))
