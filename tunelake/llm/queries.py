@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import mixing, packing, quality
+from tunelake.llm import langid, mixing, packing, quality, simhash, substrings
 from tunelake.llm.common import read
 
 
@@ -29,5 +29,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_quality": op3_quality, "op4_packing": op4_packing}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents")).select(
+        "doc_id", langid.is_held_out().alias("held_out"), "language.*")
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "repeats.n_words", "repeats.n_removed",
+        "repeats.kept_sha256")
+
+
+QUERIES = {
+    "op2_mixing": op2_mixing, "op3_quality": op3_quality, "op4_packing": op4_packing,
+    "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
+}
 ORACLE: dict[str, str] = {}
