@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import langid, mixing, packing, quality, simhash, substrings
+from tunelake.llm import ann, langid, mixing, packing, quality, scoring, simhash, substrings
 from tunelake.llm.common import read
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_epoch", "mix_block",
@@ -29,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
@@ -46,7 +54,7 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_mixing": op2_mixing, "op3_quality": op3_quality, "op4_packing": op4_packing,
-    "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
+    "op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_quality": op3_quality,
+    "op4_packing": op4_packing, "op5_scoring": op5_scoring, "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
 }
 ORACLE: dict[str, str] = {}
