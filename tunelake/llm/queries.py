@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import ann, langid, mixing, packing, quality, scoring, simhash, substrings
+from tunelake.llm import (
+    ann, langid, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
 from tunelake.llm.common import read
+from tunelake.llm.oracle import ORACLE
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -53,8 +55,20 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repeats.kept_sha256")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "repeats.n_bytes", "repeats.n_removed",
+        "repeats.n_spans", "repeats.kept_sha256")
+
+
+def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_quality": op3_quality,
     "op4_packing": op4_packing, "op5_scoring": op5_scoring, "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
+    "op9_suffixes": op9_suffixes, "op10_pages": op10_pages,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
