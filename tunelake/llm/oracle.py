@@ -14,8 +14,8 @@ def quality_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
                   {_WORDS} AS words FROM documents),
-l AS (SELECT *, list_filter(string_split(text, chr(10)),
-                            x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+l AS (SELECT *, [x FOR x IN string_split(text, chr(10))
+                  IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines FROM d),
 g AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
       FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
 r AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
@@ -26,7 +26,7 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words,
                  AS n_symbols,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
-             len(list_filter(words, x -> lower(x) IN ({stop}))) AS n_stop
+             len([x FOR x IN words IF lower(x) IN ({stop})]) AS n_stop
       FROM l LEFT JOIN c USING (rid)),
 x AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
              word_chars::DOUBLE / greatest(n_words, 1) AS mean_word_chars,
