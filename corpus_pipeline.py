@@ -18,40 +18,53 @@ from tunelake.llm.common import read, staged
 from tunelake.llm.queries import tokenizer_path
 
 MIN_LANGUAGE_SCORE = 0.5
+_USED = ("doc_id", "text", "lang", "source")
+
+
+def _lean(docs: DataFrame) -> DataFrame:
+    """What operators use, and the other columns out of their way in ``_rest``."""
+    rest = [F.col(c) for c in docs.columns if c not in _USED]
+    return docs.select(*_USED, F.struct(*rest, F.lit(1).alias("_")).alias("_rest"))
+
+
+def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``docs``."""
+    return rows.select(*[F.col(c) if c in _USED else F.col("_rest")[c].alias(c)
+                         for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a letter whose best language has at least half the words."""
-    known = langid.identify(docs).filter(
+    known = langid.identify(_lean(docs)).filter(
         (F.col("language.lang_pred") != langid.UNKNOWN)
         & (F.col("language.score") >= MIN_LANGUAGE_SCORE))
-    return known.select(*docs.columns)
+    return _back(known, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group: the least id (rows without
     an id come last, then the first row)."""
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = staged(_lean(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
     groups = simhash.near_duplicates(rows, keys=("_row",))
     first = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
-    return rows.join(first.select("first._row"), "_row").select(*docs.columns)
+    return _back(rows.join(first.select("first._row"), "_row"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes words of passages that start in an earlier document; a text that
     loses none is left as it is."""
-    rows = substrings.remove_repeats(docs, with_text=True)
-    left = {"text": F.coalesce("repeats.kept_text", "text")}
+    rows = substrings.remove_repeats(_lean(docs), with_text=True)
     if "n_chars" in docs.columns:
         size = F.length("repeats.kept_text").cast(docs.schema["n_chars"].dataType)
-        left["n_chars"] = F.coalesce(size, F.col("n_chars"))
-    return rows.withColumns(left).select(*docs.columns)
+        size = F.coalesce(size, F.col("_rest.n_chars"))
+        rows = rows.withColumn("_rest", F.col("_rest").withField("n_chars", size))
+    return _back(rows.withColumn("text", F.coalesce("repeats.kept_text", "text")), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources meet their weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    return _back(mixing.mix(_lean(docs)), docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
