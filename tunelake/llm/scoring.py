@@ -68,7 +68,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if len(seen) > _FLUSH:
                     yield out()
                     seen.clear()
-        yield out()
+        if seen:
+            yield out()
 
     return (map_batches(docs.select("text"), run, "word string, c long")
             .groupBy("word").agg(F.sum("c").alias("c")))

@@ -100,10 +100,11 @@ def _hot_links(table: DataFrame, probes: DataFrame, distance: int, block: int) -
                 .select("key", "i_tb", "i_pb", "fp"))
 
     def forest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        t, p = left["fp"].to_numpy(), right["fp"].to_numpy()
+        t, p = (np.ascontiguousarray(x["fp"].to_numpy(np.int64)) for x in (left, right))
         out, free_t, free_p = [], np.ones(len(t), bool), np.ones(len(p), bool)
         if len(t) and len(p):
-            near = np.bitwise_count(t[:, None] ^ p[None, :]) <= distance
+            apart = t.view(np.uint64)[:, None] ^ p.view(np.uint64)[None, :]
+            near = np.bitwise_count(apart) <= distance
             for seed in range(len(t)):
                 wave = [seed] if free_t[seed] else []
                 free_t[seed] = False

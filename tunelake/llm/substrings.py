@@ -39,7 +39,7 @@ _PIECES = "doc_id long, tag int, seed long, digest long, at long"
 class _Words:
     """The words of some texts in one run, with hashes and byte places."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], hashed: bool = True):
         import xxhash
         split = [byte_words(t) for t in texts]
         words = [w for ws in split for w in ws]
@@ -49,7 +49,8 @@ class _Words:
         lens = np.fromiter(map(len, words), np.int64, len(words))
         self.end = np.cumsum(lens + 1) - 1
         self.begin = self.end - lens
-        self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        if hashed:
+            self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
     def digests(self, start: np.ndarray, size: np.ndarray, salt: np.ndarray) -> np.ndarray:
         """Hash of the bytes of ``size`` words from ``start``, salted."""
@@ -108,20 +109,18 @@ def _open_edges(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, text, pieces in zip(pdf["doc_id"], pdf["text"], pdf["pieces"]):
-                words = _Words([text])
-                at = np.array([p["at"] for p in pieces], np.int64)
+            for doc, text, seed, digest, at in zip(*(pdf[c] for c in pdf.columns)):
+                words = _Words([text], hashed=False)
                 n = at & 15
-                j = np.concatenate([np.arange(c) for c in n])
+                j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = np.repeat(at >> 4, n) + j
                 edge = words.digests(start, np.full(len(start), window), np.zeros(len(start), int))
-                yield pd.DataFrame({
-                    "seed": np.repeat(np.array([p["seed"] for p in pieces], np.int64), n),
-                    "digest": np.repeat(np.array([p["digest"] for p in pieces], np.int64), n),
-                    "j": j, "edge": edge.view(np.int64), "least_doc": doc})
+                yield pd.DataFrame({"seed": np.repeat(seed, n), "digest": np.repeat(digest, n),
+                                    "j": j, "edge": edge.view(np.int64), "least_doc": doc})
 
-    return map_batches(docs.join(wanted, ["doc_id", "tag"]).select("doc_id", "text", "pieces"), run,
-                       "seed long, digest long, j int, edge long, least_doc long")
+    joined = docs.join(wanted, ["doc_id", "tag"])
+    return map_batches(joined.select("doc_id", "text", "pieces.seed", "pieces.digest", "pieces.at"),
+                       run, "seed long, digest long, j int, edge long, least_doc long")
 
 
 def repeated_spans(docs: DataFrame, window: int = 13, k: int = 5) -> DataFrame:

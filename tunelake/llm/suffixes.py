@@ -173,22 +173,20 @@ def _contexts(docs: DataFrame, sources: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, tag, text, pieces in zip(pdf["doc_id"].astype("Int64"), pdf["tag"],
-                                              pdf["text"], pdf["pieces"]):
+            for doc, tag, text, seed, n, m, at in zip(pdf["doc_id"].astype("Int64"),
+                                                      *(pdf[c] for c in pdf.columns[1:])):
                 raw = text.encode("utf-8")
-                rows = []
-                for p in pieces:
-                    start, offset, n = p["at"] >> 16, (p["at"] >> 8) & 255, p["at"] & 255
-                    rows.append((p["seed"], p["n"], p["m"], doc, tag, p["at"],
-                                 raw[start:start + offset][::-1],
-                                 raw[start + offset:start + n + length - 1]))
-                out = pd.DataFrame(rows, columns=["seed", "n", "m", "doc_id", "tag", "at",
-                                                  "left", "right"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                start, middle = at >> 16, (at >> 16) + ((at >> 8) & 255)
+                stop = start + (at & 255) + length - 1
+                yield pd.DataFrame({
+                    "seed": seed, "n": n, "m": m, "doc_id": pd.array([doc] * len(at), "Int64"),
+                    "tag": tag, "at": at,
+                    "left": [raw[a:b][::-1] for a, b in zip(start.tolist(), middle.tolist())],
+                    "right": [raw[a:b] for a, b in zip(middle.tolist(), stop.tolist())]})
 
     joined = docs.join(wanted, docs.doc_id.eqNullSafe(F.col("w_doc")) & (docs.tag == F.col("w_tag")))
-    return map_batches(joined.select("doc_id", "tag", "text", "pieces"), run,
+    parts = [F.col("pieces")[c].alias(c) for c in ("seed", "n", "m", "at")]
+    return map_batches(joined.select("doc_id", "tag", "text", *parts), run,
                        "seed long, n long, m long, doc_id long, tag int, at long, left binary, "
                        "right binary")
 
