@@ -25,8 +25,8 @@ def test_readme_batch_flow(spark, small_dir):
 
     landing = scratch_path(spark, "api-landing")
     chart_documents(spark, small_dir).write.json(landing)
-    flat = tl.flatten_chart(tl.read_chart_documents(spark, landing))
-    tl.save_daily_chart(flat, root, scratch_path(spark, "api-history"))
+    tl.save_daily_chart(tl.read_chart_documents(spark, landing), root,
+                        scratch_path(spark, "api-history"))
 
     tables = {n: tl.read_published(spark, root, n) for n in list(paths) + ["daily_charts"]}
     countries = [r.country for r in tl.country_options(tables["top_genre_all_time"]).collect()]

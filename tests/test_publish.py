@@ -29,7 +29,7 @@ def test_empty_publish_keeps_schema_and_missing_table_is_typed(spark):
 def test_uncommitted_snapshot_is_ignored_and_keep_prunes(spark):
     root = scratch_path(spark, "pub")
     for i in range(3):
-        publish(spark.createDataFrame([("A", "x", i)], SCHEMA), root, "t", keep=2)
+        publish(spark.createDataFrame([("A", "x", i)], SCHEMA), root, "t", keep=2, retain_s=0)
     assert len(snapshot_dirs(spark, root, "t")) == 2
     local = root.replace("file:", "")
     os.makedirs(f"{local}/t/v=999999999999999-half", exist_ok=True)   # no _SUCCESS

@@ -86,7 +86,7 @@ def test_dated_export_spreads_a_hot_day_and_keeps_every_row(spark, tmp_path):
     rows = [("2024-01-02" if i % 3 else "2024-01-03", i, f"a{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "d string, Rank bigint, Artist string")
     root = str(tmp_path / "hist")
-    export_dated_csv(df, root, F.to_date("d"), drop=("d",), replace="all", files_per_day=4)
+    export_dated_csv(df, root, F.to_date("d"), drop=("d",), replace="all", rows_per_file=50)
     back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
     assert sorted((r.dt, r.Rank) for r in back.collect()) == sorted(
         ("02-01-2024" if i % 3 else "03-01-2024", i) for i in range(300))
@@ -116,26 +116,18 @@ def test_dated_export_rerun_replaces_only_its_day(spark, tmp_path):
         (1, "a", "02-01-2024"), (1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
 
 
-def test_chart_documents_probe_lineitem_without_shuffling_it(spark, small_dir):
-    from tunelake.sources.fixtures import chart_documents
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = chart_documents(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    lines = plan.splitlines()
-
-    def depth(line):
-        return len(line) - len(line.lstrip(" :+-|"))
-
-    scan = next(i for i, s in enumerate(lines) if "FileScan parquet [l_orderkey" in s)
-    ancestors, d = [], depth(lines[scan])
-    for s in reversed(lines[:scan]):        # nearest ancestor first
-        if depth(s) < d:
-            ancestors.append(s.strip(" :+-|*0123456789()"))
-            d = depth(s)
-    first = next(a for a in ancestors if a.startswith(("Exchange", "BroadcastHashJoin",
-                                                       "SortMergeJoin", "ShuffledHashJoin")))
-    # lineitem is probed against the broadcast top orders before any exchange;
-    # only the few lines of those orders are shuffled afterwards
-    assert first.startswith("BroadcastHashJoin [l_orderkey"), first
+def test_chart_documents_keep_every_order(spark):
+    """Days of more than 50 orders (sf0.1) become several pages; ranks go on across them."""
+    from pyspark.sql import functions as F
+    from tunelake.sources.fixtures import chart_documents, read_table
+    sf = "/root/testdata/sf0.1"
+    docs = chart_documents(spark, sf)
+    flat = flatten_chart(docs, keep=("chartDate", "page"))
+    days = flat.groupBy("chartDate").agg(F.count("*").alias("n"), F.max("Rank").alias("last"),
+                                         F.countDistinct("Rank").alias("ranks"),
+                                         F.max("page").alias("page"))
+    total, pages = days.agg(F.sum("n"), F.max("page")).first()
+    assert total == read_table(spark, sf, "orders").count() == 150_000 and pages >= 1
+    assert days.filter("n <> last or n <> ranks").count() == 0
+    sizes = docs.select(F.size(docs.chartEntryViewResponses[0].entries).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] == 50

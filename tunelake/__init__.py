@@ -20,7 +20,10 @@ from tunelake.operators.clean import (
     CleanRules, clean, clean_chart_rows, count_rows, feature_rules, top_artist_rules,
     top_genre_rules, top_track_all_time_rules, top_track_by_year_rules,
 )
-from tunelake.operators.daily import flatten_chart, newest_chart, sorted_by_rank
+from tunelake.operators.daily import (
+    flatten_chart, newest_chart, newest_documents, sorted_by_rank,
+)
+from tunelake.operators.position import positioned
 from tunelake.operators.profile import mean_by
 from tunelake.operators.rank import sum_by, top_n, top_n_per_group
 from tunelake.operators.views import (
@@ -65,7 +68,7 @@ __all__ = [
     "save_daily_chart", "publish", "snapshot_dirs", "export_dated_csv", "write_messages",
     "write_kafka",
     # charts and views
-    "flatten_chart", "newest_chart", "sorted_by_rank", "country_options", "country_slice",
+    "flatten_chart", "newest_chart", "newest_documents", "positioned", "sorted_by_rank", "country_options", "country_slice",
     "headline", "hierarchy_totals", "metric_pick", "metric_long", "metric_labels", "preview",
     "energy_view", "dashboard_view", "has_rows",
     # events and streams

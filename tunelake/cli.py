@@ -10,6 +10,8 @@ the master and settings come from ``spark-submit`` / the cluster defaults), and
   encode       Q7: source CSV rows -> JSON event messages on a topic
   enrich       Q8: topic -> decoded, stamped JSON values (runs until stopped)
   now-playing  Q13: result topic -> live now_playing table (runs until stopped)
+  feed         Q13: result topic + lookup CSV -> every event with a track name,
+               appended per epoch (runs until stopped)
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunelake.plans.jobs import DEFAULT_ARTIST_PREFIX, DEFAULT_YEAR
 
@@ -38,13 +42,17 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--root", required=True)
     d.add_argument("--history", required=True)
     d.add_argument("--chart-index", type=int, default=0)
+    d.add_argument("--date", default=None, help="yyyy-MM-dd of documents that state none "
+                                                "(default: the day of the run)")
+    d.add_argument("--multi-line", action="store_true", help="one document per file, any layout")
 
     e = sub.add_parser("encode", help="Q7: source CSV -> event messages")
     e.add_argument("--source-csv", required=True)
     e.add_argument("--topic", required=True, help="topic folder, or Kafka topic with --servers")
     e.add_argument("--servers", default=None)
 
-    for name, text in (("enrich", "Q8 stream"), ("now-playing", "Q13 live stream")):
+    for name, text in (("enrich", "Q8 stream"), ("now-playing", "Q13 live stream"),
+                       ("feed", "Q13 live feed")):
         s = sub.add_parser(name, help=text)
         s.add_argument("--topic", required=True)
         s.add_argument("--checkpoint", required=True)
@@ -55,6 +63,10 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--sink", default=None, help="result folder (without --servers)")
             s.add_argument("--result-topic", default="result")
             s.add_argument("--on-bad", choices=("keep", "drop"), default="keep")
+        elif name == "feed":
+            s.add_argument("--sink", required=True, help="feed folder")
+            s.add_argument("--lookup-csv", required=True)
+            s.add_argument("--lookup-col", default="track_name")
         else:
             s.add_argument("--root", required=True)
     return p
@@ -64,18 +76,20 @@ def run(spark: SparkSession, argv: list[str]):
     """Run one command on ``spark``; returns what the command produced
     (snapshot paths, or the started ``StreamingQuery``)."""
     import tunelake as tl
-    from tunelake.schema import EVENT_SOURCE_RENAMES, FEED_TRACK_ID, NOW_PLAYING
+    from tunelake.schema import EVENT_SCHEMA, FEED_TRACK_ID, NOW_PLAYING, PROCESSING_TIME_COLUMN
 
-    a = _parser().parse_args(argv)
+    parser = _parser()
+    a = parser.parse_args(argv)
+    if a.cmd == "enrich" and not (a.sink or a.servers):
+        parser.error("enrich needs --sink (a folder) or --servers (Kafka)")
     if a.cmd == "refresh":
         return tl.refresh_results(tl.read_chart_csv(spark, a.chart_csv), a.root, a.year,
                                   a.artist_prefix, a.keep)
     if a.cmd == "daily-chart":
-        flat = tl.flatten_chart(tl.read_chart_documents(spark, a.landing), a.chart_index)
-        return tl.save_daily_chart(flat, a.root, a.history)
+        docs = tl.read_chart_documents(spark, a.landing, a.multi_line)
+        return tl.save_daily_chart(docs, a.root, a.history, a.date, a.chart_index)
     if a.cmd == "encode":
-        src = tl.read_lenient_csv(spark, a.source_csv, [s for s, _ in EVENT_SOURCE_RENAMES])
-        msgs = tl.encode_events(tl.rename_source_columns(src))
+        msgs = tl.encode_events(tl.rename_source_columns(tl.read_lenient_csv(spark, a.source_csv)))
         if a.servers:
             return tl.write_kafka(msgs, a.servers, a.topic)
         return tl.write_messages(msgs, a.topic)
@@ -84,13 +98,27 @@ def run(spark: SparkSession, argv: list[str]):
         return tl.start_enrich(stream, a.sink, a.checkpoint, a.trigger, a.on_bad,
                                a.servers, a.result_topic)
 
+    if a.cmd == "feed":
+        lookup = tl.read_lookup(spark, a.lookup_csv, a.lookup_col).withColumnRenamed(
+            a.lookup_col, "track_name")
+        indexed = tl.index_lookup(lookup.withColumn("_key", F.col("track_name")), "_key")
+        n = indexed.count()
+        schema = T.StructType(EVENT_SCHEMA.fields
+                              + [T.StructField(PROCESSING_TIME_COLUMN, T.TimestampType())])
+
+        def feed(values):
+            ev = values.select(F.from_json("value", schema).alias("d")).select("d.*")
+            return tl.now_playing_rows(ev, indexed, n)
+
+        return tl.start_append(stream, a.sink, a.checkpoint, feed, a.trigger)
+
     def prepare(values):
-        from pyspark.sql import functions as F
         ev = tl.decode_events(values)
         return ev.select("event_id", tl.with_default("track_id").alias(FEED_TRACK_ID), "created_at",
-                         F.col("event_id").cast("bigint").alias("_eid"))
+                         F.col("event_id").try_cast("bigint").alias("_eid"))
 
-    return tl.start_latest(stream, a.root, NOW_PLAYING, a.checkpoint, ["created_at", "_eid"],
+    return tl.start_latest(stream, a.root, NOW_PLAYING, a.checkpoint,
+                           ["created_at", "_eid", "event_id"],
                            ["event_id", FEED_TRACK_ID, "created_at"], prepare, a.trigger)
 
 

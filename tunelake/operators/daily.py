@@ -31,17 +31,34 @@ def flatten_chart(docs: DataFrame, chart_index: int = 0,
 
 
 def sorted_by_rank(df: DataFrame) -> DataFrame:
-    """O2: ascending rank (a distributed range sort)."""
-    return df.orderBy(F.col("Rank").asc_nulls_first())
+    """O2: ascending rank, within the date if there is one; ties by track name. A
+    distributed range sort over all these columns, so equal ranks can be split."""
+    order = [c for c in ("chartDate", "Rank", "TrackName") if c in df.columns]
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
 
-def newest_chart(flat: DataFrame, date_col: str = "chartDate") -> DataFrame:
-    """Q6: the rows of the newest chart only (what replaces ``daily_charts``).
+def newest_documents(docs: DataFrame, date: str | None = None) -> DataFrame:
+    """Q6: the documents of the newest chart, each page once.
 
-    The newest date is a scalar subquery (one aggregate with a map-side partial
-    ``max``) used as a filter value: no driver collect and no join.
-    ``date_col`` must order chronologically: a date, or ISO ``yyyy-MM-dd`` text
-    (as the landed documents carry); convert other text with ``to_date`` first.
+    A document without a date gets ``date`` (ISO ``yyyy-MM-dd``), or the day of the
+    run, as the reference stamps it. Of several documents for one page of the
+    newest date the one that landed last stays (ties by file name, then by content).
+    Both picks are aggregates with a map-side partial step.
     """
-    newest = flat.agg(F.max(date_col)).scalar()
-    return flat.filter(F.col(date_col) == newest)
+    day = F.lit(date) if date is not None else F.current_date().cast("string")
+    dated = docs.withColumn("chartDate", F.coalesce("chartDate", day))
+    newest = dated.agg(F.max("chartDate")).scalar()
+    extra = {c: F.lit(None).cast(t) for c, t in
+             (("page", "long"), ("landed", "timestamp"), ("landed_file", "string"))
+             if c not in docs.columns}
+    body = F.struct("chartDate", "chartEntryViewResponses")
+    last = F.struct("landed", "landed_file", F.to_json(body))
+    return (dated.withColumns(extra).filter(F.col("chartDate") == newest)
+            .groupBy(F.coalesce("page", F.lit(0)).alias("page"))
+            .agg(F.max_by(body, last).alias("d")).select("page", "d.*"))
+
+
+def newest_chart(flat: DataFrame, date_col: str = "chartDate") -> DataFrame:
+    """The rows of the newest date of an already flat chart history (``date_col`` must
+    order chronologically). The date is a scalar subquery: no collect, no join."""
+    return flat.filter(F.col(date_col) == flat.agg(F.max(date_col)).scalar())

@@ -53,7 +53,10 @@ def top_n(df: DataFrame, partition: Sequence[str], measure: str,
     order = ranking_order(measure, tie_keys)
     spark = df.sparkSession
     limit = int(spark.conf.get(_LIMIT_CONF, "1000"))
-    if n <= limit or not tie_keys:
+    if n > limit and not tie_keys:
+        raise ValueError(f"n > {limit} needs tie keys: without a total order the rows of a "
+                         "partition cannot be cut bucket by bucket")
+    if n <= limit:
         return _first_n(df, partition, order, n)
     buckets = shuffle_partitions(spark)
     salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*tie_keys), F.lit(buckets)))

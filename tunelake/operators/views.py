@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.functions.format import streams_label, two_decimals
-from tunelake.schema import ALL_COUNTRIES
+from tunelake.operators.daily import sorted_by_rank
+from tunelake.schema import (
+    ALL_COUNTRIES, DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
+    TOP_SONGS_ALL_TIME,
+)
 
 
 def country_options(df: DataFrame, col: str = "country",
@@ -107,6 +111,15 @@ def energy_view(df: DataFrame, country: str | None,
 VIEW_NAMES = ("Top Songs", "Top Artists", "Top Genre", "Energy Map", "Trending Now")
 # ---------------------------------------------------------------------------
 
+# In the order of VIEW_NAMES: the table a view serves, and the view.
+_VIEWS = dict(zip(VIEW_NAMES, (
+    (TOP_SONGS_ALL_TIME, lambda t, country, metric: headline(t, country, "track_name")),
+    (TOP_ARTIST_PER_GENRE, lambda t, country, metric: hierarchy_totals(t)),
+    (TOP_GENRE_ALL_TIME, lambda t, country, metric: headline(t, country, "genre")),
+    (ENERGY_PER_COUNTRY, lambda t, country, metric: energy_view(t, country, metric)),
+    (DAILY_CHARTS, lambda t, country, metric: sorted_by_rank(t)),
+)))
+
 
 def dashboard_view(name: str, tables: dict[str, DataFrame], country: str | None = None,
                    metric: str = "avg_energy") -> DataFrame:
@@ -115,19 +128,7 @@ def dashboard_view(name: str, tables: dict[str, DataFrame], country: str | None
     ``tables`` maps catalog names (``tunelake.schema``) to result frames, e.g.
     ``{n: read_published(spark, root, n) for n in ...}``.
     """
-    from tunelake.operators.daily import sorted_by_rank
-    from tunelake.schema import (
-        DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
-        TOP_SONGS_ALL_TIME,
-    )
-    if name == "Top Songs":
-        return headline(tables[TOP_SONGS_ALL_TIME], country, "track_name")
-    if name == "Top Artists":
-        return hierarchy_totals(tables[TOP_ARTIST_PER_GENRE])
-    if name == "Top Genre":
-        return headline(tables[TOP_GENRE_ALL_TIME], country, "genre")
-    if name == "Energy Map":
-        return energy_view(tables[ENERGY_PER_COUNTRY], country, metric)
-    if name == "Trending Now":
-        return sorted_by_rank(tables[DAILY_CHARTS])
-    raise ValueError(f"unknown view {name!r}; expected one of {VIEW_NAMES}")
+    if name not in _VIEWS:
+        raise ValueError(f"unknown view {name!r}; expected one of {VIEW_NAMES}")
+    table, view = _VIEWS[name]
+    return view(tables[table], country, metric)

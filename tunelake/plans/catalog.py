@@ -102,6 +102,16 @@ def refresh_result_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published_summary(spark, root)
 
 
+def refresh_result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the five tables that the one-pass refresh publishes."""
+    from tunelake.plans.refresh import published_rows, refresh_results
+    from tunelake.session import scratch_path
+    root = scratch_path(spark, "results")
+    refresh_results(chart_view(spark, sf_dir), root, oracle.FIXTURE_YEAR,
+                    oracle.FIXTURE_ARTIST_PREFIX)
+    return published_rows(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "top_genre_by_country": top_genre_by_country,
     "top_track_all_time": top_track_all_time,
@@ -119,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "feature_labels": feature_labels,
     "preview_first5": preview_first5,
     "refresh_result_tables": refresh_result_tables,
+    "refresh_result_rows": refresh_result_rows,
 }
 
 from tunelake.plans import dashboard, roundtrips, streams  # noqa: E402
@@ -144,6 +155,7 @@ ORACLE: dict[str, str] = {
     "feature_labels": oracle.feature_labels(),
     "preview_first5": oracle.preview_first5(),
     "refresh_result_tables": oracle.refresh_summary(),
+    "refresh_result_rows": oracle.refresh_rows(),
 }
 
 ORACLE.update(roundtrips.ORACLE)

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunelake.operators.daily import flatten_chart
 from tunelake.operators.views import country_options, dashboard_view
 from tunelake.plans import jobs, oracle
 from tunelake.plans.refresh import save_daily_chart
@@ -88,7 +87,7 @@ def view_trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``daily_charts`` (and exported) -> served by rank."""
     docs = read_chart_documents(spark, land_chart_documents(spark, sf_dir))
     root = scratch_path(spark, "published")
-    save_daily_chart(flatten_chart(docs), root, scratch_path(spark, "chart-history"))
+    save_daily_chart(docs, root, scratch_path(spark, "chart-history"))
     return dashboard_view("Trending Now", {DAILY_CHARTS: read_published(spark, root, DAILY_CHARTS)})
 
 

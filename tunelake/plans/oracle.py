@@ -228,3 +228,21 @@ def refresh_summary() -> str:
     parts.append("SELECT 'energy_per_country' AS table_name, COUNT(*) AS n, "
                  "CAST(NULL AS BIGINT) AS total FROM q5")
     return sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def refresh_rows() -> str:
+    ctes = [CHART_CTE, Q1_ROWS, Q2_ROWS.format(year=FIXTURE_YEAR), Q3_ROWS,
+            Q4_ROWS.format(prefix=FIXTURE_ARTIST_PREFIX), Q5_ROWS,
+            q1_ctes()[-1], q2_ctes()[-1], q3_ctes()[-1], q4_ctes()[-1], q5_ctes()[-1]]
+    none = "CAST(NULL AS VARCHAR)"
+    parts = [f"SELECT '{name}' AS table_name, {', '.join(f'{(keys + [none] * 3)[i]} AS k{i + 1}' for i in range(3))}, "
+             f"total_streams, CAST(NULL AS DOUBLE) AS avg_danceability, CAST(NULL AS DOUBLE) AS avg_energy "
+             f"FROM {q}"
+             for name, q, keys in (
+                 ("top_songs_all_time", "q1", ["country", "track_name", "uri"]),
+                 ("top_song_2020", "q2", ["country", "track_name"]),
+                 ("top_genre_all_time", "q3", ["country", "genre"]),
+                 ("top_artist_per_genre", "q4", ["genre", "artist", "artist_id"]))]
+    parts.append(f"SELECT 'energy_per_country', country, {none}, {none}, CAST(NULL AS BIGINT), "
+                 "avg_danceability, avg_energy FROM q5")
+    return sql(ctes, "\nUNION ALL\n".join(parts))

@@ -16,6 +16,8 @@ published from it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +26,12 @@ from tunelake.operators.clean import (
     condition, feature_rules, top_artist_rules, top_genre_rules, top_track_all_time_rules,
     top_track_by_year_rules,
 )
-from tunelake.operators.daily import newest_chart
+from tunelake.operators.daily import flatten_chart, newest_documents
 from tunelake.operators.rank import top_n
 from tunelake.plans import jobs
 from tunelake.schema import (
-    DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME, TOP_SONG_2020,
-    TOP_SONGS_ALL_TIME,
+    DAILY_CHARTS, ENERGY_PER_COUNTRY, RESULT_SCHEMAS, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
+    TOP_SONG_2020, TOP_SONGS_ALL_TIME,
 )
 from tunelake.session import scratch_path
 from tunelake.sinks.export import export_dated_csv
@@ -144,10 +146,45 @@ def published_summary(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
-def save_daily_chart(flat: DataFrame, root: str, history_root: str,
-                     date_col: str = "chartDate") -> str:
-    """Q6 (K1 + K2): the newest chart replaces ``daily_charts`` and is added
-    to the dated CSV history; returns the published snapshot path."""
-    current = newest_chart(flat, date_col)
-    export_dated_csv(current, history_root, F.to_date(date_col), drop=(date_col,))
-    return publish(current.drop(date_col), root, DAILY_CHARTS)
+def published_rows(spark: SparkSession, root: str) -> DataFrame:
+    """All rows of the five published tables in one shape: table, three keys, the
+    stream total and the two means (to six decimals)."""
+    def row(t: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        texts = [(F.col(keys[i]) if i < len(keys) else F.lit(None).cast("string")).alias(f"k{i + 1}")
+                 for i in range(3)]
+        numbers = [(F.col(c) if c in t.columns else F.lit(None)).cast(kind).alias(c)
+                   for c, kind in (("total_streams", "bigint"), ("avg_danceability", "double"),
+                                   ("avg_energy", "double"))]
+        return t.select(F.lit(name).alias("table_name"), *texts, numbers[0],
+                        *[F.round(c, 6).alias(n) for c, n in
+                          zip(numbers[1:], ("avg_danceability", "avg_energy"))])
+
+    parts = [row(read_published(spark, root, name), name, keys) for name, keys in (
+        (TOP_SONGS_ALL_TIME, ["country", "track_name", "uri"]),
+        (TOP_SONG_2020, ["country", "track_name"]), (TOP_GENRE_ALL_TIME, ["country", "genre"]),
+        (TOP_ARTIST_PER_GENRE, ["genre", "artist", "artist_id"]), (ENERGY_PER_COUNTRY, ["country"]))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def save_daily_chart(docs: DataFrame, root: str, history_root: str, date: str | None = None,
+                     chart_index: int = 0) -> str:
+    """Q6 (K1 + K2): the newest chart of the landed documents ``docs`` replaces
+    ``daily_charts`` and is added to the dated CSV history; returns the published
+    snapshot path.
+
+    The landing is read for its dates and for the newest chart, which is stored; the
+    check, the export and the publish read that table. Documents that yield no entries raise an error
+    and leave the published table as it is.
+    """
+    spark = docs.sparkSession
+    stage = scratch_path(spark, "daily-chart")
+    flatten_chart(newest_documents(docs, date), chart_index).write.parquet(stage)
+    chart = spark.read.schema("chartDate string, " + RESULT_SCHEMAS[DAILY_CHARTS]).parquet(stage)
+    if chart.isEmpty():
+        remove_path(spark, stage)
+        raise ValueError("the newest chart documents have no entries; nothing is published "
+                         "(one JSON object per line is expected, or multi_line=True)")
+    export_dated_csv(chart, history_root, F.to_date("chartDate"), drop=("chartDate",))
+    path = publish(chart.drop("chartDate"), root, DAILY_CHARTS)
+    remove_path(spark, stage)
+    return path

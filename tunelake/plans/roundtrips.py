@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.operators.daily import flatten_chart, sorted_by_rank
+from tunelake.operators.position import positioned
 from tunelake.plans import jobs, oracle
 from tunelake.schema import RESULT_SCHEMAS, TOP_GENRE_ALL_TIME
 from tunelake.session import scratch_path
@@ -21,14 +22,16 @@ from tunelake.sources.charts import (
     read_chart_csv, read_chart_documents, read_lenient_csv,
 )
 from tunelake.sources.fixtures import (
-    chart_documents, chart_view, event_source_header, event_source_lines,
+    chart_documents, chart_view, event_source_header, event_source_lines, shuffled_source_lines,
 )
 from tunelake.streaming.events import rename_source_columns
+from tunelake.plans.streams import source_fields_sql
 from tunelake.schema import EVENT_SOURCE_RENAMES
+from tunelake.sources.fixtures import EVENT_NUMBERS
 
 
 def land_chart_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Write the per-day chart documents as JSON lines (the landing folder)."""
+    """Write the pages of the days' chart documents as JSON lines (the landing folder)."""
     path = scratch_path(spark, "chart-landing")
     chart_documents(spark, sf_dir).write.json(path)
     return path
@@ -65,8 +68,28 @@ def csv_lenient_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # so the comma-separated line is written verbatim, header in every file
     (event_source_lines(spark, sf_dir).toDF(event_source_header())
         .write.option("header", True).option("sep", "\t").csv(path))
-    rows = read_lenient_csv(spark, path, [s for s, _ in EVENT_SOURCE_RENAMES])
-    return rename_source_columns(rows)
+    return rename_source_columns(read_lenient_csv(spark, path))
+
+
+def csv_lenient_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + P7: fields bound by header name, whatever their order; surplus fields
+    counted, also empty ones; texts that mean missing are null."""
+    lines, header = shuffled_source_lines(spark, sf_dir)
+    path = scratch_path(spark, "event-shuffled-csv")
+    (lines.toDF(header).write.option("header", True).option("sep", "\t").option("quote", "\u0000")
+          .option("escapeQuotes", False).csv(path))
+    return rename_source_columns(read_lenient_csv(spark, path))
+
+
+def daily_chart_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the place of every chart row in the sorted frame."""
+    docs = read_chart_documents(spark, land_chart_documents(spark, sf_dir))
+    path = scratch_path(spark, "chart-sorted")
+    (sorted_by_rank(flatten_chart(docs)).withColumns(
+        {"part": F.spark_partition_id(), "n": F.monotonically_increasing_id()})
+        .write.parquet(path))
+    return positioned(spark.read.parquet(path), ["part", "n"]).select(
+        "pos", "chartDate", "Rank", "TrackName")
 
 
 def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +107,8 @@ QUERIES = {
     "dated_export_roundtrip": dated_export_roundtrip,
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "csv_lenient_scan": csv_lenient_scan,
+    "csv_lenient_header": csv_lenient_header,
+    "daily_chart_order": daily_chart_order,
     "publish_replace": publish_replace,
 }
 
@@ -95,7 +120,6 @@ _CHART_DAYS = """days AS (
          row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE)
                             ORDER BY o_totalprice DESC, o_orderkey ASC) AS rnk
   FROM orders
-  QUALIFY rnk <= 50
 ),
 artists AS (
   SELECT l.l_orderkey, string_agg(s.s_name, ', ' ORDER BY l.l_linenumber, l.l_suppkey) AS names
@@ -110,36 +134,46 @@ flat AS (
   FROM days d LEFT JOIN artists a ON a.l_orderkey = d.o_orderkey
 )"""
 
+def _csv_text(source: str) -> str:
+    """A source column as it stands in the CSV text, missing texts null."""
+    expr = source_fields_sql()[source]
+    if source == "energy":
+        return "printf('%.2f', value)"
+    if source in EVENT_NUMBERS:      # a double's text, NaN is a missing text
+        return f"CAST({expr} AS VARCHAR)"
+    return expr
+
+
+def _lenient_sql() -> str:
+    """The first five fields of short lines, none of lines with a surplus field."""
+    cols = [f"{_csv_text(s)} AS {f}" if i < 5 else
+            f"CASE WHEN event_id % 89 <> 0 THEN {_csv_text(s)} END AS {f}"
+            for i, (s, f) in enumerate(EVENT_SOURCE_RENAMES)]
+    return ("SELECT\n  " + ",\n  ".join(cols)
+            + "\nFROM events\nWHERE event_id % 89 = 0 OR event_id % 97 <> 0")
+
+
+def _header_sql() -> str:
+    """Reverse header order, so a short line has ``extra``, ``key`` and ``energy``."""
+    cols = []
+    for s, f in EVENT_SOURCE_RENAMES:
+        expr = {"place": f"CASE WHEN event_id % 73 <> 0 THEN {_csv_text('place')} END",
+                "id": "CASE WHEN event_id % 71 <> 0 THEN CAST(event_id AS VARCHAR) END",
+                "mode": "CAST(NULL AS VARCHAR)"}.get(s) or _csv_text(s)
+        cols.append(f"{expr} AS {f}" if s in ("key", "energy", "mode") else
+                    f"CASE WHEN event_id % 89 <> 0 THEN {expr} END AS {f}")
+    return ("SELECT\n  " + ",\n  ".join(cols) + "\nFROM events\n"
+            "WHERE event_id % 89 = 0 OR (event_id % 97 <> 0 AND event_id % 83 <> 0)")
+
+
 ORACLE = {
     "daily_chart_flat": f"WITH {_CHART_DAYS}\nSELECT chartDate, Rank, Artist, TrackName FROM flat",
     "dated_export_roundtrip": f"WITH {_CHART_DAYS}\n"
                               "SELECT strftime(day, '%d-%m-%Y') AS dt, Rank, Artist, TrackName FROM flat",
     "csv_scan_roundtrip": oracle.q3(),
-    "csv_lenient_scan": """SELECT
-  CAST(event_id AS VARCHAR) AS event_id,
-  CAST(user_id AS VARCHAR) AS user_id,
-  json_extract_string(props, '$.k') AS track_id,
-  CAST(NULL AS VARCHAR) AS artist_id,
-  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
-  CAST(NULL AS VARCHAR) AS tweet_text_entities,
-  CASE WHEN event_id % 89 = 0 THEN NULL ELSE event_type END AS tweet_language,
-  CAST(NULL AS VARCHAR) AS user_language,
-  CAST(NULL AS VARCHAR) AS time_zone,
-  CAST(NULL AS VARCHAR) AS coordinates_geojson,
-  CAST(NULL AS VARCHAR) AS place_geojson,
-  CAST(NULL AS VARCHAR) AS geo_geojson,
-  CAST(NULL AS VARCHAR) AS music_instrumentalness,
-  CAST(NULL AS VARCHAR) AS music_liveness,
-  CAST(NULL AS VARCHAR) AS music_speechiness,
-  CAST(NULL AS VARCHAR) AS music_danceability,
-  CAST(NULL AS VARCHAR) AS music_valence,
-  CAST(NULL AS VARCHAR) AS music_loudness,
-  CAST(NULL AS VARCHAR) AS music_tempo,
-  CAST(NULL AS VARCHAR) AS music_acousticness,
-  CASE WHEN event_id % 89 = 0 THEN NULL ELSE printf('%.2f', value) END AS music_energy,
-  CAST(NULL AS VARCHAR) AS music_mode,
-  CAST(NULL AS VARCHAR) AS music_key
-FROM events
-WHERE event_id % 89 = 0 OR event_id % 97 <> 0""",
+    "csv_lenient_scan": _lenient_sql(),
+    "csv_lenient_header": _header_sql(),
+    "daily_chart_order": f"WITH {_CHART_DAYS}\nSELECT row_number() OVER (ORDER BY chartDate, Rank) - 1 "
+                         "AS pos, chartDate, Rank, TrackName FROM flat",
     "publish_replace": oracle.q3(),
 }

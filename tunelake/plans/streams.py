@@ -2,8 +2,8 @@
 
 The topic is produced by Spark from the ``events`` table (K7): the events are
 renamed to the message fields, encoded as JSON and written as text files in a
-fresh folder, 4 files keyed by user (like a keyed 4-partition topic). Each
-query then runs a real Structured Streaming job over that folder with an
+fresh folder, one file per input split: no fixed partition count, and no key that
+could send a hot user's events through one task. Each query then runs a real Structured Streaming job over that folder with an
 ``availableNow`` trigger and a fresh checkpoint, and returns what the sink
 holds, read back as a batch frame.
 """
@@ -15,44 +15,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelake.schema import (
-    EVENT_DOUBLE_FIELDS, EVENT_FIELDS, EVENT_SCHEMA, FEED_TRACK_ID, FEED_TRACK_NAME,
-    PROCESSING_TIME_COLUMN,
+    EVENT_SCHEMA, EVENT_SOURCE_RENAMES, FEED_TRACK_ID, FEED_TRACK_NAME, PROCESSING_TIME_COLUMN,
 )
-from tunelake.session import checkpoint_root, scratch_path
+from tunelake.session import scratch_path
 from tunelake.sinks.export import write_messages
-from tunelake.sources.fixtures import event_source_rows, read_table
+from tunelake.sources.charts import read_lookup
+from tunelake.sources.fixtures import EVENT_NUMBERS, EVENT_TEXTS, event_source_rows, read_table
 from tunelake.streaming.events import (
-    decode_events, encode_events, index_lookup, latest, now_playing_rows,
+    decode_events, encode_events, index_lookup, keyed_pick, latest, now_playing_rows, random_key,
     rename_source_columns,
 )
-from tunelake.functions.format import with_default
+from tunelake.functions.format import time_of_day, with_default
 from tunelake.streaming.runner import (
     read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich, start_latest,
 )
 
-TOPIC_FILES = 4
 
-
-def event_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """Q7 (P7 X7): events as JSON message values.
-
-    With ``partitions``, the renamed rows are hash-partitioned by user first
-    (a keyed topic: one user's events stay in one partition, in order), so the
-    encoding runs in every partition instead of after the shuffle, and the key
-    is read from its column rather than parsed back out of the JSON.
-    """
-    rows = rename_source_columns(event_source_rows(spark, sf_dir))
-    if partitions:
-        rows = rows.repartition(partitions, "user_id")
-    return encode_events(rows)
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 (P7 X7): events as JSON message values, encoded where they are read."""
+    return encode_events(rename_source_columns(event_source_rows(spark, sf_dir)))
 
 
 def produce_topic(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> str:
-    """K7: write the messages to a new topic folder, one file per topic
-    partition (default: the events keyed by user, ``TOPIC_FILES`` partitions)."""
+    """K7: write the messages (default: the events) to a new topic folder."""
     topic = scratch_path(spark, "topic")
-    msgs = messages if messages is not None else event_messages(spark, sf_dir, TOPIC_FILES)
-    write_messages(msgs, topic)
+    write_messages(messages if messages is not None else event_messages(spark, sf_dir), topic)
     return topic
 
 
@@ -71,8 +58,8 @@ def event_decode_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with malformed lines injected by key arithmetic."""
-    msgs = event_messages(spark, sf_dir, TOPIC_FILES).withColumn(
-        "_id", F.get_json_object("value", "$.event_id").cast("bigint"))
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
+    msgs = encode_events(rows, beside=[F.col("event_id").cast("bigint").alias("_id")])
     v, i = F.col("value"), F.col("_id")
     dirty = (F.when(i % 53 == 0, F.expr("substring(value, 1, length(value) - 1)"))  # broken
               .when(i % 59 == 0, F.lit("[]"))
@@ -131,13 +118,13 @@ def event_append_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: events arrive in two waves; the stream is restarted on the same
     checkpoint after each wave and once more with nothing new. The sink must
     hold every event exactly once."""
-    msgs = event_messages(spark, sf_dir, TOPIC_FILES).withColumn(
-        "_wave", F.get_json_object("value", "$.event_id").cast("bigint") % 2)
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
     topic = scratch_path(spark, "topic")
     sink, ckpt = scratch_path(spark, "appended"), scratch_path(spark, "ckpt")
     for wave in (0, 1, None):
         if wave is not None:
-            write_messages(msgs.filter(F.col("_wave") == wave).select("value"), topic)
+            part = rows.filter(F.col("event_id").cast("bigint") % 2 == wave)
+            write_messages(encode_events(part), topic)
         run_to_end(start_append(read_topic(spark, topic, max_per_trigger=2), sink, ckpt,
                                 lambda b: decode_events(b)))
     return read_epochs(spark, sink)
@@ -146,19 +133,19 @@ def event_append_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13 live feed (S6 S3 F7 J1 X12 X13 T7 U2) over the enriched result topic."""
     result_sink = run_enrich(spark, sf_dir)
-    checkpoint_root(spark)  # registers a checkpoint folder when the session has none
-    lookup = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("track_name")) \
-        .dropna(subset=["track_name"])
-    # materialised once (reliable checkpoint below spark.checkpoint.dir), so
-    # micro-batches join a stored table instead of recomputing the index
-    indexed = index_lookup(lookup, "p_partkey").checkpoint()
+    source = scratch_path(spark, "lookup-csv")
+    (read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("track_name"))
+        .write.option("header", True).csv(source))
+    lookup = read_lookup(spark, source, keep=["p_partkey"]).withColumn(
+        "p_partkey", F.col("p_partkey").cast("bigint"))
+    indexed = index_lookup(lookup, "p_partkey")     # a stored table: batches only read it
     n = indexed.count()
     stream = read_topic(spark, result_sink + "/*", max_per_trigger=2)
     sink, ckpt = scratch_path(spark, "feed"), scratch_path(spark, "ckpt")
 
     def feed(batch: DataFrame) -> DataFrame:
         ev = batch.select(F.from_json("value", _result_schema()).alias("d")).select("d.*")
-        return now_playing_rows(ev, indexed, n, key=F.col("event_id").cast("bigint"))
+        return now_playing_rows(ev, indexed, n, key=F.col("event_id").try_cast("bigint"))
 
     run_to_end(start_append(stream, sink, ckpt, feed))
     out = read_epochs(spark, sink)
@@ -173,8 +160,8 @@ def now_playing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     reduces every task to one candidate row before the single final merge.
     """
     res = read_result_topic(spark, run_enrich(spark, sf_dir))
-    ordered = res.withColumn("_eid", F.col("event_id").cast("bigint"))
-    picked = latest(ordered, ["created_at", "_eid"], ["event_id", "track_id", "created_at"])
+    ordered = res.withColumn("_eid", F.col("event_id").try_cast("bigint"))
+    picked = latest(ordered, ["created_at", "_eid", "event_id"], ["event_id", "track_id", "created_at"])
     return picked.select("event_id", with_default("track_id").alias(FEED_TRACK_ID), "created_at")
 
 
@@ -190,14 +177,31 @@ def now_playing_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     def prepare(values: DataFrame) -> DataFrame:
         ev = values.select(F.from_json("value", _result_schema()).alias("d")).select("d.*")
         return ev.select("event_id", with_default("track_id").alias(FEED_TRACK_ID), "created_at",
-                         F.col("event_id").cast("bigint").alias("_eid"))
+                         F.col("event_id").try_cast("bigint").alias("_eid"))
 
     run_to_end(start_latest(read_topic(spark, result_sink + "/*", max_per_trigger=2), root,
-                            NOW_PLAYING, ckpt, ["created_at", "_eid"],
+                            NOW_PLAYING, ckpt, ["created_at", "_eid", "event_id"],
                             ["event_id", FEED_TRACK_ID, "created_at"], prepare))
     return read_published(spark, root, NOW_PLAYING)
 
 
+def random_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1, random mode, over all events: every event once, each with a name of the
+    lookup (which name is random, so only that is compared)."""
+    lookup = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("track_name"))
+    indexed = index_lookup(lookup, "p_partkey")
+    events = read_table(spark, sf_dir, "events").select("event_id")
+    names = lookup.select("track_name").distinct().withColumn("known", F.lit(True))
+    picked = keyed_pick(events, indexed, random_key(indexed.count(), seed=11), indexed.count())
+    return picked.join(names, "track_name", "left").select(
+        "event_id", F.coalesce("known", F.lit(False)).alias("in_lookup"))
+
+
+def event_time_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X13 on the events' own stamps."""
+    return read_table(spark, sf_dir, "events").select("event_id", time_of_day("ts").alias("label"))
+
+
 QUERIES = {
     "event_encode_fields": event_encode_fields,
     "event_decode_stream": event_decode_stream,
@@ -208,34 +212,38 @@ QUERIES = {
     "now_playing_feed": now_playing_feed,
     "now_playing_latest": now_playing_latest,
     "now_playing_live": now_playing_live,
+    "random_pick": random_pick,
+    "event_time_labels": event_time_labels,
 }
 
 
 # --- oracle SQL ----------------------------------------------------------------
 
-def _event_fields(bad: str | None = None, energy_bad: str | None = None) -> str:
-    """The 23 decoded fields; ``bad`` nulls every field, ``energy_bad`` only energy."""
-    def g(expr: str, typ: str, extra: str | None = None) -> str:
-        conds = [c for c in (bad, extra) if c]
-        if not conds:
-            return f"CAST({expr} AS {typ})"
-        return f"CASE WHEN {' OR '.join(conds)} THEN NULL ELSE CAST({expr} AS {typ}) END"
-    strings = {
-        "event_id": "event_id", "user_id": "user_id",
+def source_fields_sql() -> dict[str, str]:
+    """DuckDB expression of every source column, by source name."""
+    out = {
+        "id": "CAST(event_id AS VARCHAR)", "user_id": "CAST(user_id AS VARCHAR)",
         "track_id": "json_extract_string(props, '$.k')",
         "created_at": "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')",
-        "tweet_language": "event_type",
+        "tweet_language": "event_type", "energy": "CAST(value AS DOUBLE)",
     }
+    for c, (prefix, m) in EVENT_TEXTS.items():
+        out[c] = f"CASE WHEN event_id % {m + 4} <> 0 THEN '{prefix}' || (event_id % {m}) END"
+    for c, (m, d) in EVENT_NUMBERS.items():      # NaN and missing are both left out of a message
+        out[c] = (f"CASE WHEN event_id % {m + 10} <> 0 AND event_id % {m + 6} <> 0 "
+                  f"THEN CAST(event_id % {m} AS DOUBLE) / {d}.0 END")
+    return out
+
+
+def _event_fields(bad: str | None = None, energy_bad: str | None = None) -> str:
+    """The 23 decoded fields; ``bad`` nulls every field, ``energy_bad`` only energy."""
+    source = source_fields_sql()
     cols = []
-    for f in EVENT_FIELDS:
-        if f == "music_energy":
-            cols.append(f"{g('value', 'DOUBLE', energy_bad)} AS {f}")
-        elif f in strings:
-            cols.append(f"{g(strings[f], 'VARCHAR')} AS {f}")
-        elif f in EVENT_DOUBLE_FIELDS:
-            cols.append(f"CAST(NULL AS DOUBLE) AS {f}")
-        else:
-            cols.append(f"CAST(NULL AS VARCHAR) AS {f}")
+    for s, f in EVENT_SOURCE_RENAMES:
+        conds = [c for c in (bad, energy_bad if f == "music_energy" else None) if c]
+        expr = source[s]
+        cols.append(f"CASE WHEN {' OR '.join(conds)} THEN NULL ELSE {expr} END AS {f}" if conds
+                    else f"{expr} AS {f}")
     return ",\n  ".join(cols)
 
 
@@ -248,6 +256,8 @@ _LATEST_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id,
 FROM events ORDER BY ts DESC, event_id DESC LIMIT 1"""
 
 ORACLE = {
+    "random_pick": "SELECT event_id, TRUE AS in_lookup FROM events",
+    "event_time_labels": "SELECT event_id, strftime(ts, '%H:%M:%S') AS label FROM events",
     "now_playing_live": _LATEST_SQL,
     "now_playing_latest": """SELECT CAST(event_id AS VARCHAR) AS event_id,
   coalesce(json_extract_string(props, '$.k'), 'Unknown Track') AS "track ID",

@@ -12,17 +12,31 @@ CHART_COLUMNS = [
 ]
 
 # Event message fields, in order, with their types (all nullable).
-EVENT_STRING_FIELDS = [
-    "event_id", "user_id", "track_id", "artist_id", "created_at",
-    "tweet_text_entities", "tweet_language", "user_language", "time_zone",
-    "coordinates_geojson", "place_geojson", "geo_geojson",
+EVENT_FIELD_TYPES = [
+    ("event_id", "string"),
+    ("user_id", "string"),
+    ("track_id", "string"),
+    ("artist_id", "string"),
+    ("created_at", "string"),
+    ("tweet_text_entities", "string"),
+    ("tweet_language", "string"),
+    ("user_language", "string"),
+    ("time_zone", "string"),
+    ("coordinates_geojson", "string"),
+    ("place_geojson", "string"),
+    ("geo_geojson", "string"),
+    ("music_instrumentalness", "double"),
+    ("music_liveness", "double"),
+    ("music_speechiness", "double"),
+    ("music_danceability", "double"),
+    ("music_valence", "double"),
+    ("music_loudness", "double"),
+    ("music_tempo", "double"),
+    ("music_acousticness", "double"),
+    ("music_energy", "double"),
+    ("music_mode", "string"),
+    ("music_key", "string"),
 ]
-EVENT_DOUBLE_FIELDS = [
-    "music_instrumentalness", "music_liveness", "music_speechiness",
-    "music_danceability", "music_valence", "music_loudness", "music_tempo",
-    "music_acousticness", "music_energy",
-]
-EVENT_TAIL_STRING_FIELDS = ["music_mode", "music_key"]
 
 # Source CSV column -> event message field (the simulator's rename map).
 EVENT_SOURCE_RENAMES = [
@@ -103,13 +117,12 @@ RESULT_SCHEMAS = {
     NOW_PLAYING: f"event_id string, `{FEED_TRACK_ID}` string, created_at string",
 }
 
-EVENT_SCHEMA = T.StructType(
-    [T.StructField(n, T.StringType(), True) for n in EVENT_STRING_FIELDS]
-    + [T.StructField(n, T.DoubleType(), True) for n in EVENT_DOUBLE_FIELDS]
-    + [T.StructField(n, T.StringType(), True) for n in EVENT_TAIL_STRING_FIELDS]
-)
+EVENT_SCHEMA = T.StructType([
+    T.StructField(n, T.DoubleType() if t == "double" else T.StringType(), True)
+    for n, t in EVENT_FIELD_TYPES])
 
-EVENT_FIELDS = [f.name for f in EVENT_SCHEMA.fields]
+EVENT_FIELDS = [n for n, _ in EVENT_FIELD_TYPES]
+EVENT_DOUBLE_FIELDS = [n for n, t in EVENT_FIELD_TYPES if t == "double"]
 
 CHART_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHART_COLUMNS])
 

@@ -52,7 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: point it at a folder every "
                                "executor can reach (scratch tables, lineage cuts and stream "
                                "checkpoints live there)")

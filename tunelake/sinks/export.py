@@ -11,7 +11,7 @@ from tunelake.session import shuffle_partitions
 
 def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
                      drop: tuple[str, ...] = (), replace: str = "days",
-                     files_per_day: int = 1) -> str:
+                     rows_per_file: int = 1_000_000) -> str:
     """K2: write ``df`` as CSV with a header under ``<root>/<partition_col>=<dd-MM-yyyy>``.
 
     ``day`` is a ``datetime.date``/``datetime`` or a date column expression
@@ -19,34 +19,33 @@ def export_dated_csv(df: DataFrame, root: str, day, partition_col: str = "dt",
     columns after the day label is computed.
     Dynamic partition overwrite replaces only that day's partition, so reruns
     of one day are idempotent and the other days' history is kept. Rows are
-    clustered by day before the write so each day becomes one file instead of
-    one file per task and day; a day's chart is bounded (its entry count), so
-    no task receives an unbounded group.
+    clustered by day before the write, so a day becomes one file instead of
+    one per task; a day of more than ``rows_per_file`` rows is dealt out, by a hash
+    of the whole row, to as many tasks (and files) as it needs. The rows of
+    each day are counted first (one small row a day, joined back), so ``df`` is
+    evaluated twice: store it if it is expensive. The hash is deterministic: a
+    retried task rebuilds exactly the rows it had.
 
     ``replace="days"`` (default) swaps only the days present in ``df``;
     ``replace="all"`` rewrites the whole history in one commit (a backfill),
     which avoids the per-partition commit work of dynamic overwrite.
-
-    ``files_per_day`` > 1 splits every day over that many tasks (and files)
-    by a hash of the whole row, for exports whose days are not bounded: a day
-    holding a third of all rows is then written by ``files_per_day`` tasks,
-    not one. The hash is deterministic, so a retried task rebuilds exactly
-    the rows it had.
     """
     if replace not in ("days", "all"):
         raise ValueError("replace must be 'days' or 'all'")
-    if files_per_day < 1:
-        raise ValueError("files_per_day must be >= 1")
+    if rows_per_file < 1:
+        raise ValueError("rows_per_file must be >= 1")
     label = export_date(F.lit(day) if not hasattr(day, "_jc") else day)
+    labelled = df.withColumn(partition_col, label).drop(*drop)
+    deal = F.pmod(F.xxhash64(*labelled.columns), F.col("_files"))
+    files = (labelled.groupBy(F.col(partition_col).alias("_day"))
+             .agg(F.ceil(F.count("*") / rows_per_file).alias("_files")))
+    out = labelled.join(files, F.col(partition_col).eqNullSafe(F.col("_day"))).withColumn(
+        "_deal", deal)
     # the partition count is pinned to the session's shuffle partitions: AQE
     # would otherwise coalesce this small shuffle into one task that writes
     # every day's file in sequence; empty partitions write no files
-    parts = shuffle_partitions(df.sparkSession)
-    out = df.withColumn(partition_col, label).drop(*drop)
-    keys = [F.col(partition_col)]
-    if files_per_day > 1:
-        keys.append(F.pmod(F.xxhash64(*out.columns), F.lit(files_per_day)))
-    (out.repartition(max(parts, files_per_day), *keys)
+    (out.repartition(shuffle_partitions(df.sparkSession), partition_col, "_deal")
+       .drop("_day", "_files", "_deal")
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
        .option("header", True)

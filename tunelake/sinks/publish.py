@@ -58,25 +58,53 @@ def newest_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
     return None
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of one small file, ``None`` if there is none."""
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def claim_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create one small file; fails if it is there already."""
+    fs, p, _ = _fs(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder the library staged (recursive); ``False`` if absent."""
     fs, p, _ = _fs(spark, path)
     return bool(fs.delete(p, True))
 
 
-def publish(df: DataFrame, root: str, table: str, keep: int | None = None) -> str:
+def publish(df: DataFrame, root: str, table: str, keep: int | None = None,
+            retain_s: float = 3600.0) -> str:
     """Write ``df`` as the newest snapshot of ``table``; returns its path.
 
-    ``keep`` (optional) deletes all but the newest ``keep`` committed
-    snapshots after the new one is visible.
+    ``keep`` (optional) deletes committed snapshots beyond the newest ``keep`` once
+    a newer one has been visible for ``retain_s`` seconds: a reader that opened a
+    snapshot while it was the newest has that long to finish its scan.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}/v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     if keep is not None:
-        for old in snapshot_dirs(spark, root, table)[:-keep]:
-            fs, p, _ = _fs(spark, old)
-            fs.delete(p, True)
+        dirs = snapshot_dirs(spark, root, table)
+        for old, newer in zip(dirs[:-keep], dirs[1:]):
+            fs, p, jvm = _fs(spark, old)
+            marker = jvm.org.apache.hadoop.fs.Path(newer, _SUCCESS)
+            replaced = fs.getFileStatus(marker).getModificationTime() / 1000
+            if time.time() - replaced >= retain_s:
+                fs.delete(p, True)
     return path
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelake.schema import CHART_DOCUMENT_SCHEMA
 
-_EXTRA = "_extra"
+_RAW_LINE = "_raw_line"
 
 
 def read_chart_csv(spark: SparkSession, path: str, escape: str | None = None) -> DataFrame:
@@ -29,30 +29,68 @@ def read_chart_csv(spark: SparkSession, path: str, escape: str | None = None) ->
     return r.csv(path)
 
 
-def read_lenient_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+# --- fixed values (must equal the reference's behaviour) -------------------
+# Texts that the reference's CSV reader takes as missing.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# ---------------------------------------------------------------------------
+
+
+def _present(c: str) -> Column:
+    """The column, null where its text means missing."""
+    return F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c))
+
+
+def _n_fields(line: Column) -> Column:
+    """Comma-separated fields of a raw line; commas inside quotes do not count."""
+    bare = F.regexp_replace(line, r'"(?:[^"\\]|\\.|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+
+
+def read_lenient_csv(spark: SparkSession, path: str,
+                     columns: Sequence[str] | None = None) -> DataFrame:
     """Like ``pandas.read_csv(on_bad_lines='skip')``.
 
-    A row with more fields than the header is skipped, a short row is padded
-    with nulls. ``columns`` are the header names (the header row itself is
-    skipped); one extra trailing column catches surplus fields.
+    Names and width come from the header row (of the first file, if ``path`` is a
+    folder). A line with more fields than the header is skipped, whatever they
+    hold; a short line is padded with nulls; texts that mean missing are null
+    (X7). ``columns`` selects by name; a name that the header lacks is null.
     """
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
-                          + [T.StructField(_EXTRA, T.StringType(), True)])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("enforceSchema", True)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    return df.filter(F.col(_EXTRA).isNull()).drop(_EXTRA)
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*header, _RAW_LINE]])
+    # without column pruning: a pruned parser does not count a line's fields
+    rows = (spark.read.schema(schema)
+            .option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _RAW_LINE).option("columnPruning", False)
+            .csv(path))
+    # Spark keeps the raw line of every line that is not as wide as the header
+    fits = F.col(_RAW_LINE).isNull() | (_n_fields(F.col(_RAW_LINE)) < len(header))
+    return rows.filter(fits).select(*[
+        _present(f"`{c}`").alias(c) if c in header else F.lit(None).cast("string").alias(c)
+        for c in (header if columns is None else columns)])
 
 
-def read_lookup(spark: SparkSession, path: str, col: str = "track_name") -> DataFrame:
-    """S3 + F7: one column of a lookup CSV, nulls dropped, duplicates kept."""
-    return read_chart_csv(spark, path).select(col).dropna(subset=[col])
+def read_lookup(spark: SparkSession, path: str, col: str = "track_name",
+                keep: Sequence[str] = ()) -> DataFrame:
+    """S3 + F7: one column of a lookup CSV (and those in ``keep``), rows without a value
+    dropped (a text that means missing is none), duplicates kept."""
+    rows = read_chart_csv(spark, path).select(*keep, col)
+    return rows.withColumn(col, _present(col)).dropna(subset=[col])
 
 
-def read_chart_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Nested chart documents, one JSON object per line, fixed schema."""
+def read_chart_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Nested chart documents, fixed schema: one JSON object per line, or with
+    ``multi_line`` one per file, however it is laid out.
+
+    Beside the document come ``chartDate`` and ``page`` (null where the document has
+    none) and, for picking the newest of several, ``landed`` (when its file was
+    written) and ``landed_file``.
+    """
     schema = T.StructType(CHART_DOCUMENT_SCHEMA.fields
-                          + [T.StructField("chartDate", T.StringType(), True)])
-    return spark.read.schema(schema).json(path)
+                          + [T.StructField("chartDate", T.StringType(), True),
+                             T.StructField("page", T.LongType(), True)])
+    return (spark.read.schema(schema).option("multiLine", multi_line).json(path)
+            .select("*", F.col("_metadata.file_modification_time").alias("landed"),
+                    F.col("_metadata.file_path").alias("landed_file")))

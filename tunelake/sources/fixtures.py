@@ -21,8 +21,9 @@ Scale notes
   on the order key right after the scan. At scale that join is a sort-merge
   join, which needs exactly this exchange, so no shuffle is added; on small
   inputs stored as one row group it spreads the scan's rows over all cores.
-  The order key cannot be skewed (it is the orders key; TPC-H has at most 7
-  lines per order). The part and supplier joins are *not* pre-partitioned: a
+  The order key cannot be skewed (it is the orders key, and an order has
+  few lines). This stays in the fixture adapter: a hand-made exchange is
+  outside AQE's skew split, so library operators never force one. The part and supplier joins are *not* pre-partitioned: a
   single part may carry a third of all lines, and only exchanges that Spark
   inserts itself get AQE's skew-join splitting.
 """
@@ -34,6 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tunelake.operators.position import positioned
 from tunelake.schema import CHART_COLUMNS
 
 _PART_COLS = {"track_name", "uri", "artist_genre"}
@@ -151,43 +153,33 @@ def chart_view(spark: SparkSession, sf_dir: str,
 # --- chart documents (S7 input) ----------------------------------------------
 
 def chart_documents(spark: SparkSession, sf_dir: str, entries: int = 50) -> DataFrame:
-    """One nested chart document per order date (FIXTURES.md §4, one per day).
+    """Nested chart documents per order date (FIXTURES.md §4), in pages.
 
     Entry ``k`` of a day is its ``k``-th most expensive order (ties by order
     key); the track name is ``order:<key>`` and the artists are the suppliers
-    of its lines in line order. A second, empty chart follows the real one in
-    every document. Every collected list is bounded: at most ``entries``
-    entries per document and one artist per line of one order.
-
-    Join order: the day's top orders (at most ``entries`` per day, a partial
-    ``WindowGroupLimit`` before the shuffle) are staged as a table below the
-    checkpoint root, so the planner sees their real file size: under
-    ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and
-    ``lineitem`` is only scanned and probed, never shuffled; above it the join
-    falls back to a sort-merge join. Suppliers are then looked up for those
-    few lines only, not for every line.
+    of its lines in line order. A day's orders are all kept: page ``p`` holds
+    ranks ``p * entries + 1`` to ``(p + 1) * entries``, so a collected list is at most
+    ``entries`` entries, or the lines of one order. A second, empty chart
+    follows the real one in every document.
+
+    The rank within a day is a stored global position (range sort by day,
+    price, key) less the day's first position: no task orders a whole day.
     """
-    from tunelake.session import scratch_path
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
-    w = Window.partitionBy("day").orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
-    stage = scratch_path(spark, "chart-top-orders")
-    (orders.withColumn("rank", F.row_number().over(w))
-           .filter(F.col("rank") <= entries)
-           .select("o_orderkey", "day", "rank")
-           .write.parquet(stage))
-    top = spark.read.schema("o_orderkey BIGINT, day DATE, rank INT").parquet(stage)
-    lines = (read_table(spark, sf_dir, "lineitem")
-             .select("l_orderkey", "l_linenumber", "l_suppkey")
-             .join(top.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-             .drop("o_orderkey"))
+    placed = positioned(orders, ["day", F.desc("o_totalprice"), "o_orderkey"])
+    first = placed.groupBy("day").agg(F.min("pos").alias("first"))
+    ranked = placed.join(first, "day").select(
+        "o_orderkey", "day", (F.col("pos") - F.col("first") + 1).alias("rank"))
+    ranked = ranked.withColumn("page", F.floor((F.col("rank") - 1) / entries))
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     named = lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
     artist = F.struct("l_linenumber", "l_suppkey", F.col("s_name").alias("name"))
     artists = (named.groupBy("l_orderkey")
                .agg(F.array_sort(F.collect_list(artist)).alias("a")))
-    per_order = (top.join(artists, top.o_orderkey == artists.l_orderkey, "left")
-                    .select("day", "rank", "o_orderkey",
+    per_order = (ranked.join(artists, ranked.o_orderkey == artists.l_orderkey, "left")
+                    .select("day", "page", "rank", "o_orderkey",
                             F.coalesce("a", F.array().cast(artists.schema["a"].dataType))
                              .alias("a")))
     entry = F.struct(
@@ -198,13 +190,14 @@ def chart_documents(spark: SparkSession, sf_dir: str, entries: int = 50) -> Data
             F.transform("a", lambda x: F.struct(x["name"].alias("name"))).alias("artists"),
         ).alias("trackMetadata"),
     )
-    per_day = per_order.groupBy("day").agg(F.array_sort(F.collect_list(entry)).alias("es"))
+    per_page = per_order.groupBy("day", "page").agg(
+        F.array_sort(F.collect_list(entry)).alias("es"))
     empty = F.array().cast("array<struct<chartEntryData:struct<currentRank:bigint>,"
                            "trackMetadata:struct<trackName:string,"
                            "artists:array<struct<name:string>>>>>")
     real = F.transform("es", lambda e: e.dropFields("pos"))
-    return per_day.select(
-        F.col("day").cast("string").alias("chartDate"),
+    return per_page.select(
+        F.col("day").cast("string").alias("chartDate"), "page",
         F.array(F.struct(real.alias("entries")), F.struct(empty.alias("entries")))
          .alias("chartEntryViewResponses"))
 
@@ -215,16 +208,38 @@ def _ts_text(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+# Source columns filled by key arithmetic (FIXTURES.md §5): text column -> (prefix,
+# modulus); the value is missing where the key is divisible by modulus + 4.
+EVENT_TEXTS = {
+    "artist_id": ("artist:", 97), "entities": ("e", 31), "user_lang": ("ul", 7),
+    "time_zone": ("tz", 24), "coordinates": ("c", 41), "place": ("p", 43), "geo": ("g", 47),
+    "mode": ("m", 2), "key": ("k", 12),
+}
+# Number column -> (modulus, divisor); the divisors are powers of two, so the text
+# of every value is exact. Missing where the key is divisible by modulus + 6, NaN
+# where by modulus + 10.
+EVENT_NUMBERS = {
+    "instrumentalness": (3, 4), "liveness": (5, 8), "speechiness": (7, 8), "danceability": (9, 16),
+    "valence": (11, 16), "loudness": (13, 2), "tempo": (101, 2), "acousticness": (15, 16),
+}
+
+
 def event_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events under the simulator's source column names (typed where numeric)."""
     ev = read_table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    texts = [F.when(k % (m + 4) != 0, F.concat(F.lit(prefix), (k % m).cast("string"))).alias(c)
+             for c, (prefix, m) in EVENT_TEXTS.items()]
+    numbers = [F.when(k % (m + 10) == 0, F.lit(float("nan")))
+                .when(k % (m + 6) != 0, (k % m) / F.lit(float(d))).alias(c)
+               for c, (m, d) in EVENT_NUMBERS.items()]
     return ev.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.get_json_object("props", "$.k").alias("track_id"),
         _ts_text(F.col("ts")).alias("created_at"),
         F.col("event_type").alias("tweet_language"),
-        F.col("value").alias("energy"),
+        F.col("value").alias("energy"), *texts, *numbers,
     )
 
 
@@ -239,9 +254,7 @@ def event_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tunelake.schema import EVENT_SOURCE_RENAMES
     src = event_source_rows(spark, sf_dir).withColumn(
         "energy", two_decimals("energy"))
-    have = set(src.columns)
-    fields = [F.coalesce(F.col(s), F.lit("")) if s in have else F.lit("")
-              for s, _ in EVENT_SOURCE_RENAMES]
+    fields = [F.coalesce(F.col(s).cast("string"), F.lit("")) for s, _ in EVENT_SOURCE_RENAMES]
     eid = F.col("id").cast("bigint")
     line = (F.when(eid % 89 == 0, F.concat_ws(",", *fields[:5]))
              .when(eid % 97 == 0, F.concat_ws(",", *fields, F.lit("x")))
@@ -252,3 +265,29 @@ def event_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_source_header() -> str:
     from tunelake.schema import EVENT_SOURCE_RENAMES
     return ",".join(s for s, _ in EVENT_SOURCE_RENAMES)
+
+
+def shuffled_source_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(lines, header) of an event source whose header is in reverse order, lacks
+    ``mode`` and has an unknown column ``extra`` first (for S2).
+
+    ``event_id % 89 = 0``: only the first three fields; ``% 97``: one empty surplus
+    field; ``% 83``: a filled one; ``% 79``: the unknown column quoted, with commas;
+    ``% 73``: ``NA`` as ``place``; ``% 71``: ``None`` as the last field, ``id``, with the real
+    key kept in ``extra``.
+    """
+    from tunelake.functions.format import two_decimals
+    from tunelake.schema import EVENT_SOURCE_RENAMES
+    src = event_source_rows(spark, sf_dir).withColumn("energy", two_decimals("energy"))
+    k = F.col("id").cast("bigint")
+    names = [s for s, _ in reversed(EVENT_SOURCE_RENAMES) if s != "mode"]
+    text = {s: F.coalesce(F.col(s).cast("string"), F.lit("")) for s in names}
+    text["place"] = F.when(k % 73 == 0, F.lit("NA")).otherwise(text["place"])
+    text["id"] = F.when(k % 71 == 0, F.lit("None")).otherwise(text["id"])
+    extra = F.when(k % 79 == 0, F.lit('"a,b,,c"')).otherwise(F.col("id"))
+    fields = [extra, *[text[s] for s in names]]
+    line = (F.when(k % 89 == 0, F.concat_ws(",", *fields[:3]))
+             .when(k % 97 == 0, F.concat_ws(",", *fields, F.lit("")))
+             .when(k % 83 == 0, F.concat_ws(",", *fields, F.lit("x")))
+             .otherwise(F.concat_ws(",", *fields)))
+    return src.select(line.alias("line")), ",".join(["extra", *names])

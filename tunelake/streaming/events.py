@@ -7,11 +7,14 @@ function applied to a batch frame.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelake.functions.format import time_of_day, with_default
+from tunelake.operators.position import positioned
 from tunelake.schema import (
     EVENT_FIELDS, EVENT_SCHEMA, EVENT_SOURCE_RENAMES, FEED_TIME, FEED_TRACK_ID, FEED_TRACK_NAME,
     PROCESSING_TIME_COLUMN,
@@ -36,9 +39,10 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def encode_events(df: DataFrame, typed: bool = True) -> DataFrame:
+def encode_events(df: DataFrame, typed: bool = True, beside: Sequence[Column] = ()) -> DataFrame:
     """X7 + K7: one JSON object per row in ``value``; null and NaN fields omitted.
 
+    ``beside`` are columns of the message fields to keep next to ``value``.
     ``to_json`` drops null fields by default; NaN is turned into null first
     because ``to_json`` would otherwise print it as ``"NaN"``.
     """
@@ -46,7 +50,7 @@ def encode_events(df: DataFrame, typed: bool = True) -> DataFrame:
     cols = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
             if isinstance(src.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c)
             for c in src.columns]
-    return src.select(F.to_json(F.struct(*cols)).alias("value"))
+    return src.select(F.to_json(F.struct(*cols)).alias("value"), *beside)
 
 
 def decode_events(df: DataFrame, on_bad: str = "keep") -> DataFrame:
@@ -77,29 +81,10 @@ def to_values(df: DataFrame) -> DataFrame:
 
 
 def index_lookup(lookup: DataFrame, key: str, col: str = "track_name") -> DataFrame:
-    """Dense 0-based index over a lookup table in ``key`` order (for J1).
-
-    One shuffle and no single-task global window: rows are range-partitioned
-    by ``key`` and sorted within each partition; a row's position in its
-    partition is the low 33 bits of ``monotonically_increasing_id`` (the
-    documented layout: partition id above, record number below). Each
-    partition's offset (one small row per partition) is added through a
-    broadcast join. Order is ``key``, ties by ``col``, so equal keys number
-    the same way on every evaluation.
-    """
-    # range bounds on (key, col): a key repeated on a third of the rows still
-    # spreads over several partitions
-    ranged = lookup.repartitionByRange(key, col).sortWithinPartitions(key, col)
-    pid = F.spark_partition_id()
-    local = ranged.select(
-        F.col(col), pid.alias("_pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_n"))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    return (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-                 .select((F.col("_off") + F.col("_n")).alias("idx"), F.col(col)))
+    """Dense 0-based index ``idx`` over a lookup table in ``key`` order, ties by
+    ``col`` (for J1). Stored once in index order (``positioned``), so micro-batches
+    join a table whose numbers cannot change."""
+    return positioned(lookup.select(key, col), [key, col], "idx").select("idx", col)
 
 
 def random_key(n: int, seed: int) -> Column:

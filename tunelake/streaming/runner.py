@@ -21,37 +21,44 @@ Design
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tunelake.sinks.publish import claim_text, read_text
 from tunelake.streaming.events import decode_events, enrich, to_values
 
 EPOCH_COLUMN = "epoch"
+_OWNER = "_query_id"
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
-               starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+               starting_offsets: str | None = None, fail_on_data_loss: bool = False,
                max_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame with a ``value`` column.
 
-    With ``servers``, ``topic`` is a Kafka topic name (``startingOffsets`` and
-    ``failOnDataLoss`` as in the reference, ``maxOffsetsPerTrigger`` for
-    back-pressure). Without, ``topic`` is a folder of JSON-lines files
-    (``maxFilesPerTrigger`` for back-pressure; new files are picked up in
-    arrival order).
+    With ``servers``, ``topic`` is a Kafka topic name (``startingOffsets``, by
+    default ``latest``, and ``failOnDataLoss`` as in the reference,
+    ``maxOffsetsPerTrigger`` for back-pressure). Without, ``topic`` is a folder of
+    JSON-lines files (``maxFilesPerTrigger`` for back-pressure; new files are
+    picked up in arrival order). A folder is always read from its first file:
+    any start but ``earliest`` is refused instead of ignored.
     """
     if servers:
         r = (spark.readStream.format("kafka")
              .option("kafka.bootstrap.servers", servers)
              .option("subscribe", topic)
-             .option("startingOffsets", starting_offsets)
+             .option("startingOffsets", starting_offsets or "latest")
              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
         return r.load().select(F.col("value").cast("string").alias("value"))
+    if starting_offsets not in (None, "earliest"):
+        raise ValueError(f"a folder topic starts at its first file; starting_offsets="
+                         f"{starting_offsets!r} needs a broker")
     r = spark.readStream.schema("value string")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
@@ -62,14 +69,34 @@ def epoch_path(sink: str, epoch_id: int) -> str:
     return f"{sink.rstrip('/')}/{EPOCH_COLUMN}={epoch_id}"
 
 
+def _own(spark: SparkSession, sink: str, checkpoint: str) -> None:
+    """Bind ``sink`` to the query of ``checkpoint``; refuse another query's sink.
+
+    Epoch ids restart at 0 under a new checkpoint and would overwrite the epochs
+    of the old one. The query's id is in its checkpoint; the sink keeps a copy.
+    """
+    query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata") or "{}").get("id")
+    mark = f"{sink.rstrip('/')}/{_OWNER}"
+    owner = read_text(spark, mark)
+    if owner is None:
+        claim_text(spark, mark, str(query))
+    elif owner != str(query):
+        raise RuntimeError(f"{sink} holds the epochs of query {owner}; query {query} must write "
+                           "to a sink of its own (or resume the old checkpoint)")
+
+
 def epoch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame],
-                 fmt: str = "parquet", skip_empty: bool = True) -> Callable[[DataFrame, int], None]:
+                 fmt: str = "parquet", skip_empty: bool = True,
+                 checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
     """K5/K6: ``foreachBatch`` callback writing ``transform(batch)`` idempotently.
 
     ``skip_empty`` (F8) probes the batch with a limit-1 job and writes nothing
-    for an empty epoch.
+    for an empty epoch. With ``checkpoint``, the sink belongs to that checkpoint's
+    query from the first epoch on, and another query's write fails.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
+        if checkpoint is not None:
+            _own(batch.sparkSession, sink, checkpoint)
         if skip_empty and batch.isEmpty():
             return
         out = transform(batch, epoch_id)
@@ -117,7 +144,7 @@ def start_enrich(stream: DataFrame, sink: str, checkpoint: str,
     else:
         # one action per epoch: no emptiness probe (Spark does not run empty
         # micro-batches for a stateless query), so `observe` counts the write
-        fn = epoch_writer(sink, values, fmt="text", skip_empty=False)
+        fn = epoch_writer(sink, values, fmt="text", skip_empty=False, checkpoint=checkpoint)
     q = (decoded.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     return _trigger(q, trigger).start()
@@ -127,7 +154,7 @@ def start_append(stream: DataFrame, sink: str, checkpoint: str,
                  transform: Callable[[DataFrame], DataFrame],
                  trigger: str | None = "availableNow") -> StreamingQuery:
     """Append ``transform(batch)`` to ``<sink>/epoch=<id>`` (parquet)."""
-    fn = epoch_writer(sink, lambda b, _e: transform(b))
+    fn = epoch_writer(sink, lambda b, _e: transform(b), checkpoint=checkpoint)
     q = (stream.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     return _trigger(q, trigger).start()
@@ -136,7 +163,7 @@ def start_append(stream: DataFrame, sink: str, checkpoint: str,
 def start_latest(stream: DataFrame, root: str, table: str, checkpoint: str,
                  order: list[str], cols: list[str],
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 trigger: str | None = "availableNow") -> StreamingQuery:
+                 trigger: str | None = "availableNow", retain_s: float = 3600.0) -> StreamingQuery:
     """T7 live "now playing": the row that is last in ``order`` over the whole
     stream so far, published as the newest snapshot of ``table`` every epoch.
 
@@ -144,7 +171,7 @@ def start_latest(stream: DataFrame, root: str, table: str, checkpoint: str,
     single row kept in the checkpointed state store, so a restart continues
     from it and every task reduces its rows to one candidate before the merge.
     A replayed epoch publishes the same row again (a newer snapshot with equal
-    content); older snapshots beyond the newest two are pruned.
+    content); snapshots older than ``retain_s`` beyond the newest two are pruned.
     """
     from tunelake.sinks.publish import publish
 
@@ -153,7 +180,8 @@ def start_latest(stream: DataFrame, root: str, table: str, checkpoint: str,
     latest_row = rows.agg(pick)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        publish(batch.filter(F.col("r").isNotNull()).select("r.*"), root, table, keep=2)
+        publish(batch.filter(F.col("r").isNotNull()).select("r.*"), root, table, keep=2,
+                retain_s=retain_s)
 
     q = (latest_row.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -170,10 +198,12 @@ def read_epochs(spark: SparkSession, sink: str, fmt: str = "parquet",
     return df.drop(EPOCH_COLUMN) if EPOCH_COLUMN in df.columns else df
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; re-raise its failure, if any."""
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query, however long it takes unless ``timeout_s``
+    is given; re-raise its failure, if any."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {q.id} did not finish in {timeout_s}s")
     if q.exception() is not None:
