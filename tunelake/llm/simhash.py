@@ -145,7 +145,8 @@ def links(fps: DataFrame, distance: int, segments: int = 3, block: int = 1024) -
     probes = entries(True)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     pairs = (table.filter(F.col("n") <= block).select("key", F.col("fp").alias("a"))
-             .join(probes.select("key", F.col("fp").alias("b")), "key")
+             # by sorting: an exploded side is larger than its file's size tells
+             .join(probes.select("key", F.col("fp").alias("b")).hint("merge"), "key")
              .filter((F.col("a") < F.col("b")) & near).select("a", "b"))
     hot = staged(table.filter(F.col("n") > block), "mih-table")
     if not hot.isEmpty():
