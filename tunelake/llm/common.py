@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.session import scratch_path
+from tunelake.sinks.publish import remove_path
 
 #: A word is a run of characters outside these six ASCII characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -27,6 +28,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables staged by one call of an operator, removed once its result is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove these tables, or all; nothing may read them any more."""
+        for name in names or tuple(self.paths):
+            remove_path(self.spark, self.paths.pop(name))
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it (a
     source tree that is on a shared path, as in tests); an installed package is

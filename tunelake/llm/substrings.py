@@ -29,7 +29,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import byte_words, map_batches, mix64, reach_workers, slices, staged
+from tunelake.llm.common import (
+    Scratch, byte_words, map_batches, mix64, reach_workers, slices, staged,
+)
 
 _BATCH_CHARS = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -128,23 +130,25 @@ def repeated_spans(docs: DataFrame, window: int = 13, k: int = 5) -> DataFrame:
     all start in a document with a smaller id; ``at`` is start * 16 + number of edges."""
     if not 0 < k <= window <= k + 14:
         raise ValueError("a piece must hold at most 15 edges: k <= window <= k + 14")
-    pieces = staged(_scan_pieces(docs, window, k), "edges")
-    shared = staged(pieces.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                    .filter("lo < hi").select("seed"), "edges-shared")
-    hits = staged(pieces.join(shared, "seed"), "edges-hits")
-    contexts = staged(
+    kept = Scratch(docs.sparkSession)
+    pieces = kept.put(_scan_pieces(docs, window, k), "edges")
+    shared = kept.put(pieces.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                      .filter("lo < hi").select("seed"), "edges-shared")
+    hits = kept.put(pieces.join(shared, "seed"), "edges-hits")
+    kept.drop("edges", "edges-shared")
+    contexts = kept.put(
         hits.groupBy("seed", "digest").agg(F.min(F.struct("doc_id", "tag", "at")).alias("source")),
         "edges-contexts")
     branching = contexts.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    sources = staged(contexts.join(branching, "seed").select("seed", "digest", "source.*"),
-                     "edges-branching")
-    opened = staged(_open_edges(docs, sources, window), "edges-opened")
+    sources = kept.put(contexts.join(branching, "seed").select("seed", "digest", "source.*"),
+                       "edges-branching")
+    opened = kept.put(_open_edges(docs, sources, window), "edges-opened")
     least = opened.groupBy("seed", "edge").agg(F.min("least_doc").alias("least_doc"))
     per_edge = (opened.select("seed", "digest", "j", "edge").join(least, ["seed", "edge"])
                 .groupBy("seed", "digest")
                 .agg(F.array_sort(F.collect_list(F.struct("j", "least_doc"))).alias("edges")))
-    known = staged(contexts.select("seed", "digest", F.col("source.doc_id").alias("source_id"))
-                   .join(per_edge, ["seed", "digest"], "left"), "edges-known")
+    known = kept.put(contexts.select("seed", "digest", F.col("source.doc_id").alias("source_id"))
+                     .join(per_edge, ["seed", "digest"], "left"), "edges-known")
     found = hits.join(known, ["seed", "digest"])
     whole = found.filter(F.col("edges").isNull() & (F.col("source_id") < F.col("doc_id"))).select(
         "doc_id", "tag", "at", "source_id")
@@ -154,7 +158,9 @@ def repeated_spans(docs: DataFrame, window: int = 13, k: int = 5) -> DataFrame:
               .select("doc_id", "tag",
                       (F.shiftleft(F.shiftright("at", 4) + F.col("e.j"), 4) + 1).alias("at"),
                       F.col("e.least_doc").alias("source_id")))
-    return whole.union(single)
+    out = staged(whole.union(single), "edges-spans")
+    kept.drop()
+    return out
 
 
 _RESULT = "n_words long, n_removed long, kept_sha256 string, kept_text string"
@@ -194,7 +200,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, k: int = 5,
     spans = staged(repeated_spans(slim, window, k).groupBy("doc_id", "tag").agg(
         F.collect_set("at").alias("_rep_at"))
         .select(F.col("doc_id").alias("_rep_doc"), F.col("tag").alias("_rep_tag"), "_rep_at"),
-        "edges-spans")
+        "edges-by-document")
     reach_workers(docs.sparkSession)
     return (rows.join(spans, ["_rep_doc", "_rep_tag"], "left")
                 .withColumn("repeats", _remover(window, with_text)("_rep_text", "_rep_at"))

@@ -29,7 +29,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import fan_out, map_batches, mix64, reach_workers, slices, staged
+from tunelake.llm.common import (
+    Scratch, fan_out, map_batches, mix64, reach_workers, slices, staged,
+)
 
 _BLOCK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -227,8 +229,8 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return map_batches(dealt.select("seed", "n", "doc_id", "tag", "at", "left", "right"), run, _SPAN)
 
 
-def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans of single contexts of crowded seeds: every string hashed and counted."""
+def _strings(contexts: DataFrame, length: int) -> DataFrame:
+    """Every string of ``length`` bytes in ``contexts``, hashed, with its place."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for pdf in batches:
@@ -244,9 +246,13 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
                 out["place"] = ((int(r["at"]) >> 8) & 255) - j
                 yield out
 
-    each = staged(map_batches(contexts.drop("m"), run,
-                              "seed long, n long, doc_id long, tag int, at long, j long, "
-                              "string long, place long"), "bytes-strings")
+    return map_batches(contexts.drop("m"), run,
+                       "seed long, n long, doc_id long, tag int, at long, j long, "
+                       "string long, place long")
+
+
+def _counted_spans(each: DataFrame, length: int) -> DataFrame:
+    """Spans of single contexts of crowded seeds: strings counted by Spark."""
     same = ["seed", "place", "string"]
     often = each.groupBy(*same).agg(F.sum("n").alias("all")).filter("all > 1").select(*same)
     start = F.shiftright("at", 16) + F.col("j")
@@ -260,11 +266,13 @@ def repeated_spans(docs: DataFrame, length: int = 200, k: int = 32,
     strings of ``length`` bytes that start at two places or more."""
     if not 0 < k < length < k + 255 or k & (k - 1):
         raise ValueError("k must be a power of two below length, at most 254 bytes shorter")
-    pieces = staged(_scan_pieces(docs, length, k), "bytes")
-    shared = staged(pieces.groupBy("seed").count().filter("count > 1").select("seed"),
-                    "bytes-shared")
-    hits = staged(pieces.join(shared, "seed"), "bytes-hits")
-    contexts = staged(
+    kept = Scratch(docs.sparkSession)
+    pieces = kept.put(_scan_pieces(docs, length, k), "bytes")
+    shared = kept.put(pieces.groupBy("seed").count().filter("count > 1").select("seed"),
+                      "bytes-shared")
+    hits = kept.put(pieces.join(shared, "seed"), "bytes-hits")
+    kept.drop("bytes", "bytes-shared")
+    contexts = kept.put(
         hits.groupBy("seed", "digest").agg(
             F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "at")).alias("source")),
         "bytes-contexts")
@@ -273,13 +281,16 @@ def repeated_spans(docs: DataFrame, length: int = 200, k: int = 32,
         (F.shiftright("at", 16) + F.col("at").bitwiseAND(255) + (length - 1)).alias("stop"))
     mixed = (contexts.groupBy("seed").agg(F.count("*").alias("m"), F.min("n").alias("least"))
              .filter("m > 1 and least = 1").select("seed", "m"))
-    opened = staged(_contexts(docs, contexts.join(mixed, "seed").select(
+    opened = kept.put(_contexts(docs, contexts.join(mixed, "seed").select(
         "seed", "n", "m", "source.*"), length), "bytes-opened")
     spans = whole.union(_sorted_spans(opened.filter(F.col("m") <= group), length))
     crowded = opened.filter(F.col("m") > group)
     if not crowded.isEmpty():
-        spans = spans.union(_counted_spans(crowded, length))
-    return spans
+        each = kept.put(_strings(crowded, length), "bytes-strings")
+        spans = spans.union(_counted_spans(each, length))
+    out = staged(spans, "bytes-spans")
+    kept.drop()
+    return out
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -322,7 +333,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, group: int =
                        F.col("_rep_text").alias("text"))
     spans = staged(repeated_spans(slim, length, k, group).groupBy(
         F.col("doc_id").alias("_at_doc"), F.col("tag").alias("_at_tag"))
-        .agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_at")), "bytes-spans")
+        .agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_at")), "bytes-by-document")
     reach_workers(docs.sparkSession)
     return (rows.join(spans, rows["_rep_doc"].eqNullSafe(F.col("_at_doc"))
                       & (rows["_rep_tag"] == F.col("_at_tag")), "left")
