@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import langid, mixing, packing, simhash, substrings
-from tunelake.llm.common import read, staged
+from tunelake.llm.common import Scratch, read, staged
 from tunelake.llm.queries import tokenizer_path
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -85,7 +85,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    docs, kept = read(spark, sf_dir, "documents"), Scratch(spark)
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = kept.put(stage(spark, docs, sf_dir), f"stage-{i}")
+        if i:
+            kept.drop(f"stage-{i - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,7 +30,7 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words,
       FROM l LEFT JOIN c USING (rid)),
 x AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
              word_chars::DOUBLE / greatest(n_words, 1) AS mean_word_chars,
-             n_symbols::DOUBLE / greatest(word_chars, 1) AS symbol_ratio,
+             n_symbols::DOUBLE / greatest(n_words, 1) AS symbol_ratio,
              n_stop::DOUBLE / greatest(n_words, 1) AS stop_word_ratio,
              n_dup_lines::DOUBLE / greatest(n_lines, 1) AS dup_line_ratio FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -39,9 +39,9 @@ class Rule:
 RULES = (
     Rule("n_words", 50, None),
     Rule("mean_word_chars", 2.0, 20.0),
-    Rule("symbol_ratio", None, 0.1),
+    Rule("symbol_ratio", None, 0.1),         # symbols a word
     Rule("stop_word_ratio", 0.02, None),
-    Rule("dup_line_ratio", None, 0.3),
+    Rule("dup_line_ratio", None, 0.4),       # one of three lines may repeat
 )
 
 
@@ -137,7 +137,7 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES,
     measures = {
         "n_words": F.col("n_words"),
         "mean_word_chars": F.col("word_chars") / n,
-        "symbol_ratio": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
+        "symbol_ratio": F.col("n_symbols") / n,
         "stop_word_ratio": F.col("n_stop") / n,
         "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
     }
