@@ -257,3 +257,9 @@ def test_pipeline_stages(spark, messy_docs, messy, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, None)
     assert empty.count() == 0
+
+
+def test_comments_inside_the_main_element_are_outside():
+    page = ("<main><article><p>Story</article><section class='comments'><article><p>Nice</article></section>"
+            "<article class='comment'><p>Bad</article></main>")
+    assert pages.main_text(*pages.page_lines(page), None) == "Story"
