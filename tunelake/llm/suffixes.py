@@ -175,16 +175,22 @@ def _contexts(docs: DataFrame, sources: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, tag, text, seed, n, m, at in zip(pdf["doc_id"].astype("Int64"),
-                                                      *(pdf[c] for c in pdf.columns[1:])):
-                raw = text.encode("utf-8")
+            texts = pdf["text"].tolist()
+            for lo, hi in slices([len(t) for t in texts], _BLOCK):
+                part = pdf.iloc[lo:hi]
+                doc = np.repeat(np.arange(hi - lo), part["at"].map(len).to_numpy())
+                seed, n, m, at = (np.concatenate(part[c].to_list()) for c in ("seed", "n", "m", "at"))
                 start, middle = at >> 16, (at >> 16) + ((at >> 8) & 255)
                 stop = start + (at & 255) + length - 1
+                raws = [t.encode("utf-8") for t in texts[lo:hi]]
                 yield pd.DataFrame({
-                    "seed": seed, "n": n, "m": m, "doc_id": pd.array([doc] * len(at), "Int64"),
-                    "tag": tag, "at": at,
-                    "left": [raw[a:b][::-1] for a, b in zip(start.tolist(), middle.tolist())],
-                    "right": [raw[a:b] for a, b in zip(middle.tolist(), stop.tolist())]})
+                    "seed": seed, "n": n, "m": m, "at": at,
+                    "doc_id": part["doc_id"].astype("Int64").array[doc],
+                    "tag": part["tag"].to_numpy()[doc],
+                    "left": [raws[d][a:b][::-1] for d, a, b in
+                             zip(doc.tolist(), start.tolist(), middle.tolist())],
+                    "right": [raws[d][a:b] for d, a, b in
+                              zip(doc.tolist(), middle.tolist(), stop.tolist())]})
 
     joined = docs.join(wanted, docs.doc_id.eqNullSafe(F.col("w_doc")) & (docs.tag == F.col("w_tag")))
     parts = [F.col("pieces")[c].alias(c) for c in ("seed", "n", "m", "at")]
