@@ -111,14 +111,22 @@ def _open_edges(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, text, seed, digest, at in zip(*(pdf[c] for c in pdf.columns)):
-                words = _Words([text], hashed=False)
+            texts = pdf["text"].tolist()
+            for lo, hi in slices([len(t) for t in texts], _BATCH_CHARS):
+                words = _Words(texts[lo:hi], hashed=False)
+                part = pdf.iloc[lo:hi]
+                pieces = part["at"].map(len).to_numpy()
+                doc = np.repeat(np.arange(hi - lo), pieces)
+                seed, digest, at = (np.concatenate(part[c].to_list())
+                                    for c in ("seed", "digest", "at"))
                 n = at & 15
                 j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                start = np.repeat(at >> 4, n) + j
+                start = np.repeat(words.first[doc] + (at >> 4), n) + j
                 edge = words.digests(start, np.full(len(start), window), np.zeros(len(start), int))
-                yield pd.DataFrame({"seed": np.repeat(seed, n), "digest": np.repeat(digest, n),
-                                    "j": j, "edge": edge.view(np.int64), "least_doc": doc})
+                yield pd.DataFrame({
+                    "seed": np.repeat(seed, n), "digest": np.repeat(digest, n), "j": j,
+                    "edge": edge.view(np.int64),
+                    "least_doc": np.repeat(part["doc_id"].to_numpy()[doc], n)})
 
     joined = docs.join(wanted, ["doc_id", "tag"])
     return map_batches(joined.select("doc_id", "text", "pieces.seed", "pieces.digest", "pieces.at"),
