@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator, Sequence
 
@@ -40,9 +41,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        """Remove these tables, or all; nothing may read them any more."""
+        """Remove these tables, or all; nothing may read them any more. The shuffle files
+        of the steps that made them go when the driver's garbage is collected."""
         for name in names or tuple(self.paths):
             remove_path(self.spark, self.paths.pop(name))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def reach_workers(spark: SparkSession) -> None:
