@@ -169,8 +169,8 @@ PAGE = ("<!DOCTYPE html><html><head><title>t</title><style>p{a:b}</style></head>
 
 
 def test_article_text():
-    assert pages.main_text(*pages.page_lines(PAGE), None) == "A & B\n\nOne two\n\nthree four five"
-    assert pages.page_lines(None) == ([], []) and pages.main_text([], [], None) == ""
+    assert pages.main_text(*pages.page_lines(PAGE)) == "A & B\n\nOne two\n\nthree four five"
+    assert pages.page_lines(None) == ([], []) and pages.main_text([], []) == ""
 
 
 def test_shared_lines_are_deleted_without_an_article(spark):
@@ -262,4 +262,4 @@ def test_pipeline_stages(spark, messy_docs, messy, no_docs):
 def test_comments_inside_the_main_element_are_outside():
     page = ("<main><article><p>Story</article><section class='comments'><article><p>Nice</article></section>"
             "<article class='comment'><p>Bad</article></main>")
-    assert pages.main_text(*pages.page_lines(page), None) == "Story"
+    assert pages.main_text(*pages.page_lines(page)) == "Story"
