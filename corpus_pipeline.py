@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import langid, mixing, packing, simhash, substrings
-from tunelake.llm.common import Scratch, read, staged
+from tunelake.llm.common import Scratch, read
 from tunelake.llm.queries import tokenizer_path
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -43,12 +43,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group: the least id (rows without
-    an id come last, then the first row)."""
-    rows = staged(_lean(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = simhash.near_duplicates(rows, keys=("_row",))
+    an id come last, then the least hash of the row; rows equal in every column are one)."""
+    lean = _lean(docs)
+    keys = {f"_h{i}": F.xxhash64(F.lit(i), *lean.columns) for i in (1, 2)}
+    rows = lean.withColumns(keys)
+    groups = simhash.near_duplicates(rows, keys=tuple(keys))
     first = groups.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
-    return _back(rows.join(first.select("first._row"), "_row"), docs)
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *keys)).alias("first"))
+    stay = first.select(*[F.col("first")[k].alias(k) for k in keys])
+    return _back(rows.join(stay, list(keys)).dropDuplicates(list(keys)), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
