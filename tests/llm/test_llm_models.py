@@ -146,6 +146,30 @@ def test_neighbours_recall(spark):
         assert hits >= 0.9 * 20 * 30
 
 
+def test_neighbours_recall_with_two_rotations(spark):
+    """Neighbours no nearer than where the second rotation begins (cosine about 0.51)."""
+    rng = np.random.default_rng(6)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    x = unit(rng.normal(size=(1000, 64)))
+    for q in range(0, 400, 20):
+        away = rng.normal(size=(20, 64))
+        away = unit(away - np.outer(away @ x[q], x[q]))
+        x[500 + q:520 + q] = 0.51 * x[q] + np.sqrt(1 - 0.51 ** 2) * away
+    x = x.astype(np.float32)
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    asks = (F.col("vec_id") % 20 == 0) & (F.col("vec_id") < 400)
+    found = Counter((r.query_id, r.vec_id) for r in ann.search(df, asks, turns=2).collect())
+    hits = 0
+    for q in range(0, 400, 20):
+        s = x.astype(float) @ x[q].astype(float)
+        hits += sum(found[q, j] for j in [j for j in np.argsort(-s) if j != q][:20])
+    assert hits >= 0.9 * 20 * 20
+    assert ann.turns_for(3_300_000, 64) == 2 == ann.turns_for(10 ** 12, 64)
+
+
 def test_neighbours_of_copies_and_bad_vectors(spark):
     same = [1.0, 0.0, 0.0]
     rows = [(i, same) for i in range(60)] + [(60, [0.9, 0.1, 0.0]), (61, None), (62, [0.0, 0.0, 0.0]),
