@@ -111,6 +111,24 @@ def test_mixing_repeat_limit_and_order(spark):
     assert not [c for c in ("Python",) if c in mixing.mix(docs)._jdf.queryExecution().toString()]
 
 
+def test_mixing_is_never_steeper_than_the_sources(spark):
+    """20 sources have more than the default entropy: every row is taken once."""
+    docs = spark.createDataFrame([(i, "w " * (3 + i % 20), f"s{i % 20}") for i in range(400)],
+                                 "doc_id long, text string, source string")
+    out = mixing.mix(docs, block_docs=4).collect()
+    assert Counter(r.doc_id for r in out) == Counter(range(400))
+    total = 20 * sum(range(3, 23))
+    assert all(abs(r.mix_weight - 20 * r.mix_tokens / total) < 1e-9 for r in out)
+
+
+def test_mixing_repeat_limit_holds_for_any_budget(spark):
+    docs = spark.createDataFrame([(i, "a b c d", "big" if i > 3 else "small") for i in range(64)],
+                                 "doc_id long, text string, source string")
+    for target in (None, 0.01, 4.0):
+        out = mixing.mix(docs, target_entropy=target, max_repeats=2.0, budget=64 * 4 * 3.0).collect()
+        assert Counter(Counter(r.doc_id for r in out).values()) == {2: 64}
+
+
 def test_mixing_messy(messy_docs):
     out = mixing.mix(messy_docs, target_entropy=1.5)
     assert set(messy_docs.columns) - {"mix_tokens"} <= set(out.columns)

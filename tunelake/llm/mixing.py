@@ -1,8 +1,10 @@
 """Mixing sources to target weights by temperature.
 
 A source's share of the tokens is raised to an exponent and normalised. The
-exponent is found by bisection, for a target entropy (bits), for a limit on how
-often a source is repeated, or for both. The weights are then realised under a
+exponent is found by bisection, for a least entropy (bits), for a limit on how
+often a source is repeated, or for both; it lies between 0 (equal weights) and 1 (the
+sources' own shares), so no source is ever thinned out for being small. The limit
+on repeats goes before the entropy. The weights are then realised under a
 token budget: a source is a run of epochs, an epoch a permutation of blocks of
 its documents, a block a permutation of documents; documents are taken in that
 order until the source's share of the budget is met.
@@ -13,7 +15,10 @@ the number of sources. Blocks hold about ``block_docs`` documents, so no task
 orders a whole source: a window sees one row per block, or one block.
 
 Cases: null sources form one source; a null or empty text has no tokens and
-follows its block; a source without tokens has weight 0 and is left out;
+follows its block; a source without tokens has weight 0 and is left out; an entropy that
+the sources have already leaves their shares as they are, one out of reach makes them
+as equal as the limit on repeats allows; a budget of more than ``max_repeats`` times the
+input is met only up to that;
 repeated rows count each and are taken together; an empty table gives no rows;
 other columns are kept, also where they clash with the names added here (those
 start with ``mix_``; an input column of such a name is replaced).
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from tunelake.llm.common import staged
 
 _GRID, _ROUNDS = 64, 5      # five rounds of six bisection steps each
-_FLATTEST, _STEEPEST = 0.0, 16.0
+_FLATTEST, _NATURAL = 0.0, 1.0
 
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
@@ -45,9 +50,10 @@ def _n_tokens(text: Column) -> Column:
 
 def _exponent(shares: DataFrame, budget_ratio: float, target_entropy: float | None,
               max_repeats: float | None) -> float:
-    """The exponent nearest to 1 from below (flatter) or above (steeper) whose
-    weights meet the limits: entropy falls as the exponent grows, and so do the
-    repeats of the smallest source. ``shares`` has one ``share`` per source."""
+    """The exponent nearest to 1 from below (flatter) whose weights have the entropy,
+    or the least one that keeps the repeats if that is greater: entropy falls as the
+    exponent grows, and so do the repeats of the smallest source, the most repeated one.
+    At 1 every source is repeated as often. ``shares`` has one ``share`` per source."""
     log_p = F.log(F.col("share"))
     power = F.exp(F.col("a") * log_p)
 
@@ -75,9 +81,9 @@ def _exponent(shares: DataFrame, budget_ratio: float, target_entropy: float | No
         return hi
 
     a = _FLATTEST if target_entropy is None else search(
-        _FLATTEST, _STEEPEST, lambda h, r: h <= target_entropy)
+        _FLATTEST, _NATURAL, lambda h, r: h <= target_entropy)
     if max_repeats is not None:
-        a = max(a, search(_FLATTEST, 1.0, lambda h, r: r <= max_repeats))
+        a = max(a, search(_FLATTEST, _NATURAL, lambda h, r: r <= max_repeats))
     return a
 
 
@@ -92,9 +98,12 @@ def weights(sources: DataFrame, budget: float, target_entropy: float | None = No
     shares = some.withColumn("mix_share", F.col("mix_tokens") / F.lit(float(total)))
     a = _exponent(shares.select(F.col("mix_share").alias("share")), budget / total,
                   target_entropy, max_repeats)
-    z = shares.agg(F.sum(F.pow("mix_share", F.lit(a)))).first()[0]
+    z = 1.0 if a == _NATURAL else shares.agg(F.sum(F.pow("mix_share", F.lit(a)))).first()[0]
+    repeats = F.pow("mix_share", F.lit(a - 1)) / F.lit(z) * F.lit(budget / total)
+    if max_repeats is not None:
+        repeats = F.least(repeats, F.lit(float(max_repeats)))
     return (shares.withColumn("mix_weight", F.pow("mix_share", F.lit(a)) / F.lit(z))
-                  .withColumn("mix_quota", F.col("mix_weight") * F.lit(float(budget))))
+                  .withColumn("mix_quota", F.col("mix_tokens") * repeats))
 
 
 def mix(docs: DataFrame, target_entropy: float | None = 4.0, max_repeats: float | None = 4.0,
