@@ -80,6 +80,20 @@ def test_chunks_encode_like_the_tokenizer():
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}  x", f"a  {end}\n\n{end} ", "<|endoftext|", "no token", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = defaultdict(list)
+    rows = packing.pack(docs, tokenizer_path(), with_ids=True).collect()
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += r.ids
+    assert dict(got) == {i: tok.encode(t, add_special_tokens=False).ids + [0]
+                         for i, t in enumerate(texts)}
+
+
 def test_mixing_meets_weights(spark, no_docs):
     rows = [(i, "w " * (5 + i % 7), f"s{min(i % 10, 3)}") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

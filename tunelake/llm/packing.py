@@ -5,6 +5,9 @@ its length (whole sequences of ``max_len`` first, then falling powers of two).
 A piece is a sequence of its own, and sequences of equal length form a bucket,
 so no sequence crosses documents and none needs padding.
 
+Ids are those of the ``tokenizers`` library without added special tokens: a string of
+the file's own added tokens inside a text has that token's id.
+
 Cases: a null or empty text is a document of the end id alone; repeated rows
 are packed separately; an empty table gives no rows; other columns are ignored.
 """
@@ -85,8 +88,45 @@ def _coder(path: str) -> _Chunks:
     return _coders[path]
 
 
+_added: dict[str, tuple[re.Pattern, dict[str, bytes]] | None] = {}
+
+
+def _added_tokens(path: str) -> tuple[re.Pattern, dict[str, bytes]] | None:
+    """A pattern of the file's added tokens (the longest first), and their ids."""
+    if path not in _added:
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(path)
+        tokens = {t.content: (i, t) for i, t in tok.get_added_tokens_decoder().items() if t.content}
+        if odd := [c for c, (_, t) in tokens.items()
+                   if t.lstrip or t.rstrip or t.single_word or t.normalized and tok.normalizer]:
+            raise ValueError(f"added tokens that are not plain strings: {odd}")
+        longest = sorted(tokens, key=len, reverse=True)
+        _added[path] = (re.compile("|".join(map(re.escape, longest))),
+                        {c: pack_ids("<I", i) for c, (i, _) in tokens.items()}) if tokens else None
+    return _added[path]
+
+
+def token_ids(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as the tokenizer gives them: the file's added tokens are cut out
+    first, what is between them is encoded as texts of its own."""
+    added = _added_tokens(path)
+    if added is None:
+        return encode(texts, path)
+    pattern, ids = added
+    between = [pattern.split(t) for t in texts]
+    coded = iter(encode([part for parts in between for part in parts], path))
+    out = []
+    for text, parts in zip(texts, between):
+        raw = [next(coded)]
+        for token in pattern.findall(text) if len(parts) > 1 else ():
+            raw += [ids[token], next(coded)]
+        out.append(b"".join(raw))
+    return out
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit bytes.
+    """Ids of each text as little-endian unsigned 32-bit bytes; added tokens have no
+    meaning here and are encoded as any other characters.
 
     A byte-level tokenizer of this family never joins a character with white
     space that follows it, so a text is encoded as white space plus the
@@ -116,7 +156,7 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 0,
             ids, texts = pdf["doc_id"].tolist(), [t or "" for t in pdf["text"]]
             for lo, hi in slices([len(t) for t in texts], _BATCH_CHARS):
                 rows = []
-                for doc, raw in zip(ids[lo:hi], encode(texts[lo:hi], tokenizer)):
+                for doc, raw in zip(ids[lo:hi], token_ids(texts[lo:hi], tokenizer)):
                     raw += end
                     n = len(raw) // 4
                     for s, k in power_pieces(n, max_len):
