@@ -129,6 +129,15 @@ def vectors(spark, rows, extra="label int, bucket int, q long"):
     return spark.createDataFrame([r + (1, 2, 3) for r in rows], f"vec_id long, embedding array<float>, {extra}")
 
 
+@pytest.mark.parametrize("odd", ['<svg class="x"/>', "<select><option>", "<object data=x>", "<iframe src=y>",
+                                 "<svg><svg></svg><g/></svg>"])
+def test_unclosed_elements_hide_no_text(odd):
+    page = f"<body>{odd}<article><p>one</p></article><svg><text>no</text></svg><p>two</p>"
+    assert pages.page_lines(page)[0] == ["one", "two"]
+    assert pages.page_lines("<p>a</p><object>x<object>y</object>z</object><p>b</p>")[0] == ["a", "b"]
+    assert pages.page_lines("<p>a</p><script>never closed <p>b</p>")[0] == ["a"]
+
+
 def test_neighbours_recall(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 16)).astype(np.float32) * rng.uniform(0.5, 2, (600, 1)).astype(np.float32)
