@@ -1,6 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -74,3 +75,27 @@ def byte_repeats(rows, length):
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         out.append((doc, len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def ranked(rows, items, k=20):
+    """(item_id, rank, doc_id, score); ``rows`` are (doc_id, text), ``items`` (item_id, text)."""
+    def terms(text):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+    docs = [(d, Counter(terms(t))) for d, t in rows]
+    docs = [(d, c) for d, c in docs if c]
+    n, total = len(docs), sum(sum(c.values()) for _, c in docs)
+    df = Counter(w for _, c in docs for w in c)
+    out = []
+    for item, text in items:
+        found = []
+        for d, c in docs:
+            m = 75 + 25 * sum(c.values()) * n // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[w] + 1)))
+                        * (10 ** 9 * c[w] // (1000 * c[w] + 12 * m)) for w in terms(text) if w in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        for i, (score, none, d) in enumerate(sorted(found)[:k]):
+            out.append((item, i + 1, None if none else d, -score))
+    return out

@@ -54,4 +54,26 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0))::B
 FROM d LEFT JOIN k USING (rid)
 """
 
-ORACLE = {"op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS words FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+t AS (SELECT rid, doc_id, n, word, count(*) AS tf
+      FROM (SELECT rid, doc_id, len(words) AS n, unnest(words) AS word FROM d) GROUP BY ALL),
+w AS (SELECT word, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM t, s GROUP BY word, n_docs),
+i AS (SELECT iid, item_id, word, count(*) AS uses
+      FROM (SELECT row_number() OVER () AS iid, item_id, unnest({_TERMS}) AS word FROM benchmark)
+      GROUP BY ALL),
+x AS (SELECT iid, item_id, rid, doc_id,
+             sum(uses * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))
+                 ::BIGINT AS score
+      FROM i JOIN t USING (word) JOIN w USING (word), s GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INTEGER AS rank
+      FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE = {"op11_lexical": LEXICAL, "op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import (
-    ann, langid, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
+    ann, langid, lexical, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
 from tunelake.llm.common import read
 from tunelake.llm.oracle import ORACLE
 
@@ -65,10 +65,14 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_quality": op3_quality,
     "op4_packing": op4_packing, "op5_scoring": op5_scoring, "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
-    "op9_suffixes": op9_suffixes, "op10_pages": op10_pages,
+    "op9_suffixes": op9_suffixes, "op10_pages": op10_pages, "op11_lexical": op11_lexical,
 }
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
