@@ -99,3 +99,25 @@ def ranked(rows, items, k=20):
         for i, (score, none, d) in enumerate(sorted(found)[:k]):
             out.append((item, i + 1, None if none else d, -score))
     return out
+
+
+def shingle_sets(rows, size=2):
+    out = []
+    for _, text in rows:
+        ws = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        out.append({tuple(ws[i:i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set())
+    return out
+
+
+def jaccard_components(rows, percent=80):
+    """(doc_id, set size, smallest id reachable) by row."""
+    sets = shingle_sets(rows)
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return [(rows[i][0], len(sets[i]),
+             min((rows[j][0] for j in range(len(rows)) if label[j] == label[i]
+                  and rows[j][0] is not None), default=None)) for i in range(len(rows))]

@@ -76,4 +76,23 @@ r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE = {"op11_lexical": LEXICAL, "op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}
+NEAR_SETS = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS words FROM documents),
+e AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(words) < 2 THEN words
+         ELSE [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))] END)) AS grams FROM d),
+s AS (SELECT grams, min(rid) AS sid, min(doc_id) AS least, len(grams) AS n FROM e GROUP BY grams),
+g AS (SELECT sid, n, unnest(grams) AS gram FROM s),
+p AS (SELECT x.sid AS a, y.sid AS b FROM g x JOIN g y
+      ON x.gram = y.gram AND x.sid <> y.sid AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+      GROUP BY x.sid, y.sid, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+c AS (SELECT sid AS a, sid AS b FROM s UNION SELECT c.a, p.b FROM c JOIN p ON c.b = p.a),
+m AS (SELECT c.a AS sid, min(s.least) AS component_id FROM c JOIN s ON s.sid = c.b GROUP BY c.a),
+r AS (SELECT doc_id, n AS n_shingles, CASE WHEN n > 0 THEN component_id ELSE doc_id END AS component_id
+      FROM e JOIN s USING (grams) JOIN m USING (sid))
+SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept FROM r
+"""
+
+ORACLE = {"op11_lexical": LEXICAL, "op12_hyperminhash": NEAR_SETS, "op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import (
-    ann, langid, lexical, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
+    ann, hyperminhash, langid, lexical, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
 from tunelake.llm.common import read
 from tunelake.llm.oracle import ORACLE
 
@@ -69,10 +69,15 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_quality": op3_quality,
     "op4_packing": op4_packing, "op5_scoring": op5_scoring, "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
     "op9_suffixes": op9_suffixes, "op10_pages": op10_pages, "op11_lexical": op11_lexical,
+    "op12_hyperminhash": op12_hyperminhash,
 }
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
