@@ -95,4 +95,22 @@ SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id,
        doc_id IS NOT DISTINCT FROM component_id AS kept FROM r
 """
 
-ORACLE = {"op11_lexical": LEXICAL, "op12_hyperminhash": NEAR_SETS, "op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}
+NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.rid AS aid, a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, x.rid,
+             list_inner_product(a.vec, x.vec)::BIGINT AS score
+      FROM v a JOIN v x ON a.rid <> x.rid WHERE a.vec_id % 100 = 0),
+p AS (SELECT aid, rid AS pid, anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY aid ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.aid, pid ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s ON p.aid = s.aid AND NOT s.same
+           AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE = {"op13_negatives": NEGATIVES, "op11_lexical": LEXICAL, "op12_hyperminhash": NEAR_SETS, "op3_quality": quality_sql(), "op8_substrings": SUBSTRINGS}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import (
-    ann, hyperminhash, langid, lexical, mixing, packing, pages, quality, scoring, simhash, substrings, suffixes)
+    ann, hyperminhash, langid, lexical, mixing, negatives, packing, pages, quality, scoring, simhash, substrings, suffixes)
 from tunelake.llm.common import read
 from tunelake.llm.oracle import ORACLE
 
@@ -73,11 +73,18 @@ def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_quality": op3_quality,
     "op4_packing": op4_packing, "op5_scoring": op5_scoring, "op6_simhash": op6_simhash, "op7_langid": op7_langid, "op8_substrings": op8_substrings,
     "op9_suffixes": op9_suffixes, "op10_pages": op10_pages, "op11_lexical": op11_lexical,
     "op12_hyperminhash": op12_hyperminhash,
+    "op13_negatives": op13_negatives,
 }
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
