@@ -22,7 +22,8 @@ from tunelake.sources.charts import (
     read_chart_csv, read_chart_documents, read_lenient_csv,
 )
 from tunelake.sources.fixtures import (
-    chart_documents, chart_view, event_source_header, event_source_lines, shuffled_source_lines,
+    chart_documents, chart_view, event_source_header, event_source_lines, record_source_files,
+    shuffled_source_lines,
 )
 from tunelake.streaming.events import rename_source_columns
 from tunelake.plans.streams import source_fields_sql
@@ -81,6 +82,14 @@ def csv_lenient_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_source_columns(read_lenient_csv(spark, path))
 
 
+def csv_lenient_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + P7: records that span lines, blank lines, and files that order the header
+    differently."""
+    path = scratch_path(spark, "event-records-csv")
+    record_source_files(spark, sf_dir, path)
+    return rename_source_columns(read_lenient_csv(spark, path))
+
+
 def daily_chart_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: the place of every chart row in the sorted frame."""
     docs = read_chart_documents(spark, land_chart_documents(spark, sf_dir))
@@ -108,6 +117,7 @@ QUERIES = {
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "csv_lenient_scan": csv_lenient_scan,
     "csv_lenient_header": csv_lenient_header,
+    "csv_lenient_records": csv_lenient_records,
     "daily_chart_order": daily_chart_order,
     "publish_replace": publish_replace,
 }
@@ -166,7 +176,21 @@ def _header_sql() -> str:
             "WHERE event_id % 89 = 0 OR (event_id % 97 <> 0 AND event_id % 83 <> 0)")
 
 
+def _records_sql() -> str:
+    """A short record has the first three fields of its file's header."""
+    cols, last = [], len(EVENT_SOURCE_RENAMES) - 1
+    for i, (s, f) in enumerate(EVENT_SOURCE_RENAMES):
+        expr = _csv_text(s)
+        if s == "place":
+            expr = (f"CASE WHEN event_id % 5 = 0 THEN {expr} || chr(10) || 'row ' || chr(34) || event_id || chr(34) "
+                    f"ELSE {expr} END")
+        has = ["event_id % 89 <> 0", *["event_id % 2 = 0"] * (i < 3), *["event_id % 2 = 1"] * (i > last - 3)]
+        cols.append(f"CASE WHEN {' OR '.join(has)} THEN {expr} END AS {f}")
+    return ("SELECT\n  " + ",\n  ".join(cols) + "\nFROM events\nWHERE event_id % 89 = 0 OR event_id % 97 <> 0")
+
+
 ORACLE = {
+    "csv_lenient_records": _records_sql(),
     "daily_chart_flat": f"WITH {_CHART_DAYS}\nSELECT chartDate, Rank, Artist, TrackName FROM flat",
     "dated_export_roundtrip": f"WITH {_CHART_DAYS}\n"
                               "SELECT strftime(day, '%d-%m-%Y') AS dt, Rank, Artist, TrackName FROM flat",

@@ -291,3 +291,37 @@ def shuffled_source_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
              .when(k % 83 == 0, F.concat_ws(",", *fields, F.lit("x")))
              .otherwise(F.concat_ws(",", *fields)))
     return src.select(line.alias("line")), ",".join(["extra", *names])
+
+
+def record_source_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write an event source whose records span lines, as files below ``path`` (for S2).
+
+    Per 20,000 events one file with the header in source order and one with it reversed.
+    ``event_id % 5 = 0``: ``place`` is followed by a line break and the quoted key;
+    ``% 7``: a blank line, ``% 11``: a line of spaces, before the record; ``% 89``: only the first three fields;
+    ``% 97``: a surplus field.
+    """
+    from tunelake.functions.format import two_decimals
+    from tunelake.schema import EVENT_SOURCE_RENAMES
+    src = event_source_rows(spark, sf_dir).withColumn("energy", two_decimals("energy"))
+    k = F.col("id").cast("bigint")
+    names = [s for s, _ in EVENT_SOURCE_RENAMES]
+    text = {s: F.coalesce(F.col(s).cast("string"), F.lit("")) for s in names}
+    broken = F.concat(F.lit('"'), "place", F.lit('\nrow ""'), "id", F.lit('"""'))
+    text["place"] = F.when((k % 5 == 0) & F.col("place").isNotNull(), broken).otherwise(text["place"])
+
+    def record(order: list[str]) -> Column:
+        fields = [text[s] for s in order]
+        return (F.when(k % 89 == 0, F.concat_ws(",", *fields[:3]))
+                 .when(k % 97 == 0, F.concat_ws(",", *fields, F.lit("")))
+                 .otherwise(F.concat_ws(",", *fields)))
+
+    before = F.when(k % 7 == 0, F.lit("\n")).when(k % 11 == 0, F.lit("  \n")).otherwise("")
+    line = F.when(k % 2 == 0, record(names)).otherwise(record(names[::-1]))
+    rows = src.select((F.floor(k / 20_000) * 2 + k % 2).alias("file"), k.alias("at"),
+                      F.concat(before, line).alias("line"))
+    heads = rows.select("file").distinct().select(
+        "file", F.lit(-1).cast("bigint").alias("at"),
+        F.when(F.col("file") % 2 == 0, ",".join(names)).otherwise(",".join(names[::-1])).alias("line"))
+    (heads.union(rows).repartition("file").sortWithinPartitions("file", "at").select("file", "line")
+     .write.partitionBy("file").text(path))
