@@ -131,3 +131,58 @@ def test_chart_documents_keep_every_order(spark):
     assert days.filter("n <> last or n <> ranks").count() == 0
     sizes = docs.select(F.size(docs.chartEntryViewResponses[0].entries).alias("n"))
     assert sizes.agg(F.max("n")).first()[0] == 50
+
+
+def _landed(spark, path, pages, landing=None, stated=None, date="2024-03-01"):
+    """Land pages (page -> ranks) as Spark writes them: a file a page."""
+    import json
+    docs = []
+    for page, ranks in pages.items():
+        entries = [{"chartEntryData": {"currentRank": r},
+                    "trackMetadata": {"trackName": f"t{r}", "artists": []}} for r in ranks]
+        d = {"chartDate": date, "page": page, "chartEntryViewResponses": [{"entries": entries}]}
+        docs.append(json.dumps(d | ({"pages": stated} if stated else {})
+                               | ({"landing": landing} if landing else {})))
+    spark.createDataFrame([(d,) for d in docs], "value string").repartition(len(docs)).write.mode(
+        "append").text(path)
+
+
+def _ranks(spark, path):
+    from tunelake.operators.daily import newest_documents
+    from tunelake.sources.charts import read_chart_documents
+    flat = flatten_chart(newest_documents(read_chart_documents(spark, path)))
+    return sorted(r.Rank for r in flat.collect())
+
+
+def test_a_shorter_landing_replaces_the_whole_chart(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    _landed(spark, path, {0: [1, 2], 1: [3, 4]})
+    assert _ranks(spark, path) == [1, 2, 3, 4]
+    _landed(spark, path, {0: [1, 2]})
+    assert _ranks(spark, path) == [1, 2]
+
+
+def test_an_incomplete_landing_counts_for_nothing(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    _landed(spark, path, {0: [1, 2], 1: [3, 4]}, landing="a")
+    _landed(spark, path, {1: [9]}, landing="b")                        # lacks page 0
+    assert _ranks(spark, path) == [1, 2, 3, 4]
+    _landed(spark, path, {0: [5], 1: [6]}, landing="c", stated=3)      # states three pages
+    assert _ranks(spark, path) == [1, 2, 3, 4]
+    _landed(spark, path, {2: [7]}, landing="c", stated=3)              # the third comes later
+    assert _ranks(spark, path) == [5, 6, 7]
+    _landed(spark, path, {1: [8]}, landing="d", date="2024-03-02")     # a newer date, incomplete
+    assert _ranks(spark, path) == [5, 6, 7]
+    _landed(spark, path, {0: [8]}, landing="d", date="2024-03-02")
+    assert _ranks(spark, path) == [8, 8]
+
+
+def test_landings_in_folders_and_documents_without_a_landing(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    _landed(spark, path + "/landing=1", {0: [1], 1: [2]})
+    _landed(spark, path + "/landing=2", {0: [3]})
+    _landed(spark, path + "/landing=2", {1: [4]})                      # another file of the same landing
+    assert _ranks(spark, path) == [3, 4]
+    from tunelake.operators.daily import current_documents
+    plain = spark.read.json(path).select("chartDate", "chartEntryViewResponses")
+    assert current_documents(plain).count() == 1                       # no page, no landing: one document

@@ -37,27 +37,45 @@ def sorted_by_rank(df: DataFrame) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
 
 
-def newest_documents(docs: DataFrame, date: str | None = None) -> DataFrame:
-    """Q6: the documents of the newest chart, each page once.
+def current_documents(docs: DataFrame, date: str | None = None) -> DataFrame:
+    """Q6: for each chart date the documents of its newest complete landing, each page once.
+
+    All pages of a chart come from one landing (column ``landing``, one delivery of the collector): a later,
+    shorter landing of a date replaces the whole chart. A landing is complete if it has all
+    pages from 0 to the highest, and as many as its documents state in ``pages``; one that lacks pages
+    counts for nothing, so the landing before it stays. A landing is as new as its last file
+    (``landed``; ties by name). A document without a date gets ``date`` (ISO ``yyyy-MM-dd``), or the day
+    of the run, as the reference stamps it; one without a page is page 0. Of several
+    documents for one page of a landing the one that landed last stays (ties by file name, then by content).
 
-    A document without a date gets ``date`` (ISO ``yyyy-MM-dd``), or the day of the
-    run, as the reference stamps it. Of several documents for one page of the
-    newest date the one that landed last stays (ties by file name, then by content).
-    Both picks are aggregates with a map-side partial step.
+    Versions and pages are aggregates with a map-side partial step: a row a date and landing, no window.
     """
     day = F.lit(date) if date is not None else F.current_date().cast("string")
-    dated = docs.withColumn("chartDate", F.coalesce("chartDate", day))
-    newest = dated.agg(F.max("chartDate")).scalar()
     extra = {c: F.lit(None).cast(t) for c, t in
-             (("page", "long"), ("landed", "timestamp"), ("landed_file", "string"))
-             if c not in docs.columns}
-    body = F.struct("chartDate", "chartEntryViewResponses")
+             (("page", "long"), ("pages", "long"), ("landing", "string"), ("landed", "timestamp"),
+              ("landed_file", "string")) if c not in docs.columns}
+    dated = docs.withColumns(extra).withColumns({
+        "chartDate": F.coalesce("chartDate", day), "page": F.coalesce("page", F.lit(0)),
+        "landing": F.coalesce("landing", F.lit(""))})
+    have = F.count_distinct("page")
+    whole = (have == F.max("page") + 1) & (F.min("page") == 0) & (
+        F.coalesce(F.max("pages"), have) == have)
+    versions = dated.groupBy("chartDate", "landing").agg(
+        F.max("landed").alias("landed"), whole.alias("whole")).filter("whole")
+    newest = versions.groupBy("chartDate").agg(
+        F.max_by("landing", F.struct("landed", "landing")).alias("landing"))
+    body = F.struct("chartDate", "landing", "chartEntryViewResponses")
     last = F.struct("landed", "landed_file", F.to_json(body))
-    return (dated.withColumns(extra).filter(F.col("chartDate") == newest)
-            .groupBy(F.coalesce("page", F.lit(0)).alias("page"))
+    return (dated.join(newest, ["chartDate", "landing"]).groupBy("chartDate", "page")
             .agg(F.max_by(body, last).alias("d")).select("page", "d.*"))
 
 
+def newest_documents(docs: DataFrame, date: str | None = None) -> DataFrame:
+    """Q6: ``current_documents`` of the newest date that has a complete landing."""
+    current = current_documents(docs, date)
+    return newest_chart(current)
+
+
 def newest_chart(flat: DataFrame, date_col: str = "chartDate") -> DataFrame:
     """The rows of the newest date of an already flat chart history (``date_col`` must
     order chronologically). The date is a scalar subquery: no collect, no join."""

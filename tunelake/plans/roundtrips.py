@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.operators.daily import flatten_chart, sorted_by_rank
+from tunelake.operators.daily import current_documents, flatten_chart, sorted_by_rank
 from tunelake.operators.position import positioned
 from tunelake.plans import jobs, oracle
 from tunelake.schema import RESULT_SCHEMAS, TOP_GENRE_ALL_TIME
@@ -44,6 +44,24 @@ def daily_chart_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_by_rank(flatten_chart(docs))
 
 
+def daily_chart_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: every day's chart after later landings: every third day was landed again with
+    fewer entries (that chart counts whole), every fifth day's last landing lacks its first page (the one
+    before it stays)."""
+    path = scratch_path(spark, "chart-landings")
+    docs = chart_documents(spark, sf_dir)
+    n = F.datediff(F.col("chartDate").cast("date"), F.lit("1970-01-01"))
+    chart = F.col("chartEntryViewResponses")[0]
+    short = F.transform("chartEntryViewResponses", lambda c: c.withField(
+        "entries", F.slice(c["entries"], 1, 10)))
+    docs.write.json(f"{path}/landing=1")
+    (docs.filter((n % 3 == 0) & (F.col("page") == 0)).withColumn("chartEntryViewResponses", short)
+     .write.json(f"{path}/landing=2"))
+    (docs.filter((n % 5 == 0) & (F.size(chart["entries"]) > 0)).withColumn("page", F.col("page") + 1)
+     .write.json(f"{path}/landing=3"))
+    return sorted_by_rank(flatten_chart(current_documents(read_chart_documents(spark, path))))
+
+
 def dated_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 + X14: each day's chart exported as dated CSV, read back."""
     docs = read_chart_documents(spark, land_chart_documents(spark, sf_dir))
@@ -113,6 +131,7 @@ def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "daily_chart_flat": daily_chart_flat,
+    "daily_chart_landings": daily_chart_landings,
     "dated_export_roundtrip": dated_export_roundtrip,
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "csv_lenient_scan": csv_lenient_scan,
@@ -190,6 +209,8 @@ def _records_sql() -> str:
 
 
 ORACLE = {
+    "daily_chart_landings": f"WITH {_CHART_DAYS}\nSELECT chartDate, Rank, Artist, TrackName FROM flat "
+                            "WHERE Rank <= 10 OR datediff('day', DATE '1970-01-01', day) % 3 <> 0",
     "csv_lenient_records": _records_sql(),
     "daily_chart_flat": f"WITH {_CHART_DAYS}\nSELECT chartDate, Rank, Artist, TrackName FROM flat",
     "dated_export_roundtrip": f"WITH {_CHART_DAYS}\n"

@@ -147,15 +147,22 @@ def read_lookup(spark: SparkSession, path: str, col: str = "track_name",
 
 def read_chart_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Nested chart documents, fixed schema: one JSON object per line, or with
-    ``multi_line`` one per file, however it is laid out.
+    ``multi_line`` one per file, however it is laid out; folders below ``path`` are read too.
 
-    Beside the document come ``chartDate`` and ``page`` (null where the document has
-    none) and, for picking the newest of several, ``landed`` (when its file was
-    written) and ``landed_file``.
+    Beside the document come ``chartDate``, ``page`` and ``pages`` (how many pages its chart has), null
+    where the document has none; ``landing``, the delivery that it came with; and ``landed`` (when its
+    file was written) and ``landed_file``. The delivery is the document's own ``landing`` or the
+    folder ``landing=<name>`` it lies in; without these, the Spark job that wrote its file, or the file.
     """
-    schema = T.StructType(CHART_DOCUMENT_SCHEMA.fields
-                          + [T.StructField("chartDate", T.StringType(), True),
-                             T.StructField("page", T.LongType(), True)])
-    return (spark.read.schema(schema).option("multiLine", multi_line).json(path)
-            .select("*", F.col("_metadata.file_modification_time").alias("landed"),
-                    F.col("_metadata.file_path").alias("landed_file")))
+    schema = T.StructType(CHART_DOCUMENT_SCHEMA.fields + [
+        T.StructField("chartDate", T.StringType(), True), T.StructField("page", T.LongType(), True),
+        T.StructField("pages", T.LongType(), True), T.StructField("landing", T.StringType(), True)])
+    docs = (spark.read.schema(schema).option("multiLine", multi_line)
+            .option("recursiveFileLookup", True).json(path))
+    file = F.col("_metadata.file_path")
+    folder, job = F.regexp_extract(file, "/landing=([^/]+)/", 1), F.regexp_extract(
+        file, r"/part-\d+-([0-9a-f-]{36})[^/]*$", 1)
+    landing = F.coalesce("landing", F.nullif(folder, F.lit("")), F.nullif(job, F.lit("")), file)
+    return docs.select(*[c for c in docs.columns if c != "landing"], landing.alias("landing"),
+                       F.col("_metadata.file_modification_time").alias("landed"),
+                       file.alias("landed_file"))
