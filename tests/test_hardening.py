@@ -87,9 +87,9 @@ def test_daily_chart_without_a_date_gets_the_day_of_the_run(spark, tmp_path):
     (tmp_path / "landing" / "a.json").write_text(json.dumps(_document(["A", "B"])))
     assert _daily(spark, tmp_path) == [(1, "A"), (2, "B")]
     today = spark.sql("select date_format(current_date(), 'dd-MM-yyyy')").first()[0]
-    assert (tmp_path / "history" / f"dt={today}").exists()
+    assert list((tmp_path / "history").glob(f"v=*/dt={today}"))
     assert _daily(spark, tmp_path, "--date", "2024-01-02") == [(1, "A"), (2, "B")]
-    assert (tmp_path / "history" / "dt=02-01-2024").exists()
+    assert list((tmp_path / "history").glob("v=*/dt=02-01-2024"))
 
 
 def test_daily_chart_takes_the_newest_document_of_a_date(spark, tmp_path):

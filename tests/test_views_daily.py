@@ -82,15 +82,15 @@ def test_dashboard_dispatch(spark):
 def test_dated_export_spreads_a_hot_day_and_keeps_every_row(spark, tmp_path):
     import glob
     from pyspark.sql import functions as F
-    from tunelake.sinks.export import export_dated_csv
+    from tunelake.sinks.export import export_dated_csv, read_dated_csv
     rows = [("2024-01-02" if i % 3 else "2024-01-03", i, f"a{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "d string, Rank bigint, Artist string")
     root = str(tmp_path / "hist")
     export_dated_csv(df, root, F.to_date("d"), drop=("d",), replace="all", rows_per_file=50)
-    back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
+    back = read_dated_csv(spark, root, "Rank bigint, Artist string")
     assert sorted((r.dt, r.Rank) for r in back.collect()) == sorted(
         ("02-01-2024" if i % 3 else "03-01-2024", i) for i in range(300))
-    assert len(glob.glob(f"{root}/dt=02-01-2024/*.csv")) > 1
+    assert len(glob.glob(f"{root}/v=*/dt=02-01-2024/*.csv")) > 1
 
 
 def test_lookup_scan_drops_nulls_and_keeps_duplicates(spark, tmp_path):
@@ -104,16 +104,74 @@ def test_lookup_scan_drops_nulls_and_keeps_duplicates(spark, tmp_path):
 def test_dated_export_rerun_replaces_only_its_day(spark, tmp_path):
     """Re-exporting one day swaps that day's file and keeps the history."""
     from pyspark.sql import functions as F
-    from tunelake.sinks.export import export_dated_csv
+    from tunelake.sinks.export import export_dated_csv, read_dated_csv
     root = str(tmp_path / "hist")
     schema = "d string, Rank bigint, Artist string"
     first = spark.createDataFrame([("2024-01-02", 1, "a"), ("2024-01-03", 1, "b")], schema)
     export_dated_csv(first, root, F.to_date("d"), drop=("d",))
     again = spark.createDataFrame([("2024-01-03", 1, "c"), ("2024-01-03", 2, "d")], schema)
+    before = read_dated_csv(spark, root, "Rank bigint, Artist string")
     export_dated_csv(again, root, F.to_date("d"), drop=("d",))
-    back = spark.read.schema("Rank bigint, Artist string, dt string").option("header", True).csv(root)
-    assert sorted(tuple(r) for r in back.collect()) == [
-        (1, "a", "02-01-2024"), (1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    back = read_dated_csv(spark, root, "Rank bigint, Artist string")
+    assert rows(back) == [(1, "a", "02-01-2024"), (1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
+    assert rows(before) == [(1, "a", "02-01-2024"), (1, "b", "03-01-2024")]     # an open reader's files stay
+    day = read_dated_csv(spark, root, "Rank bigint, Artist string", days=["03-01-2024", "04-01-2024"])
+    assert rows(day) == [(1, "c", "03-01-2024"), (2, "d", "03-01-2024")]
+
+
+def test_dated_history_is_never_half_replaced(spark, tmp_path, monkeypatch):
+    """A reader sees the old history until the commit; an export that dies before it
+    changes nothing; of two that overlap, both days are kept; replaced versions go."""
+    import os
+    import pytest
+    from pyspark.sql import functions as F
+    from tunelake.sinks import commits, export
+    root, schema = str(tmp_path / "hist"), "d string, Rank bigint, Artist string"
+
+    def put(day, artist, **how):
+        df = spark.createDataFrame([(f"2024-01-{day:02d}", 1, artist)], schema)
+        export.export_dated_csv(df, root, F.to_date("d"), drop=("d",), **how)
+
+    def seen():
+        return sorted((r.dt[:2], r.Artist) for r in export.read_dated_csv(
+            spark, root, "Rank bigint, Artist string").collect())
+
+    assert seen() == []
+    put(1, "a")
+    commit = commits.commit
+    looks = []
+
+    def looking(session, folder, text):
+        looks.append(seen())                   # the new files are written, not committed
+        return commit(session, folder, text)
+
+    monkeypatch.setattr(commits, "commit", looking)
+    put(1, "b")
+    assert looks == [[("01", "a")]] and seen() == [("01", "b")]
+
+    def dying(session, folder, text):
+        raise OSError("the driver dies")
+
+    monkeypatch.setattr(commits, "commit", dying)
+    with pytest.raises(OSError):
+        put(1, "c")
+    assert seen() == [("01", "b")]
+
+    def overtaken(session, folder, text):
+        monkeypatch.setattr(commits, "commit", commit)
+        put(2, "other")
+        return commit(session, folder, text)
+
+    monkeypatch.setattr(commits, "commit", overtaken)
+    put(3, "mine")
+    assert seen() == [("01", "b"), ("02", "other"), ("03", "mine")]
+    put(4, "last", replace="all", retain_s=0)
+    assert seen() == [("04", "last")]
+    assert len([d for d in os.listdir(root) if d.startswith("v=")]) == 2      # the last, and the one that died
 
 
 def test_chart_documents_keep_every_order(spark):

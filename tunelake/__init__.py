@@ -35,7 +35,7 @@ from tunelake.plans.jobs import (
     top_track_all_time, top_track_by_year,
 )
 from tunelake.plans.refresh import refresh_results, result_tables, save_daily_chart
-from tunelake.sinks.export import export_dated_csv, write_kafka, write_messages
+from tunelake.sinks.export import export_dated_csv, read_dated_csv, write_kafka, write_messages
 from tunelake.sinks.publish import publish, read_published, snapshot_dirs
 from tunelake.sources.charts import (
     read_chart_csv, read_chart_documents, read_lenient_csv, read_lookup,
@@ -65,7 +65,8 @@ __all__ = [
     # batch jobs and publishing
     "top_track_all_time", "top_track_by_year", "top_genre_by_country", "top_artist_by_genre",
     "feature_means_by_country", "artist_genre_totals", "result_tables", "refresh_results",
-    "save_daily_chart", "publish", "snapshot_dirs", "export_dated_csv", "write_messages",
+    "save_daily_chart", "publish", "snapshot_dirs", "export_dated_csv",
+    "read_dated_csv", "write_messages",
     "write_kafka",
     # charts and views
     "flatten_chart", "newest_chart", "newest_documents", "positioned", "sorted_by_rank", "country_options", "country_slice",

@@ -16,7 +16,7 @@ from tunelake.operators.position import positioned
 from tunelake.plans import jobs, oracle
 from tunelake.schema import RESULT_SCHEMAS, TOP_GENRE_ALL_TIME
 from tunelake.session import scratch_path
-from tunelake.sinks.export import export_dated_csv
+from tunelake.sinks.export import export_dated_csv, read_dated_csv
 from tunelake.sinks.publish import publish, read_published
 from tunelake.sources.charts import (
     read_chart_csv, read_chart_documents, read_lenient_csv,
@@ -68,8 +68,7 @@ def dated_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_chart(docs)
     root = scratch_path(spark, "chart-history")
     export_dated_csv(flat, root, F.to_date("chartDate"), drop=("chartDate",), replace="all")
-    back = (spark.read.schema("Rank bigint, Artist string, TrackName string, dt string")
-            .option("header", True).csv(root))
+    back = read_dated_csv(spark, root, "Rank bigint, Artist string, TrackName string")
     return back.select("dt", "Rank", F.coalesce("Artist", F.lit("")).alias("Artist"), "TrackName")
 
 

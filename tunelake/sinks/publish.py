@@ -1,12 +1,12 @@
 """Replace-all publishing of result tables as immutable snapshots.
 
 ``publish`` never touches the snapshot readers are using: each call writes a
-new directory ``<root>/<table>/v=<millis>-<id>`` through Spark's file commit
-protocol, and the snapshot becomes visible only once Spark has written its
-``_SUCCESS`` marker at job commit. ``read_published`` picks the newest
-committed snapshot. A failed or half-written publish (lost executors, killed
-driver) is simply never picked; retrying it writes a fresh directory. An empty
-result still publishes a readable, typed table.
+new directory ``<root>/<table>/v=<id>`` through Spark's file commit protocol, and
+the snapshot becomes visible by a numbered commit that names it. The number is claimed by creating
+the commit's file, so publishes that overlap are ordered by when they commit, whatever their clocks
+say; ``read_published`` reads the snapshot of the highest number. A failed or half-written
+publish (lost executors, killed driver) is simply never named; retrying it writes a fresh
+directory. An empty result still publishes a readable, typed table.
 
 Listing uses the Hadoop ``FileSystem`` of the session, so the same code works
 on local disk, HDFS or an object store.
@@ -19,70 +19,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SUCCESS = "_SUCCESS"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _candidates(spark: SparkSession, root: str, table: str):
-    """(fs, jvm, snapshot paths oldest first) -- one listing, no commit checks."""
-    fs, base, jvm = _fs(spark, f"{root.rstrip('/')}/{table}")
-    if not fs.exists(base):
-        return fs, jvm, []
-    dirs = [st.getPath() for st in fs.listStatus(base)
-            if st.isDirectory() and st.getPath().getName().startswith("v=")]
-    return fs, jvm, sorted(dirs, key=lambda p: p.getName())
-
-
-def _committed(fs, jvm, path) -> bool:
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path, _SUCCESS))
+from tunelake.sinks import commits
 
 
 def snapshot_dirs(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Committed snapshot directories of ``table``, oldest first."""
-    fs, jvm, dirs = _candidates(spark, root, table)
-    return [p.toString() for p in dirs if _committed(fs, jvm, p)]
+    """Committed snapshot directories of ``table``, in the order of their commits."""
+    base = f"{root.rstrip('/')}/{table}"
+    names = [commits.committed(spark, base, n) for n in commits.numbers(spark, base)]
+    return [f"{base}/{name}" for name in names if name is not None]
 
 
 def newest_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
-    """The newest committed snapshot, checking from the newest down (one
-    listing, and commit checks only until the first committed one)."""
-    fs, jvm, dirs = _candidates(spark, root, table)
-    for p in reversed(dirs):
-        if _committed(fs, jvm, p):
-            return p.toString()
-    return None
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """The text of one small file, ``None`` if there is none."""
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def claim_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create one small file; fails if it is there already."""
-    fs, p, _ = _fs(spark, path)
-    stream = fs.create(p, False)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
+    """The newest committed snapshot: one listing and one small file."""
+    base = f"{root.rstrip('/')}/{table}"
+    _, name = commits.newest(spark, base)
+    return f"{base}/{name}" if name is not None else None
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder the library staged (recursive); ``False`` if absent."""
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = commits.file_system(spark, path)
     return bool(fs.delete(p, True))
 
 
@@ -94,18 +50,19 @@ def publish(df: DataFrame, root: str, table: str, keep: int | None = None,
     a newer one has been visible for ``retain_s`` seconds: a reader that opened a
     snapshot while it was the newest has that long to finish its scan.
     """
-    spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{table}/v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(path)
+    spark, base = df.sparkSession, f"{root.rstrip('/')}/{table}"
+    name = f"v={uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{base}/{name}")
+    commits.commit(spark, base, lambda _: name)
     if keep is not None:
-        dirs = snapshot_dirs(spark, root, table)
-        for old, newer in zip(dirs[:-keep], dirs[1:]):
-            fs, p, jvm = _fs(spark, old)
-            marker = jvm.org.apache.hadoop.fs.Path(newer, _SUCCESS)
-            replaced = fs.getFileStatus(marker).getModificationTime() / 1000
-            if time.time() - replaced >= retain_s:
-                fs.delete(p, True)
-    return path
+        known = commits.numbers(spark, base)
+        for old, newer in zip(known[:-keep], known[1:]):
+            if time.time() - commits.committed_at(spark, base, newer) >= retain_s:
+                stale = commits.committed(spark, base, old)
+                commits.forget(spark, base, old)
+                if stale is not None:
+                    remove_path(spark, f"{base}/{stale}")
+    return f"{base}/{name}"
 
 
 def read_published(spark: SparkSession, root: str, table: str,

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tunelake.sinks.publish import claim_text, read_text
+from tunelake.sinks import commits
+from tunelake.sinks.commits import create_text, read_text
 from tunelake.streaming.events import decode_events, enrich, to_values
 
 EPOCH_COLUMN = "epoch"
@@ -78,9 +79,9 @@ def _own(spark: SparkSession, sink: str, checkpoint: str) -> None:
     query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata") or "{}").get("id")
     mark = f"{sink.rstrip('/')}/{_OWNER}"
     owner = read_text(spark, mark)
-    if owner is None:
-        claim_text(spark, mark, str(query))
-    elif owner != str(query):
+    if owner is None and not create_text(spark, mark, str(query)):
+        owner = read_text(spark, mark)
+    if owner is not None and owner != str(query):
         raise RuntimeError(f"{sink} holds the epochs of query {owner}; query {query} must write "
                            "to a sink of its own (or resume the old checkpoint)")
 
