@@ -228,3 +228,25 @@ def test_repeat_groups_hold_all_occurrences():
     rights = [b"seed12", b"seed12", b"seed19", b"seed12"]
     got = {(a, b, tuple(sorted(g))) for a, b, g in suffixes.repeat_groups(lefts, rights, 7)}
     assert got == {(2, 6, (0, 1)), (3, 5, (0, 2)), (2, 5, (0, 1, 2))}
+
+
+@pytest.mark.parametrize("doc", [5, None])
+def test_rows_whose_short_hashes_collide_keep_their_own_words(spark, doc):
+    """Two texts of one id (or of none) with equal 32-bit hashes: only one of them repeats anything."""
+    rng = np.random.default_rng(8)
+    shared = " ".join(f"w{i}" for i in rng.integers(0, 10 ** 6, 60))
+    base = spark.range(400_000).select(
+        "id", F.when(F.col("id") % 2 == 0, F.concat(F.lit(shared + " x"), "id"))
+        .otherwise(F.concat(F.lit("alone " * 3), F.repeat(F.concat(F.lit("y"), "id", F.lit(" ")), 60))).alias("text"))
+    hit = (base.filter("id % 2 = 0").select(F.hash("text").alias("h"), F.col("text").alias("a"))
+           .join(base.filter("id % 2 = 1").select(F.hash("text").alias("h"), F.col("text").alias("b")), "h")
+           .first())
+    assert hit is not None
+    rows = [(1, shared), (doc, hit.a), (doc, hit.b), (doc, hit.b), (7, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = substrings.remove_repeats(docs).select("doc_id", "repeats.n_words", "repeats.n_removed",
+                                                 "repeats.kept_sha256")
+    same(got.collect(), brute.passages(rows))
+    got = suffixes.remove_repeats(docs).select("doc_id", "repeats.n_bytes", "repeats.n_removed",
+                                               "repeats.n_spans", "repeats.kept_sha256")
+    same(got.collect(), brute.byte_repeats(rows, 200))

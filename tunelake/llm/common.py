@@ -49,6 +49,28 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
+def row_tags(rows: DataFrame, doc: str, text: str, tag: str) -> DataFrame:
+    """``rows`` with a column ``tag`` such that (doc, tag) names a row up to rows with equal doc and text.
+
+    It is 0 where an id has one text, the usual case; the texts of an id (or of no id) that has
+    several are numbered once, in a stored table of their 128-bit hashes, that ``rows`` are joined to.
+    """
+    keys = {"_k1": F.xxhash64(F.lit(1), text), "_k2": F.xxhash64(F.lit(2), text)}
+    texts = rows.select(F.col(doc).alias("_doc"), *[k.alias(n) for n, k in keys.items()]).distinct()
+    several = texts.groupBy("_doc").agg(F.count("*").alias("n")).filter("n > 1").select(
+        F.col("_doc").alias("_many"))
+    numbered = staged(texts.join(several, F.col("_doc").eqNullSafe(F.col("_many"))).drop("_many")
+                      .withColumn("_number", F.monotonically_increasing_id() + 1), "row-tags")
+    if numbered.isEmpty():
+        return rows.withColumn(tag, F.lit(0).cast("long"))
+    numbered = numbered.withColumnsRenamed({"_k1": "_n1", "_k2": "_n2"})
+    same = F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_k1") == F.col("_n1")) & (
+        F.col("_k2") == F.col("_n2"))
+    return (rows.withColumns(keys).join(numbered, same, "left")
+            .withColumn(tag, F.coalesce("_number", F.lit(0).cast("long")))
+            .drop("_k1", "_k2", "_doc", "_n1", "_n2", "_number"))
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it (a
     source tree that is on a shared path, as in tests); an installed package is

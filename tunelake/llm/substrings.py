@@ -10,7 +10,8 @@ one source piece of each context is opened into single edges at its source
 coordinates, edges are matched, and the result returns to the pieces by a join.
 
 Equal pieces are recognised by two 64-bit hashes, of the seed and of the piece's
-own UTF-8 bytes; opened edges likewise. All groups are aggregated before they
+own UTF-8 bytes; opened edges likewise. Spans find their row again by its id and, where an id has
+several texts, by a stored number of the text. All groups are aggregated before they
 are shuffled; occurrences meet their group through joins that AQE can split.
 
 Cases: a null or empty text has no words; a null doc_id is neither earlier nor later
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm.common import (
-    Scratch, byte_words, map_batches, mix64, reach_workers, slices, staged,
+    Scratch, byte_words, map_batches, mix64, reach_workers, row_tags, slices, staged,
 )
 
 _BATCH_CHARS = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
-_PIECES = "doc_id long, tag int, seed long, digest long, at long"
+_PIECES = "doc_id long, tag long, seed long, digest long, at long"
 
 
 class _Words:
@@ -202,7 +203,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, k: int = 5,
     ``n_removed``, ``kept_sha256`` (of the kept words joined by one space) and, if asked
     for, ``kept_text`` (those words; null if nothing is removed)."""
     own = {"_rep_doc": F.col("doc_id").cast("long"), "_rep_text": F.col("text").cast("string")}
-    rows = docs.drop("repeats").withColumns(own).withColumn("_rep_tag", F.hash("_rep_text"))
+    rows = row_tags(docs.drop("repeats").withColumns(own), "_rep_doc", "_rep_text", "_rep_tag")
     slim = rows.select(F.col("_rep_doc").alias("doc_id"), F.col("_rep_tag").alias("tag"),
                        F.col("_rep_text").alias("text"))
     spans = staged(repeated_spans(slim, window, k).groupBy("doc_id", "tag").agg(

@@ -13,6 +13,9 @@ whose members differ on the left is a maximal repeat group, kept with all its oc
 A seed with more than ``group`` different contexts is not sorted in one task: its strings
 of ``length`` bytes are hashed one by one and counted by Spark, which gives the same spans.
 
+Spans find their row again by its id and, where an id (or no id) has several texts, by a
+stored number of the text.
+
 Cases: a null or empty text has no bytes; matches never cross rows, and rows that repeat
 a document count as places of their own; a null doc_id is a document like any other;
 texts of any length are scanned in overlapping blocks; an empty table gives no
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm.common import (
-    Scratch, fan_out, map_batches, mix64, reach_workers, slices, staged,
+    Scratch, fan_out, map_batches, mix64, reach_workers, row_tags, slices, staged,
 )
 
 _BLOCK = 1 << 20
@@ -103,7 +106,7 @@ def _scan_pieces(docs: DataFrame, length: int, k: int) -> DataFrame:
                         "seed": seed.view(np.int64), "digest": digest.view(np.int64),
                         "at": (begin << 16) | (offset << 8) | n})
 
-    return map_batches(docs, run, "doc_id long, tag int, seed long, digest long, at long")
+    return map_batches(docs, run, "doc_id long, tag long, seed long, digest long, at long")
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -195,11 +198,11 @@ def _contexts(docs: DataFrame, sources: DataFrame, length: int) -> DataFrame:
     joined = docs.join(wanted, docs.doc_id.eqNullSafe(F.col("w_doc")) & (docs.tag == F.col("w_tag")))
     parts = [F.col("pieces")[c].alias(c) for c in ("seed", "n", "m", "at")]
     return map_batches(joined.select("doc_id", "tag", "text", *parts), run,
-                       "seed long, n long, m long, doc_id long, tag int, at long, left binary, "
+                       "seed long, n long, m long, doc_id long, tag long, at long, left binary, "
                        "right binary")
 
 
-_SPAN = "doc_id long, tag int, start long, stop long"
+_SPAN = "doc_id long, tag long, start long, stop long"
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -253,7 +256,7 @@ def _strings(contexts: DataFrame, length: int) -> DataFrame:
                 yield out
 
     return map_batches(contexts.drop("m"), run,
-                       "seed long, n long, doc_id long, tag int, at long, j long, "
+                       "seed long, n long, doc_id long, tag long, at long, j long, "
                        "string long, place long")
 
 
@@ -333,8 +336,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, group: int =
     ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` and, if asked for,
     ``kept`` (the bytes left)."""
     own = {"_rep_doc": F.col("doc_id").cast("long"), "_rep_text": F.col("text").cast("string")}
-    rows = docs.drop("repeats").withColumns(own).withColumn(
-        "_rep_tag", F.hash("_rep_text"))
+    rows = row_tags(docs.drop("repeats").withColumns(own), "_rep_doc", "_rep_text", "_rep_tag")
     slim = rows.select(F.col("_rep_doc").alias("doc_id"), F.col("_rep_tag").alias("tag"),
                        F.col("_rep_text").alias("text"))
     spans = staged(repeated_spans(slim, length, k, group).groupBy(
