@@ -21,7 +21,7 @@ from tunelake.operators.clean import (
     top_genre_rules, top_track_all_time_rules, top_track_by_year_rules,
 )
 from tunelake.operators.daily import (
-    flatten_chart, newest_chart, newest_documents, sorted_by_rank,
+    current_documents, flatten_chart, newest_chart, newest_documents, sorted_by_rank,
 )
 from tunelake.operators.position import positioned
 from tunelake.operators.profile import mean_by
@@ -35,18 +35,21 @@ from tunelake.plans.jobs import (
     top_track_all_time, top_track_by_year,
 )
 from tunelake.plans.refresh import refresh_results, result_tables, save_daily_chart
-from tunelake.sinks.export import export_dated_csv, read_dated_csv, write_kafka, write_messages
+from tunelake.sinks.export import (
+    append_messages, export_dated_csv, read_dated_csv, write_kafka, write_messages,
+)
 from tunelake.sinks.publish import publish, read_published, snapshot_dirs
 from tunelake.sources.charts import (
     read_chart_csv, read_chart_documents, read_lenient_csv, read_lookup,
 )
+from tunelake.streaming.compact import compact_epochs, read_epochs
 from tunelake.streaming.events import (
     decode_events, encode_events, enrich, index_lookup, keyed_pick, latest, now_playing_rows,
-    random_key, rename_source_columns, to_values,
+    random_key, rename_source_columns, store_lookup, to_values, with_key,
 )
 from tunelake.streaming.runner import (
-    epoch_writer, read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich,
-    start_latest,
+    drop_replays, epoch_writer, message_writer, read_topic, run_to_end, run_until, start_append,
+    start_decode, start_enrich, start_latest,
 )
 
 __version__ = "0.1.0"
@@ -66,14 +69,15 @@ __all__ = [
     "top_track_all_time", "top_track_by_year", "top_genre_by_country", "top_artist_by_genre",
     "feature_means_by_country", "artist_genre_totals", "result_tables", "refresh_results",
     "save_daily_chart", "publish", "snapshot_dirs", "export_dated_csv",
-    "read_dated_csv", "write_messages",
-    "write_kafka",
+    "read_dated_csv", "write_messages", "append_messages", "write_kafka",
     # charts and views
-    "flatten_chart", "newest_chart", "newest_documents", "positioned", "sorted_by_rank", "country_options", "country_slice",
+    "flatten_chart", "newest_chart", "newest_documents", "current_documents",
+    "positioned", "sorted_by_rank", "country_options", "country_slice",
     "headline", "hierarchy_totals", "metric_pick", "metric_long", "metric_labels", "preview",
     "energy_view", "dashboard_view", "has_rows",
     # events and streams
     "rename_source_columns", "encode_events", "decode_events", "enrich", "to_values",
     "index_lookup", "keyed_pick", "random_key", "now_playing_rows", "latest",
+    "store_lookup", "with_key", "message_writer", "drop_replays", "compact_epochs", "run_until",
     "epoch_writer", "start_decode", "start_enrich", "start_append", "start_latest", "run_to_end",
 ]

@@ -59,6 +59,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--servers", default=None)
         s.add_argument("--trigger", default="30 seconds" if name == "enrich" else "2 seconds")
         s.add_argument("--max-per-trigger", type=int, default=None)
+        s.add_argument("--start", choices=("earliest", "latest"), default=None,
+                       help="where a new query starts (default: a folder's first file, Kafka's latest)")
         if name == "enrich":
             s.add_argument("--sink", default=None, help="result folder (without --servers)")
             s.add_argument("--result-topic", default="result")
@@ -67,6 +69,7 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--sink", required=True, help="feed folder")
             s.add_argument("--lookup-csv", required=True)
             s.add_argument("--lookup-col", default="track_name")
+            s.add_argument("--compact-every", type=int, default=100, help="epochs between compactions")
         else:
             s.add_argument("--root", required=True)
     return p
@@ -93,7 +96,8 @@ def run(spark: SparkSession, argv: list[str]):
         if a.servers:
             return tl.write_kafka(msgs, a.servers, a.topic)
         return tl.write_messages(msgs, a.topic)
-    stream = tl.read_topic(spark, a.topic, servers=a.servers, max_per_trigger=a.max_per_trigger)
+    stream = tl.read_topic(spark, a.topic, servers=a.servers, starting_offsets=a.start,
+                           max_per_trigger=a.max_per_trigger, checkpoint=a.checkpoint)
     if a.cmd == "enrich":
         return tl.start_enrich(stream, a.sink, a.checkpoint, a.trigger, a.on_bad,
                                a.servers, a.result_topic)
@@ -110,7 +114,7 @@ def run(spark: SparkSession, argv: list[str]):
             ev = values.select(F.from_json("value", schema).alias("d")).select("d.*")
             return tl.now_playing_rows(ev, indexed, n)
 
-        return tl.start_append(stream, a.sink, a.checkpoint, feed, a.trigger)
+        return tl.start_append(stream, a.sink, a.checkpoint, feed, a.trigger, a.compact_every)
 
     def prepare(values):
         ev = tl.decode_events(values)

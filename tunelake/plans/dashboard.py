@@ -10,14 +10,16 @@ write/read/serve cycle, checked against the oracle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunelake.operators.views import country_options, dashboard_view
+from tunelake.operators.position import positioned
+from tunelake.operators.views import VIEW_NAMES, country_options, dashboard_view, has_rows
 from tunelake.plans import jobs, oracle
 from tunelake.plans.refresh import save_daily_chart
 from tunelake.plans.roundtrips import _CHART_DAYS, land_chart_documents
 from tunelake.schema import (
-    ALL_COUNTRIES, DAILY_CHARTS, ENERGY_PER_COUNTRY, TOP_ARTIST_PER_GENRE, TOP_GENRE_ALL_TIME,
-    TOP_SONGS_ALL_TIME,
+    ALL_COUNTRIES, DAILY_CHARTS, ENERGY_PER_COUNTRY, RESULT_SCHEMAS, TOP_ARTIST_PER_GENRE,
+    TOP_GENRE_ALL_TIME, TOP_SONGS_ALL_TIME,
 )
 from tunelake.session import scratch_path
 from tunelake.sinks.publish import publish, read_published
@@ -91,7 +93,32 @@ def view_trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard_view("Trending Now", {DAILY_CHARTS: read_published(spark, root, DAILY_CHARTS)})
 
 
+def country_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the place of every entry in the sorted country list."""
+    path = scratch_path(spark, "country-list")
+    options = country_options(_result(spark, sf_dir, TOP_GENRE_ALL_TIME))
+    (options.withColumns({"part": F.spark_partition_id(), "n": F.monotonically_increasing_id()})
+     .write.parquet(path))
+    return positioned(spark.read.parquet(path), ["part", "n"]).select("pos", "country")
+
+
+def view_no_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: which views have something to show, of the published tables and of tables that are empty."""
+    root = scratch_path(spark, "published")
+    full, none = {}, {}
+    for table in (TOP_SONGS_ALL_TIME, TOP_GENRE_ALL_TIME, TOP_ARTIST_PER_GENRE, ENERGY_PER_COUNTRY):
+        publish(_result(spark, sf_dir, table), root, table)
+        full[table] = read_published(spark, root, table)
+        none[table] = read_published(spark, root + "-none", table, RESULT_SCHEMAS[table])
+    rows = [(name, kind, has_rows(dashboard_view(name, tables, country)))
+            for kind, tables in (("published", full), ("empty", none))
+            for name in VIEW_NAMES[:4] for country in (oracle.FIXTURE_COUNTRY,)]
+    return spark.createDataFrame(rows, "view string, tables string, has_rows boolean")
+
+
 QUERIES = {
+    "country_order": country_order,
+    "view_no_data": view_no_data,
     "view_top_songs": view_top_songs,
     "view_top_genre": view_top_genre,
     "view_top_artists": view_top_artists,
@@ -102,6 +129,11 @@ QUERIES = {
 }
 
 ORACLE = {
+    "country_order": oracle.sql([f"c AS ({oracle.country_selector()})"],
+                                "SELECT row_number() OVER (ORDER BY ord, country) - 1 AS pos, country FROM c"),
+    "view_no_data": "SELECT v AS view, t AS tables, t = 'published' AND EXISTS (SELECT 1 FROM lineitem) "
+                    "AS has_rows FROM (VALUES ('published'), ('empty')) a(t), "
+                    "(VALUES " + ", ".join(f"('{n}')" for n in VIEW_NAMES[:4]) + ") b(v)",
     "view_top_songs": oracle.country_slice(),
     "view_top_genre": oracle.country_slice_all(),
     "view_top_artists": oracle.genre_artist_totals_top1(),

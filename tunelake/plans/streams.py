@@ -10,6 +10,8 @@ holds, read back as a batch frame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +24,14 @@ from tunelake.sinks.export import write_messages
 from tunelake.sources.charts import read_lookup
 from tunelake.sources.fixtures import EVENT_NUMBERS, EVENT_TEXTS, event_source_rows, read_table
 from tunelake.streaming.events import (
-    decode_events, encode_events, index_lookup, keyed_pick, latest, now_playing_rows, random_key,
-    rename_source_columns,
+    decode_events, encode_events, enrich, index_lookup, keyed_pick, latest, now_playing_rows,
+    random_key, rename_source_columns, store_lookup, to_values,
 )
 from tunelake.functions.format import time_of_day, with_default
+from tunelake.streaming.compact import compact_epochs, read_epochs
 from tunelake.streaming.runner import (
-    read_epochs, read_topic, run_to_end, start_append, start_decode, start_enrich, start_latest,
+    drop_replays, message_writer, read_topic, run_to_end, run_until, start_append, start_decode,
+    start_enrich, start_latest,
 )
 
 
@@ -130,6 +134,90 @@ def event_append_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_epochs(spark, sink)
 
 
+def event_append_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six waves, an epoch each; closed epochs are merged while the stream runs and once more
+    after it. Every event is read once, from the segments and the last epoch."""
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
+    topic = scratch_path(spark, "topic")
+    sink, ckpt = scratch_path(spark, "appended"), scratch_path(spark, "ckpt")
+    for wave in range(6):
+        write_messages(encode_events(rows.filter(F.col("event_id").cast("bigint") % 6 == wave)), topic)
+        run_to_end(start_append(read_topic(spark, topic), sink, ckpt, lambda b: decode_events(b),
+                                compact_every=2, retain_s=0))
+    compact_epochs(spark, sink, retain_s=0)
+    return read_epochs(spark, sink)
+
+
+def event_decode_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: a folder topic read from its end. A third of the events is there before the query first
+    starts; the others come after it, before and after a restart."""
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
+    topic = scratch_path(spark, "topic")
+    sink, ckpt = scratch_path(spark, "decoded"), scratch_path(spark, "ckpt")
+    for wave in range(3):
+        write_messages(encode_events(rows.filter(F.col("event_id").cast("bigint") % 3 == wave)), topic)
+        stream = read_topic(spark, topic, starting_offsets="latest", checkpoint=ckpt)
+        run_to_end(start_decode(stream, sink, ckpt))
+    return spark.read.schema(EVENT_SCHEMA).parquet(sink)
+
+
+def event_publish_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 + T4: the first epoch is produced, fails and is produced again, as with a broker; the consumer
+    drops the replayed messages by their keys and has every event once."""
+    topic = produce_topic(spark, sf_dir)
+    result, made, ckpt, sink, read = (scratch_path(spark, n) for n in (
+        "result-topic", "ckpt", "ckpt", "decoded", "ckpt"))
+    write = message_writer(result, made, lambda batch: to_values(enrich(decode_events(batch))))
+    state = {"failed": False}
+
+    def failing(batch: DataFrame, epoch_id: int) -> None:
+        write(batch, epoch_id)
+        if not state["failed"]:
+            state["failed"] = True
+            raise OSError("the driver is lost after the epoch was produced")
+
+    def produce(fn):
+        return (read_topic(spark, topic, max_per_trigger=2).writeStream.foreachBatch(fn)
+                .option("checkpointLocation", made).trigger(availableNow=True).start())
+
+    try:
+        run_to_end(produce(failing))
+    except Exception:
+        if not state["failed"]:
+            raise
+    run_to_end(produce(write))
+    messages = read_topic(spark, result, keyed=True).select(
+        "key", F.from_json("value", _result_schema()).alias("d")).select("key", "d.*")
+    once = drop_replays(messages, PROCESSING_TIME_COLUMN)
+    run_to_end(once.writeStream.format("parquet").option("checkpointLocation", read)
+               .trigger(availableNow=True).start(sink))
+    twice = spark.read.text(result).count() > spark.read.text(topic).count()
+    return spark.read.schema(once.schema).parquet(sink).select(
+        *EVENT_SCHEMA.fieldNames(), F.lit(twice).alias("topic_has_replays"))
+
+
+def event_enrich_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrich job under a processing-time trigger. Three waves arrive while it runs, each
+    after the one before is done, as its progress reports; then it is stopped."""
+    rows = rename_source_columns(event_source_rows(spark, sf_dir))
+    topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic", "result", "ckpt"))
+    spark.createDataFrame([], "value string").write.text(topic)
+    q = start_enrich(read_topic(spark, topic), sink, ckpt, trigger="200 milliseconds")
+    sent, epochs = 0, {}
+    try:
+        for wave in range(3):
+            part = rows.filter(F.col("event_id").cast("bigint") % 3 == wave)
+            write_messages(encode_events(part), topic)
+            sent += part.count()
+            epochs = run_until(q, sent)
+    finally:
+        q.stop()
+    res = read_result_topic(spark, sink)
+    return res.select("event_id", F.col(PROCESSING_TIME_COLUMN).isNotNull().alias("has_stamp"),
+                      F.lit(len(epochs) >= 3).alias("several_epochs"),
+                      F.lit(sum(epochs.values()) == sent).alias("all_reported"))
+
+
 def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13 live feed (S6 S3 F7 J1 X12 X13 T7 U2) over the enriched result topic."""
     result_sink = run_enrich(spark, sf_dir)
@@ -138,7 +226,8 @@ def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.option("header", True).csv(source))
     lookup = read_lookup(spark, source, keep=["p_partkey"]).withColumn(
         "p_partkey", F.col("p_partkey").cast("bigint"))
-    indexed = index_lookup(lookup, "p_partkey")     # a stored table: batches only read it
+    table = f"lookup_{uuid.uuid4().hex}"        # a stored, bucketed table: batches only read it
+    indexed = store_lookup(index_lookup(lookup, "p_partkey"), table, scratch_path(spark, "lookup"))
     n = indexed.count()
     stream = read_topic(spark, result_sink + "/*", max_per_trigger=2)
     sink, ckpt = scratch_path(spark, "feed"), scratch_path(spark, "ckpt")
@@ -148,6 +237,7 @@ def now_playing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return now_playing_rows(ev, indexed, n, key=F.col("event_id").try_cast("bigint"))
 
     run_to_end(start_append(stream, sink, ckpt, feed))
+    spark.sql(f"DROP TABLE {table}")
     out = read_epochs(spark, sink)
     return out.select("event_id", FEED_TRACK_ID, FEED_TRACK_NAME,
                       F.col("timestamp").rlike(r"^\d{2}:\d{2}:\d{2}$").alias("time_ok"))
@@ -209,6 +299,10 @@ QUERIES = {
     "event_decode_dirty_drop": event_decode_dirty_drop,
     "event_enrich_stream": event_enrich_stream,
     "event_append_epochs": event_append_epochs,
+    "event_append_compacted": event_append_compacted,
+    "event_decode_latest": event_decode_latest,
+    "event_publish_once": event_publish_once,
+    "event_enrich_service": event_enrich_service,
     "now_playing_feed": now_playing_feed,
     "now_playing_latest": now_playing_latest,
     "now_playing_live": now_playing_live,
@@ -270,6 +364,11 @@ FROM events ORDER BY ts DESC, event_id DESC LIMIT 1""",
                                f"WHERE NOT {_BAD}",
     "event_enrich_stream": f"SELECT\n  {_event_fields()},\n  TRUE AS has_stamp\nFROM events",
     "event_append_epochs": f"SELECT\n  {_event_fields()}\nFROM events",
+    "event_append_compacted": f"SELECT\n  {_event_fields()}\nFROM events",
+    "event_decode_latest": f"SELECT\n  {_event_fields()}\nFROM events WHERE event_id % 3 <> 0",
+    "event_publish_once": f"SELECT\n  {_event_fields()},\n  TRUE AS topic_has_replays\nFROM events",
+    "event_enrich_service": "SELECT CAST(event_id AS VARCHAR) AS event_id, TRUE AS has_stamp, "
+                            "TRUE AS several_epochs, TRUE AS all_reported FROM events",
     "now_playing_feed": """SELECT CAST(e.event_id AS VARCHAR) AS event_id,
   coalesce(json_extract_string(e.props, '$.k'), 'Unknown Track') AS "track ID",
   p.p_name AS "track name",

@@ -108,9 +108,14 @@ def write_messages(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select(F.col("value").cast("string")).write.mode(mode).text(path)
 
 
+def append_messages(df: DataFrame, path: str) -> None:
+    """K4: add messages with a ``key`` to a folder topic, as lines ``{"key": .., "value": ..}``."""
+    df.select(F.to_json(F.struct("key", "value")).alias("value")).write.mode("append").text(path)
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
     """K4 with a broker: needs the spark-sql-kafka connector on the classpath."""
-    (df.select(F.col("value").cast("string"))
+    (df.select(*[F.col(c).cast("string") for c in ("key", "value") if c in df.columns])
        .write.format("kafka")
        .option("kafka.bootstrap.servers", servers)
        .option("topic", topic)

@@ -22,31 +22,60 @@ Design
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tunelake.sinks import commits
 from tunelake.sinks.commits import create_text, read_text
-from tunelake.streaming.events import decode_events, enrich, to_values
+from tunelake.sinks.export import append_messages, write_kafka
+from tunelake.streaming.compact import EPOCH_COLUMN, compact_epochs, epoch_path, read_epochs
+from tunelake.streaming.events import decode_events, enrich, to_values, with_key
 
-EPOCH_COLUMN = "epoch"
 _OWNER = "_query_id"
+_START = "start_mark"
+
+__all__ = ["EPOCH_COLUMN", "read_epochs", "epoch_path"]
+
+
+def _start_mark(spark: SparkSession, topic: str, checkpoint: str) -> dict:
+    """The end of a folder topic when its query first started: the newest modification time
+    (ms; -1: no file) and the files that have it. Kept in the query's checkpoint, so a restart
+    starts where the query left off; a query that has run without a mark has none."""
+    mark = f"{checkpoint.rstrip('/')}/{_START}"
+    text = read_text(spark, mark)
+    if text is None:
+        end = {"time": -1, "files": []}
+        if read_text(spark, f"{checkpoint.rstrip('/')}/metadata") is None:
+            files = spark.read.format("binaryFile").load(topic).select(
+                "path", F.unix_millis("modificationTime").alias("time"))
+            last = files.agg(F.max("time")).first()[0]
+            if last is not None:
+                end = {"time": last, "files": [r.path for r in files.filter(
+                    F.col("time") == last).select("path").collect()]}
+        if not create_text(spark, mark, json.dumps(end)):
+            return _start_mark(spark, topic, checkpoint)
+        return end
+    return json.loads(text)
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
                starting_offsets: str | None = None, fail_on_data_loss: bool = False,
-               max_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame with a ``value`` column.
+               max_per_trigger: int | None = None, checkpoint: str | None = None,
+               keyed: bool = False) -> DataFrame:
+    """Streaming frame with a ``value`` column, and with ``keyed`` the message's ``key``.
 
     With ``servers``, ``topic`` is a Kafka topic name (``startingOffsets``, by
     default ``latest``, and ``failOnDataLoss`` as in the reference,
     ``maxOffsetsPerTrigger`` for back-pressure). Without, ``topic`` is a folder of
     JSON-lines files (``maxFilesPerTrigger`` for back-pressure; new files are
-    picked up in arrival order). A folder is always read from its first file:
-    any start but ``earliest`` is refused instead of ignored.
+    picked up in arrival order), read from its first file, or with
+    ``starting_offsets="latest"`` from its end at the query's first start: the mark of that end is
+    stored in ``checkpoint``, which a restart finds again. A file that lands
+    later with an older modification time counts as older. Keyed messages in a folder are
+    lines ``{"key": .., "value": ..}`` (``append_messages``).
     """
     if servers:
         r = (spark.readStream.format("kafka")
@@ -56,18 +85,24 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
-        return r.load().select(F.col("value").cast("string").alias("value"))
-    if starting_offsets not in (None, "earliest"):
-        raise ValueError(f"a folder topic starts at its first file; starting_offsets="
-                         f"{starting_offsets!r} needs a broker")
+        cols = ["value", "key"] if keyed else ["value"]
+        return r.load().select(*[F.col(c).cast("string").alias(c) for c in cols])
+    if starting_offsets not in (None, "earliest", "latest"):
+        raise ValueError(f"a folder topic starts at 'earliest' or 'latest', not at {starting_offsets!r}")
     r = spark.readStream.schema("value string")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
-    return r.text(topic)
-
-
-def epoch_path(sink: str, epoch_id: int) -> str:
-    return f"{sink.rstrip('/')}/{EPOCH_COLUMN}={epoch_id}"
+    lines = r.text(topic)
+    if starting_offsets == "latest":
+        if checkpoint is None:
+            raise ValueError("a folder topic is read from its end only with a checkpoint to keep the start in")
+        end = _start_mark(spark, topic, checkpoint)
+        time_of = F.unix_millis("_metadata.file_modification_time")
+        lines = lines.filter((time_of > end["time"]) | (
+            (time_of == end["time"]) & ~F.col("_metadata.file_path").isin(end["files"])))
+    if keyed:
+        lines = lines.select(F.from_json("value", "key string, value string").alias("m")).select("m.*")
+    return lines
 
 
 def _own(spark: SparkSession, sink: str, checkpoint: str) -> None:
@@ -76,16 +111,44 @@ def _own(spark: SparkSession, sink: str, checkpoint: str) -> None:
     Epoch ids restart at 0 under a new checkpoint and would overwrite the epochs
     of the old one. The query's id is in its checkpoint; the sink keeps a copy.
     """
-    query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata") or "{}").get("id")
+    query = query_id(spark, checkpoint)
     mark = f"{sink.rstrip('/')}/{_OWNER}"
     owner = read_text(spark, mark)
-    if owner is None and not create_text(spark, mark, str(query)):
+    if owner is None and not create_text(spark, mark, query):
         owner = read_text(spark, mark)
-    if owner is not None and owner != str(query):
+    if owner is not None and owner != query:
         raise RuntimeError(f"{sink} holds the epochs of query {owner}; query {query} must write "
                            "to a sink of its own (or resume the old checkpoint)")
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that runs from ``checkpoint``; the same after every restart."""
+    return str(json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata") or "{}").get("id"))
+
+
+def message_writer(topic: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
+                   servers: str | None = None) -> Callable[[DataFrame, int], None]:
+    """K4: ``foreachBatch`` callback that produces ``transform(batch)`` (``value``) to ``topic``, a Kafka
+    topic or a folder, at least once: a replayed epoch is produced again, with the same keys.
+
+    A message's key is its query, epoch and position in the epoch. A replayed epoch has
+    the same input in the same splits, so ``drop_replays`` can tell its messages.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        out = with_key(transform(batch), query_id(batch.sparkSession, checkpoint), epoch_id)
+        if servers:
+            write_kafka(out, servers, topic)
+        else:
+            append_messages(out, topic)
+    return write
+
+
+def drop_replays(messages: DataFrame, time: str, delay: str = "1 hour") -> DataFrame:
+    """T4: each message once, by its ``key``; a replay counts as such if it comes within ``delay`` of the
+    newest ``time`` seen. State is one key a message, dropped once it is older than that."""
+    return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark(["key"])
+
+
 def epoch_writer(sink: str, transform: Callable[[DataFrame, int], DataFrame],
                  fmt: str = "parquet", skip_empty: bool = True,
                  checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
@@ -128,7 +191,7 @@ def start_enrich(stream: DataFrame, sink: str, checkpoint: str,
 
     Without ``servers`` the values go to ``<sink>/epoch=<id>`` as text files
     (exactly once); with ``servers`` they are produced to the Kafka ``topic``
-    (at least once: a replayed epoch is produced again).
+    (at least once, with keys by which ``drop_replays`` removes replayed messages).
     """
     decoded = decode_events(stream, on_bad=on_bad).observe(
         "enrich", F.count(F.lit(1)).alias("rows"))
@@ -137,11 +200,7 @@ def start_enrich(stream: DataFrame, sink: str, checkpoint: str,
         return to_values(enrich(batch))
 
     if servers:
-        from tunelake.sinks.export import write_kafka
-
-        def publish(batch: DataFrame, epoch_id: int) -> None:
-            write_kafka(values(batch, epoch_id), servers, topic)
-        fn = publish
+        fn = message_writer(topic, checkpoint, lambda batch: values(batch, 0), servers)
     else:
         # one action per epoch: no emptiness probe (Spark does not run empty
         # micro-batches for a stateless query), so `observe` counts the write
@@ -153,9 +212,17 @@ def start_enrich(stream: DataFrame, sink: str, checkpoint: str,
 
 def start_append(stream: DataFrame, sink: str, checkpoint: str,
                  transform: Callable[[DataFrame], DataFrame],
-                 trigger: str | None = "availableNow") -> StreamingQuery:
-    """Append ``transform(batch)`` to ``<sink>/epoch=<id>`` (parquet)."""
-    fn = epoch_writer(sink, lambda b, _e: transform(b), checkpoint=checkpoint)
+                 trigger: str | None = "availableNow", compact_every: int | None = None,
+                 retain_s: float = 3600.0) -> StreamingQuery:
+    """Append ``transform(batch)`` to ``<sink>/epoch=<id>`` (parquet). With ``compact_every``
+    the closed epochs are merged after every so many (``compact_epochs``)."""
+    write = epoch_writer(sink, lambda b, _e: transform(b), checkpoint=checkpoint)
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        write(batch, epoch_id)
+        if compact_every and (epoch_id + 1) % compact_every == 0:
+            compact_epochs(batch.sparkSession, sink, retain_s=retain_s)
+
     q = (stream.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint))
     return _trigger(q, trigger).start()
@@ -189,16 +256,6 @@ def start_latest(stream: DataFrame, root: str, table: str, checkpoint: str,
     return _trigger(q, trigger).start()
 
 
-def read_epochs(spark: SparkSession, sink: str, fmt: str = "parquet",
-                schema: str | None = None) -> DataFrame:
-    """Read every epoch folder of a sink as one table (``epoch`` column dropped)."""
-    r = spark.read.format(fmt)
-    if schema:
-        r = r.schema(schema)
-    df = r.load(sink)
-    return df.drop(EPOCH_COLUMN) if EPOCH_COLUMN in df.columns else df
-
-
 def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query, however long it takes unless ``timeout_s``
     is given; re-raise its failure, if any."""
@@ -210,3 +267,23 @@ def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> StreamingQuer
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
+
+
+def run_until(q: StreamingQuery, rows: int, timeout_s: int = 600, every_s: float = 0.2) -> dict[int, int]:
+    """Wait until a running query has processed ``rows`` input rows, by its progress reports;
+    returns the rows of every epoch reported so far. The query runs on; its failure is re-raised.
+    Spark reports a row as often as an epoch reads it: the query must read its batch once, as
+    ``start_enrich`` and ``start_decode`` do (``start_append`` also probes for emptiness)."""
+    done: dict[int, int] = {}
+    end = time.monotonic() + timeout_s
+    while True:
+        for p in q.recentProgress:
+            if p["numInputRows"]:
+                done[p["batchId"]] = p["numInputRows"]
+        if sum(done.values()) >= rows:
+            return done
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        if not q.isActive or time.monotonic() > end:
+            raise TimeoutError(f"stream {q.id} has processed {sum(done.values())} of {rows} rows")
+        time.sleep(every_s)
