@@ -296,3 +296,55 @@ def test_comments_inside_the_main_element_are_outside():
     page = ("<main><article><p>Story</article><section class='comments'><article><p>Nice</article></section>"
             "<article class='comment'><p>Bad</article></main>")
     assert pages.main_text(*pages.page_lines(page)) == "Story"
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<div class="content with-sidebar"><p>body</p></div>', "body"),
+    ('<article><p>a</p><div class="market-share"><p>b</p></div><section class="related-work">c</section></article>',
+     "a\n\nb\n\nc"),
+    ("<article><h1>t</h1></article><div><p>the body of the text</p></div>", "t\n\nthe body of the text"),
+    ('<div class="page widget"><main><p>x</p></main></div>', "x"),
+    ('<div class="widget"><p>nearly all of the text there is</p></div><p>end</p>', "nearly all of the text there is\n\nend"),
+    ('<article><p>long text of the article</p></article><div class="cookie-notice">c</div><div id="comments">'
+     '<p>a comment that is much longer than the article itself, by far</p></div>', "long text of the article"),
+    ('<article><p>text</p><div class="share-bar">s</div><div class="ad">ad</div></article><p>by</p>', "text"),
+    ('<p>a</p><div class="site-header">h</div><p>b <svg><svg></svg>x</svg> c</p>', "a\n\nb c"),
+    ("<p title='it\"s > x'>a</p><p title=\"open>b</p>", "a\n\nb"),
+])
+def test_no_text_is_lost_or_let_in(page, text):
+    lines, kinds = pages.page_lines(page)
+    assert pages.main_text(lines, kinds) == text
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<a '>" * 200_000 + "<p>x", "</div>" * 150_000, "<div>" * 150_000,
+                                  "<svg>" * 150_000, "<script " * 100_000, "<!--" * 200_000, '<p class="' * 90_000 + ">",
+                                  "<div></p></section>" * 50_000])
+def test_odd_markup_takes_linear_time(page):
+    import time
+    begin = time.process_time()
+    pages.page_lines(page)
+    assert time.process_time() - begin < 5
+
+
+def test_many_equal_lines_are_aligned_in_bounded_memory():
+    import time
+    import tracemalloc
+    same, begin = ["x"] * 30_000, time.process_time()
+    tracemalloc.start()
+    got = pages.shared_lines(["p", *same, "q", *same, "r"], ["s", *same, "t", "x", "u"])
+    assert len(got) == 30_001 and tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
+    assert time.process_time() - begin < 20
+
+
+def test_halving_gives_a_longest_common_subsequence(monkeypatch):
+    rng = np.random.default_rng(2)
+    for n in (40, 700):
+        a, b = (rng.choice(list("abcd"), n).tolist() for _ in range(2))
+        want = len(pages._by_matches(a, b, {x: [j for j, y in enumerate(b) if y == x] for x in set(b)}))
+        assert pages._prefix_lengths(a, b)[-1] == want == len(pages.shared_lines(a * 1, b))
+    a, b = (rng.choice(list("ab"), 3000).tolist() for _ in range(2))      # beyond 200,000 pairs
+    places = sorted(pages.shared_lines(a, b))
+    assert len(places) == pages._prefix_lengths(a, b)[-1]
+    at = iter(b)
+    assert all(a[i] in at for i in places)
