@@ -47,8 +47,8 @@ def test_chains_and_crowded_buckets(spark, block):
     check(hmh.near_duplicates(docs, block=block).collect(), rows)
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_pairs_across_components_are_all_met(spark, block):
+@pytest.mark.parametrize("block,sample", [(1024, 1024), (8, 100)])
+def test_pairs_across_components_are_all_met(spark, block, sample):
     """The last step alone, from single sets as components, finds every pair that shares a band."""
     rows = drifting(60, 2)
     kept = Scratch(spark)
@@ -56,7 +56,7 @@ def test_pairs_across_components_are_all_met(spark, block):
     scanned = staged(hmh._scan(docs, 2, 200), "t")
     nodes = staged(scanned.filter("n > 0").selectExpr("digest", "row as node", "n", "sketch")
                    .dropDuplicates(["digest"]), "t")
-    search = hmh._Search(scanned, nodes, 2, 80, 40, 5, 8, block, kept)
+    search = hmh._Search(scanned, nodes, 2, 80, 40, 5, 5, block, sample, kept)
     alone = spark.createDataFrame([], "node long, root long")
     pairs = search._across(search._open(alone)).union(search._centred(search.members.filter("m = 2"), 0))
     found = {(r.a, r.b) for r in search._verified(pairs.distinct()).collect()}

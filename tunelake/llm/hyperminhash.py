@@ -12,11 +12,15 @@ threshold are verified on their full sets.
 Equal sets meet in one row first, so copies cost one set. Within a band's bucket pairs
 are not listed: every member is compared with one centre, links join members to
 components, and only buckets that still hold several components are looked at again, first
-with other centres, then with all pairs across components, in blocks of ``block`` members. So
-every pair that shares a band is either compared or already in one component.
+with other centres, then for all pairs across components, in blocks of ``block`` members. So
+every pair that shares a band is either compared or already in one component. That last
+step compares inside the task, first registers, then samples (the ``sample`` least hashes of a
+set: the whole set if it has no more), each pair in the first band that it shares, and
+returns only pairs whose samples agree; they are verified like the others.
 
 Chances, for a pair just at a similarity of 0.8: to share no band (1 - 0.8^5)^40 = 1.2e-7; to be
-estimated ``margin`` standard errors too low below 1e-12. Links are never wrong.
+estimated ``margin`` = 5 standard errors too low 3e-7, by registers and, for larger sets, by samples.
+Links are never wrong.
 
 Cases: a null or empty text, or one without words, has the empty set and links with
 nothing (its component is itself); with fewer words than a shingle the whole sequence is the
@@ -135,16 +139,17 @@ class _Search:
     """Candidates, estimates and verified links between the distinct sets of one call."""
 
     def __init__(self, rows: DataFrame, nodes: DataFrame, shingle: int, percent: int, bands: int,
-                 width: int, margin: float, block: int, kept: Scratch):
-        self.rows, self.nodes, self.kept, self.block = rows, nodes, kept, block
-        self.shingle, self.percent, self.registers = shingle, percent, bands * width
+                 width: int, margin: float, block: int, sample: int, kept: Scratch):
+        self.rows, self.nodes, self.kept, self.block, self.sample = rows, nodes, kept, block, sample
+        self.shingle, self.percent, self.width, self.registers = shingle, percent, width, bands * width
         share = percent / 100
-        self.least = share - margin * (share * (1 - share) / self.registers) ** 0.5
+        self.least, self.least_sampled = (share - margin * (share * (1 - share) / k) ** 0.5
+                                          for k in (self.registers, sample))
         # different sets: of n elements at least percent * n / 100 are shared, and not all
         small = F.col("n") * (100 - percent) < percent
         keys = [F.xxhash64(F.lit(j), F.substring("sketch", 1 + 2 * width * j, 2 * width))
                 for j in range(bands)]
-        each = nodes.filter(~small).select("node", "n", F.explode(F.array(*keys)).alias("key"))
+        each = nodes.filter(~small).select("node", "n", F.posexplode(F.array(*keys)).alias("band", "key"))
         shared = each.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
         self.members = kept.put(each.join(shared, "key"), "hmh-members")
 
@@ -173,28 +178,33 @@ class _Search:
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         return both.filter(estimate("s_a", "s_b", "n_a", "n_b") >= self.least).select("a", "b")
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """Links (a, b): the pairs whose full sets are similar enough."""
+    def _sets(self, wanted: DataFrame, most: int | None = None) -> DataFrame:
+        """(node, elements): the sets of ``wanted`` (node), or their ``most`` least elements."""
         shingle = self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 raws = batch.column("text").cast(pa.binary())
                 for i in range(len(raws)):
-                    found = shingles(raws[i].as_py(), shingle).view(np.int64)
+                    found = shingles(raws[i].as_py(), shingle)[:most].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("node").slice(i, 1),
                          pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))],
                         names=["node", "elements"])
 
+        texts = self.rows.select(F.col("row").alias("node"), "text").join(
+            wanted.distinct(), "node", "left_semi")
+        return texts.mapInArrow(run, "node long, elements array<long>")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """Links (a, b): the pairs whose full sets are similar enough."""
         pairs = self.kept.put(pairs, "hmh-pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = self.rows.select(F.col("row").alias("node"), "text").join(wanted, "node", "left_semi")
-        sets = self.kept.put(texts.mapInArrow(run, "node long, elements array<long>"), "hmh-sets")
+        sets = self.kept.put(self._sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))),
+                             "hmh-sets")
         a, b = (sets.select(F.col("node").alias(x), F.col("elements").alias(f"e_{x}")) for x in "ab")
         common = F.size(F.array_intersect("e_a", "e_b"))
         linked = common * 100 >= (F.size("e_a") + F.size("e_b") - common) * self.percent
-        links = self.kept.put(pairs.join(a, "a").join(b, "b").filter(linked).select("a", "b"), "hmh-links")
+        links = staged(pairs.join(a, "a").join(b, "b").filter(linked).select("a", "b"), "hmh-links")
         self.kept.drop("hmh-pairs", "hmh-sets")
         return links
 
@@ -202,21 +212,29 @@ class _Search:
         """Members, with their roots, of the buckets that hold several components (a bucket
         of two has been compared)."""
         named = (self.members.filter("m > 2").join(roots, "node", "left")
-                 .select("key", "node", "n", "m", F.coalesce("root", "node").alias("root")))
+                 .select("band", "key", "node", "n", "m", F.coalesce("root", "node").alias("root")))
         several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(
             "lo < hi").select("key")
         return named.join(several, "key")
 
     def _across(self, members: DataFrame) -> DataFrame:
-        """(a, b): all pairs of one bucket and different roots that the registers do not
-        rule out. A bucket is dealt out in pairs of blocks."""
-        block, registers, least, percent = self.block, self.registers, self.least, self.percent
+        """(a, b): all pairs of one bucket and different roots that neither the registers nor
+        the samples rule out. A bucket is dealt out in pairs of blocks."""
+        block, registers, width, percent, most = (
+            self.block, self.registers, self.width, self.percent, self.sample)
+        least, least_sampled = self.least, self.least_sampled
+        samples = self.kept.put(self._sets(members.select("node"), most), "hmh-samples")
         parts = F.ceil(F.col("m") / block).cast("int")
         dealt = (members.withColumn("p", parts).withColumn("own", F.pmod(F.xxhash64("node"), "p"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
                  .select(F.concat_ws(":", "key", F.least("own", "other"), F.greatest("own", "other"))
-                         .alias("cell"), "own", "node", "n", "root")
-                 .join(self.nodes.select("node", "sketch"), "node"))
+                         .alias("cell"), "band", "own", "node", "n", "root")
+                 .join(self.nodes.select("node", "sketch").join(samples, "node"), "node"))
+
+        def sampled(a: np.ndarray, b: np.ndarray) -> float:
+            """Similarity of two sets of which at least one is larger than its sample."""
+            both = np.union1d(a, b)[:most]
+            return float((np.isin(both, a) & np.isin(both, b)).mean())
 
         def compare(rows: pd.DataFrame) -> pd.DataFrame:
             node, root, own, n = (rows[c].to_numpy() for c in ("node", "root", "own", "n"))
@@ -224,17 +242,34 @@ class _Search:
             found = []
             if len(names) > 1:
                 x = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(-1, registers)
-                most = np.bincount(place).argmax()      # pairs are met from the smaller components
+                elements = rows["elements"].to_list()
+                size = np.array([len(e) for e in elements])
+                start = np.cumsum(size) - size
+                values, ids = np.unique(np.concatenate(elements), return_inverse=True)
+                band, marked = int(rows["band"].iloc[0]), np.zeros(len(values), bool)
+                most_common = np.bincount(place).argmax()      # pairs are met from the smaller components
                 two_blocks = own.min() < own.max()
-                for i in np.flatnonzero(place != most).tolist():
-                    ok = (place != place[i]) & ((place == most) | (node > node[i]))
+                for i in np.flatnonzero(place != most_common).tolist():
+                    ok = (place != place[i]) & ((place == most_common) | (node > node[i]))
                     if two_blocks:
                         ok &= own != own[i]
                     ok &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
                     j = np.flatnonzero(ok)
                     if len(j):
+                        first = (x[j] == x[i]).reshape(len(j), -1, width).all(2).argmax(1)
+                        j = j[first == band]       # the pair's other bands leave it to this one
                         j = j[similarity(x[j], x[i:i + 1], n[j], n[i:i + 1]) >= least]
-                        found += [(min(node[i], b), max(node[i], b)) for b in node[j].tolist()]
+                    if not len(j):
+                        continue
+                    marked[ids[start[i]:start[i] + size[i]]] = True
+                    common = np.add.reduceat(marked[ids].astype(np.int64), start)[j]
+                    marked[:] = False
+                    large = np.maximum(n[j], n[i]) > most
+                    near = 100 * common >= percent * (n[j] + n[i] - common)
+                    for at in np.flatnonzero(large).tolist():
+                        near[at] = sampled(elements[i].view(np.uint64),
+                                           elements[j[at]].view(np.uint64)) >= least_sampled
+                    found += [(min(node[i], b), max(node[i], b)) for b in node[j[near]].tolist()]
             return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,12 +296,12 @@ class _Search:
                 break
             pairs = self._across(members) if turn == turns else self._estimated(self._centred(members, turn))
             links = links.union(self._verified(pairs))
-            self.kept.drop("hmh-open")
+            self.kept.drop(*[x for x in ("hmh-open", "hmh-samples") if x in self.kept.paths])
         return components(links)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 40, width: int = 5,
-                    margin: float = 8, block: int = 1024) -> DataFrame:
+                    margin: float = 5, block: int = 1024, sample: int = 1024) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, ``n_shingles`` (size of its set),
     ``component_id`` (smallest doc_id reachable over links of a Jaccard similarity of at
     least ``percent`` / 100) and ``kept`` (doc_id = component_id)."""
@@ -276,7 +311,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
         F.min(F.struct("row", "n", "sketch")).alias("first"), F.min("doc_id").alias("least_id"))
     nodes = kept.put(sets.select("digest", F.col("first.row").alias("node"), "first.n", "first.sketch",
                                  "least_id"), "hmh-nodes")
-    roots = _Search(rows, nodes, shingle, percent, bands, width, margin, block, kept).roots()
+    roots = _Search(rows, nodes, shingle, percent, bands, width, margin, block,
+                    sample, kept).roots()
     of = (nodes.select("digest", "node", "least_id").join(roots, "node", "left")
           .withColumn("root", F.coalesce("root", "node")))
     named = of.join(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
