@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from tunelake.llm import hyperminhash as hmh
@@ -92,3 +93,13 @@ def test_agreement_by_chance():
                 for k in (n, m))
         hits = (hmh.register(x)[:, None] == hmh.register(y)[None, :]).mean()
         assert abs(hits / hmh.chance(np.array([n]), np.array([m]), 100)[0] - 1) < 0.15
+
+
+def test_the_sieve_keeps_what_is_wanted(spark, monkeypatch):
+    rows = spark.range(5000).select((F.col("id") * 7919 - 9_000_000).alias("row"))
+    wanted = rows.filter("row % 50 = 0").select(F.col("row").alias("node"))
+    for words in (1 << 18, 1):
+        monkeypatch.setattr(hmh, "_WORDS", words)
+        got = hmh._sieved(rows, "row", wanted)
+        assert got.columns == ["row"] and got.filter("row % 50 = 0").count() == wanted.count()
+        assert got.count() <= (wanted.count() + 10 if words > 1 else 5000)

@@ -131,6 +131,25 @@ def _scan(docs: DataFrame, shingle: int, registers: int) -> DataFrame:
     return rows.mapInArrow(run, _ROWS)
 
 
+#: Words of 64 bits in the bitmap of wanted rows: the bound of what ``_sieved`` broadcasts.
+_WORDS = 1 << 18
+
+
+def _sieved(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``table`` without most of the rows whose ``key`` is not among ``wanted`` (node): those whose bit is not
+    set in a bitmap of at most ``_WORDS`` rows. So a join that follows shuffles little more than it keeps;
+    with very many wanted rows the bitmap fills up and lets more pass."""
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(_WORDS * 64))
+
+    bits = wanted.select(place("node").alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(_at & 63 as int)))").alias("_bits"))
+    keyed = table.withColumn("_at", place(key)).withColumn("_word", F.shiftright("_at", 6))
+    return (keyed.join(F.broadcast(bits), "_word")
+            .filter("(shiftrightunsigned(_bits, cast(_at & 63 as int)) & 1) = 1")
+            .drop("_word", "_bits", "_at"))
+
+
 def _near_size(n, m, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
@@ -171,10 +190,13 @@ class _Search:
             return pd.Series(similarity(a, b, n.to_numpy(), m.to_numpy()))
 
         def side(name):
-            return self.nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
-                                     F.col("sketch").alias(f"s_{name}"))
+            mine = _sieved(self.nodes.select("node", "n", "sketch"), "node",
+                           pairs.select(F.col(name).alias("node")))
+            return mine.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                               F.col("sketch").alias(f"s_{name}"))
 
         reach_workers(self.rows.sparkSession)
+        pairs = self.kept.put(pairs, "hmh-centred")
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         return both.filter(estimate("s_a", "s_b", "n_a", "n_b") >= self.least).select("a", "b")
 
@@ -192,8 +214,9 @@ class _Search:
                          pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))],
                         names=["node", "elements"])
 
-        texts = self.rows.select(F.col("row").alias("node"), "text").join(
-            wanted.distinct(), "node", "left_semi")
+        wanted = wanted.distinct()
+        texts = _sieved(self.rows.select(F.col("row").alias("node"), "text"), "node", wanted).join(
+            wanted, "node", "left_semi")
         return texts.mapInArrow(run, "node long, elements array<long>")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -205,7 +228,7 @@ class _Search:
         common = F.size(F.array_intersect("e_a", "e_b"))
         linked = common * 100 >= (F.size("e_a") + F.size("e_b") - common) * self.percent
         links = staged(pairs.join(a, "a").join(b, "b").filter(linked).select("a", "b"), "hmh-links")
-        self.kept.drop("hmh-pairs", "hmh-sets")
+        self.kept.drop(*[x for x in ("hmh-centred", "hmh-pairs", "hmh-sets") if x in self.kept.paths])
         return links
 
     def _open(self, roots: DataFrame) -> DataFrame:
