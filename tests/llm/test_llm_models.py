@@ -48,7 +48,9 @@ def test_code_switch_is_labelled_word_by_word():
     assert model.moves[0, 0] > model.moves[0, 1]
 
 
-def test_marginals_match_plain_forward_backward():
+@pytest.mark.parametrize("few", [16, 1])
+def test_marginals_match_plain_forward_backward(monkeypatch, few):
+    monkeypatch.setattr(langid, "_FEW", few)
     rng = np.random.default_rng(0)
     counts = np.array([1, 200, 64, 65, 3])
     scores, moves = rng.normal(size=(counts.sum(), 3)), rng.normal(size=(3, 3))
@@ -348,3 +350,39 @@ def test_halving_gives_a_longest_common_subsequence(monkeypatch):
     assert len(places) == pages._prefix_lengths(a, b)[-1]
     at = iter(b)
     assert all(a[i] in at for i in places)
+
+
+def test_many_labels_take_memory_of_words_not_of_label_pairs():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    scores, moves = rng.normal(size=(4000, 200)), rng.normal(size=(200, 200))
+    tracemalloc.start()
+    p = langid._marginals(scores, np.array([3000, 1, 999]), moves)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20 and np.allclose(p.sum(1), 1)
+    tracemalloc.stop()
+    words = [f"{a}{b}" for a in "bdfgklmnprstvz" for b in ("ala", "elo", "imi", "oru", "uke")]
+    samples = [(f"l{i:03d}", " ".join(rng.choice([f"{w}{i:03d}".translate(str.maketrans("0123456789", "abcdefghij"))
+                                                  for w in words], 30))) for i in range(200)]
+    model = langid.train(samples, rounds=2)
+    assert model.weights.size <= 1 << 24 and len(model.labels) == 200
+
+
+def test_training_sample_is_bounded_and_prefers_no_copy(spark):
+    rows = [("a", "the same text")] * 400 + [("b", f"text {i}") for i in range(3000)] + [("c", "rare")]
+    got = langid.training_sample(spark.createDataFrame(rows, "lang string, text string").repartition(4), 50)
+    assert Counter(lab for lab, _ in got) == {"a": 1, "b": 50, "c": 1} and len(set(got)) == 52
+
+
+def test_language_stage_keeps_texts_of_several_languages(spark, small_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    parts = {}
+    for r in docs.filter("lang is not null and length(text) between 400 and 900").orderBy("doc_id").collect():
+        parts.setdefault(r.lang, r.text)
+    mixed = " ".join(t[:400] for t in list(parts.values())[:3])
+    one = spark.createDataFrame([(-5, mixed, None, "s", len(mixed), 3)], "doc_id long, text string, lang string, "
+                                "source string, n_chars long, _ int")
+    more = docs.withColumn("n_chars", F.col("n_chars").cast("long")).withColumn("_", F.lit(1)).unionByName(one)
+    kept = corpus_pipeline.language(spark, more, None)
+    assert kept.columns == more.columns and kept.filter("doc_id = -5 and _ = 3").count() == 1
+    scored = langid.identify(more).filter("doc_id = -5").select("language.*").first()
+    assert scored.score < 0.6 < scored.certainty

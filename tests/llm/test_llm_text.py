@@ -250,3 +250,41 @@ def test_rows_whose_short_hashes_collide_keep_their_own_words(spark, doc):
     got = suffixes.remove_repeats(docs).select("doc_id", "repeats.n_bytes", "repeats.n_removed",
                                                "repeats.n_spans", "repeats.kept_sha256")
     same(got.collect(), brute.byte_repeats(rows, 200))
+
+
+def test_mixing_against_a_plain_version(spark):
+    """Weights by a fine search over exponents; each source's last epoch is cut where its quota is met."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "w " * int(rng.integers(1, 9)), f"s{min(int(rng.exponential(2)), 6)}") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs, entropy_share=0.98, max_repeats=3.0, budget_ratio=1.25, block_docs=32).collect()
+    tokens = Counter()
+    for _, text, s in rows:
+        tokens[s] += len(text.split())
+    total = sum(tokens.values())
+    share = np.array([tokens[s] / total for s in sorted(tokens)])
+    best = None
+    for a in np.linspace(0, 1, 200_001):
+        w = share ** a / (share ** a).sum()
+        if -(w * np.log2(w)).sum() <= 0.98 * math.log2(len(share)) and (w / share * 1.25).max() <= 3:
+            best = w
+            break
+    weight = {r.source: r.mix_weight for r in out}
+    assert 0.01 < abs(best - share).max() and np.allclose([weight[s] for s in sorted(tokens)], best, atol=1e-4)
+    # a whole epoch more gives the order of all rows in the epoch that was cut
+    full = mixing.mix(docs, target_entropy=None, max_repeats=None, budget=20.0 * total, block_docs=32).collect()
+    order = {(r.source, r.mix_epoch, r.doc_id): (r.mix_rank.block, r.mix_rank.doc) for r in full}
+    for s in tokens:
+        quota = 1.25 * total * weight[s]
+        whole = int(quota // tokens[s])
+        taken = Counter(r.doc_id for r in out if r.source == s)
+        ids = sorted((d for d, _, x in rows if x == s), key=lambda d: order[s, whole, d])
+        room, cut = quota - whole * tokens[s], set()
+        for d in ids:
+            if room <= 0:
+                break
+            cut.add(d)
+            room -= len(rows[d][1].split())
+        assert taken == Counter({d: whole + (d in cut) for d in ids if whole + (d in cut)})
+        ranks = [(r.mix_epoch, r.mix_rank.block, r.mix_rank.doc) for r in out if r.source == s]
+        assert len(set(ranks)) == len(ranks)

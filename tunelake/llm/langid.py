@@ -5,13 +5,18 @@ the weights of its affixes, character n-grams and whole form (the lexicon), hash
 into a table; labels of neighbouring words are tied by learned transitions, so a
 passage in another language inside a text is labelled as such. Forward-backward
 gives every word's label probabilities; a text's language is the label with the
-largest mean probability, which is its score.
+largest mean probability, which is its score. Its ``certainty`` is the mean of its words'
+largest probabilities: high also for a text that mixes languages, low where no
+known language explains the words.
 
 Training uses a bounded sample: at most ``per_label`` documents of each label (those
 least by a hash of the row) and a passage of at most ``passage`` characters of
-each, at a hashed place. Chains are spliced from passages of different labels,
-so transitions are learned from switches. The table of weights (2^``bits`` rows, one
-column a label) is broadcast; prediction is one pass over whole texts.
+each, at a hashed place. Rows far from the least hashes are filtered out where they are read, so
+no task ranks all rows of a label. Chains are spliced from passages of different labels,
+so transitions are learned from switches. The table of weights (one
+column a label, 2^18 rows, fewer with over 64 labels: at most 2^24 numbers) is broadcast; prediction is one
+pass over whole texts, in batches whose memory does not grow with the labels. At most ``max_labels``
+labels, the commonest, can be learned (a bound of the sample and the table).
 
 Cases: a null text or one without a letter is ``und`` with score 0, and so is
 every text if nothing can be learned; ties go to the label first in text order; runs of
@@ -37,6 +42,7 @@ _WORD = re.compile(r"[^\W\d_]{1,32}")
 _WIDE = 32
 _CHUNK = 64          # words per row of the chain scan
 _BATCH_CHARS = 1 << 19
+_FEW = 16            # labels whose chains are scanned by transfer matrices
 
 
 @dataclass(frozen=True)
@@ -108,6 +114,8 @@ def _marginals(scores: np.ndarray, counts: np.ndarray, moves: np.ndarray) -> np.
     labels = scores.shape[1]
     pot = np.exp(scores - scores.max(1, keepdims=True))
     step = np.exp(moves - moves.max())
+    if labels > _FEW:
+        return _marginals_by_word(pot, counts, step)
     n_rows = -(-counts // _CHUNK)
     first = np.cumsum(n_rows) - n_rows
     chain = np.repeat(np.arange(len(counts)), counts)
@@ -144,6 +152,28 @@ def _marginals(scores: np.ndarray, counts: np.ndarray, moves: np.ndarray) -> np.
     return _unit(alpha[row, col])
 
 
+def _marginals_by_word(pot: np.ndarray, counts: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The same for many labels: a vector a chain, from word to word, no label-by-label matrix a row."""
+    start, order = np.cumsum(counts) - counts, np.argsort(-counts, kind="stable")
+    longest, live = counts[order], len(counts)
+    alpha = np.empty_like(pot)
+    f = np.full((live, pot.shape[1]), 1 / pot.shape[1])
+    lives = []
+    for t in range(int(longest[0]) if live else 0):
+        while longest[live - 1] <= t:
+            live -= 1
+        lives.append(live)
+        at = start[order[:live]] + t
+        f = alpha[at] = _unit((f[:live] @ step) * pot[at])
+    b = np.empty((0, pot.shape[1]))
+    for t in range(len(lives) - 1, -1, -1):
+        b = np.concatenate([b, np.full((lives[t] - len(b), pot.shape[1]), 1 / pot.shape[1])])
+        at = start[order[:lives[t]]] + t
+        alpha[at] *= b
+        b = _unit((pot[at] * b) @ step.T)
+    return _unit(alpha)
+
+
 def train(samples: list[tuple[str, str]], bits: int = 18, chain: int = 48, rounds: int = 6,
           rate: float = 0.3, decay: float = 1e-4, seed: int = 5) -> Model:
     """Fit on (label, passage) pairs by adaptive gradient steps on the chains'
@@ -164,6 +194,7 @@ def train(samples: list[tuple[str, str]], bits: int = 18, chain: int = 48, round
     truth = np.array([parts[i][0] for i in order for _ in parts[i][1]], np.int64)
     n_chains = len(words) // chain
     size = len(labels)
+    bits = min(bits, max(8, 24 - (size - 1).bit_length()))
     weights, moves = np.zeros((1 << bits, size), np.float32), np.zeros((size, size))
     if n_chains == 0 or size < 2:
         return Model(labels, weights, moves)
@@ -172,7 +203,7 @@ def train(samples: list[tuple[str, str]], bits: int = 18, chain: int = 48, round
     index = index.reshape(n_chains, chain)
     ids, there = _feature_ids(list(forms), bits)
     grad_w, grad_m = np.full_like(weights, 1e-6), np.full_like(moves, 1e-6)
-    per_step = max(1, min(256, n_chains // 8 or 1))
+    per_step = max(1, min(256, n_chains // 8 or 1, (1 << 24) // (chain * size * size)))
     for _ in range(rounds):
         for lo in range(0, n_chains, per_step):
             pick = index[lo:lo + per_step]
@@ -216,19 +247,23 @@ def training_sample(docs: DataFrame, per_label: int = 300, passage: int = 1200,
     """At most ``per_label`` passages for each of the ``max_labels`` commonest labels
     of ``docs`` (text, lang): the stated bound of what reaches the driver."""
     known = docs.filter("lang is not null and text is not null").select("lang", "text")
-    common = (known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_labels)
-              .select("lang"))
+    common = (known.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct(
+        F.xxhash64("text"), 0.02).alias("texts")).orderBy(F.desc("count"), "lang").limit(max_labels))
     at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - passage + 1, F.lit(1)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text", F.lit(3)), "piece")
-    rows = (known.join(F.broadcast(common), "lang")
-            .withColumn("piece", F.substring("text", (at + 1).cast("int"), F.lit(passage)))
+    place = F.xxhash64("text", F.lit(3))
+    # the least per_label hashes of different texts lie, but for a chance below 1e-9, among the least 2 * per_label + 200 expected
+    part = F.pmod(place, F.lit(1 << 40)) * F.col("texts") <= F.lit((1 << 40) * (2.0 * per_label + 200))
+    order = Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1 << 40)), "piece")
+    rows = (known.join(F.broadcast(common), "lang").filter(part)
+            .select("lang", F.substring("text", (at + 1).cast("int"), F.lit(passage)).alias("piece"),
+                    place.alias("place")).distinct()
             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
             .select("lang", "piece").orderBy("lang", "piece").collect())
     return [(r.lang, r.piece) for r in rows]
 
 
 def detector(docs: DataFrame, model: Model):
-    """A pandas function text -> (lang_pred, score) with ``model`` broadcast."""
+    """A pandas function text -> (lang_pred, score, certainty) with ``model`` broadcast."""
     reach_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -236,8 +271,9 @@ def detector(docs: DataFrame, model: Model):
         m = shared.value
         for series in batches:
             texts = [t if isinstance(t, str) else "" for t in series]
-            out = [(UNKNOWN, 0.0)] * len(texts)
-            for lo, hi in slices([len(t) for t in texts], _BATCH_CHARS) if m.labels else ():
+            out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+            most = _BATCH_CHARS * min(_FEW, len(m.labels)) // max(1, len(m.labels))
+            for lo, hi in slices([len(t) for t in texts], most) if m.labels else ():
                 found = [_WORD.findall(t.lower()) for t in texts[lo:hi]]
                 use = [i for i, ws in enumerate(found) if any(w.isalpha() or any(map(str.isalpha, w))
                                                               for w in ws)]
@@ -246,12 +282,14 @@ def detector(docs: DataFrame, model: Model):
                 counts = np.array([len(found[i]) for i in use], np.int64)
                 index, forms = pd.factorize(np.array([w for i in use for w in found[i]], object))
                 p = _marginals(_evidence(list(forms), m.weights)[index], counts, m.moves)
-                mean = np.add.reduceat(p, np.cumsum(counts) - counts) / counts[:, None]
-                for i, best, score in zip(use, mean.argmax(1), mean.max(1)):
-                    out[lo + i] = (m.labels[best], min(float(score), 1.0))
-            yield pd.DataFrame(out, columns=["lang_pred", "score"])
+                first = np.cumsum(counts) - counts
+                mean = np.add.reduceat(p, first) / counts[:, None]
+                sure = np.add.reduceat(p.max(1), first) / counts
+                for i, best, score, c in zip(use, mean.argmax(1), mean.max(1), sure):
+                    out[lo + i] = (m.labels[best], min(float(score), 1.0), min(float(c), 1.0))
+            yield pd.DataFrame(out, columns=["lang_pred", "score", "certainty"])
 
-    return F.pandas_udf(detect, "lang_pred string, score double")
+    return F.pandas_udf(detect, "lang_pred string, score double, certainty double")
 
 
 def is_held_out() -> Column:
@@ -261,7 +299,7 @@ def is_held_out() -> Column:
 
 def identify(docs: DataFrame, per_label: int = 300, passage: int = 1200) -> DataFrame:
     """``docs`` (doc_id, text, lang and others) with a struct column ``language``
-    (lang_pred, score), learned from its rows that are not held out."""
+    (lang_pred, score, certainty), learned from its rows that are not held out."""
     seen = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     model = train(training_sample(seen, per_label, passage))
     return docs.withColumn("language", detector(docs, model)(F.col("text").cast("string")))

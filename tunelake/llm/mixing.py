@@ -26,6 +26,8 @@ start with ``mix_``; an input column of such a name is replaced).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,9 +109,12 @@ def weights(sources: DataFrame, budget: float, target_entropy: float | None = No
 
 
 def mix(docs: DataFrame, target_entropy: float | None = 4.0, max_repeats: float | None = 4.0,
-        budget: float | None = None, block_docs: int = 4096, seed: int = 7) -> DataFrame:
+        budget: float | None = None, block_docs: int = 4096, seed: int = 7,
+        entropy_share: float | None = None, budget_ratio: float = 1.0) -> DataFrame:
     """``docs`` (doc_id, text, source and others) with each row repeated as often
-    as it is taken. ``budget`` is in tokens (words); none means all the input has.
+    as it is taken. ``budget`` is in tokens (words); none means ``budget_ratio`` times what the input
+    has. With ``entropy_share`` the target entropy is that share of the most that the sources can have
+    (the logarithm of their number).
 
     Added columns: ``mix_tokens``, ``mix_weight`` (of the source), ``mix_epoch``
     (from 0), ``mix_block`` and ``mix_rank``, by which a source's rows of one epoch are
@@ -122,8 +127,11 @@ def mix(docs: DataFrame, target_entropy: float | None = 4.0, max_repeats: float
     sources = slim.groupBy("mix_src").agg(F.sum("mix_tokens").alias("mix_tokens"),
                                           F.count("*").alias("mix_docs"))
     sources = staged(sources, "mix-sources")
+    tokens, some = sources.filter("mix_tokens > 0").agg(F.sum("mix_tokens"), F.count("*")).first()
     if budget is None:
-        budget = float(sources.agg(F.sum("mix_tokens")).first()[0] or 0)
+        budget = budget_ratio * float(tokens or 0)
+    if entropy_share is not None:
+        target_entropy = entropy_share * math.log2(max(some, 1))
     quotas = staged(
         weights(sources, budget, target_entropy, max_repeats).select(
             "mix_src", "mix_weight", F.ceil(F.col("mix_docs") / block_docs).alias("mix_blocks"),

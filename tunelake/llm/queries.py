@@ -21,7 +21,7 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    mixed = mixing.mix(read(spark, sf_dir, "documents"), entropy_share=0.999, budget_ratio=1.25)
     return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_epoch", "mix_block",
                         F.col("mix_rank.block").alias("mix_rank_block"),
                         F.col("mix_rank.doc").alias("mix_rank_doc"))
