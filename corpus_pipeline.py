@@ -17,14 +17,16 @@ from tunelake.llm import langid, mixing, packing, simhash, substrings
 from tunelake.llm.common import Scratch, read
 from tunelake.llm.queries import tokenizer_path
 
-MIN_LANGUAGE_SCORE = 0.5
+#: Words of a kept text are on average at least as clearly of one known language, each of its own.
+MIN_CERTAINTY = 0.5
 _USED = ("doc_id", "text", "lang", "source")
 
 
 def _lean(docs: DataFrame) -> DataFrame:
     """What operators use, and the other columns out of their way in ``_rest``."""
     rest = [F.col(c) for c in docs.columns if c not in _USED]
-    return docs.select(*_USED, F.struct(*rest, F.lit(1).alias("_")).alias("_rest"))
+    filler = "_" * (1 + max(map(len, docs.columns)))      # a struct needs a field; no column has this name
+    return docs.select(*_USED, F.struct(*rest, F.lit(1).alias(filler)).alias("_rest"))
 
 
 def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -34,10 +36,10 @@ def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a letter whose best language has at least half the words."""
+    """Keeps documents with a letter whose words known languages explain, be it one or several."""
     known = langid.identify(_lean(docs)).filter(
         (F.col("language.lang_pred") != langid.UNKNOWN)
-        & (F.col("language.score") >= MIN_LANGUAGE_SCORE))
+        & (F.col("language.certainty") >= MIN_CERTAINTY))
     return _back(known, docs)
 
 
