@@ -1,11 +1,11 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table applies a fast pseudo-rotation (three rounds of random signs and a Hadamard
-transform) and assigns a vector to the nearest signed axis; for many vectors two
-rotations are combined to one bucket. A query looks into the buckets of its ``probes``
-nearest axes in each of ``tables`` tables, or of ``_WIDER`` times as many nearest pairs of
-axes, so that two rotations find what one does; every vector found there is ranked
-by its exact inner product.
+transform) and assigns a vector to the nearest signed axis. A query looks into the buckets of its
+``probes`` nearest axes in each of ``tables`` tables; every vector found there is ranked
+by its exact inner product. ``turns=2`` combines two rotations to one bucket, with ``_WIDER`` times
+as many nearest pairs of axes to look into; that is the caller's choice and never made by the
+size of the table.
 
 Equal vectors are one index entry, whatever their number: each keeps its ``k`` + 1
 smallest ids, which is all that a list of ``k`` can need. Buckets are dealt out in
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 from tunelake.llm.common import fan_out, map_batches, staged
 
-#: Probes with two rotations for each with one: by measured recall (README). More
-#: rotations are not used, since their recall is not measured.
-_WIDER, _MOST_TURNS = 32, 2
+#: Probes with two rotations for each with one: by measured recall (README).
+_WIDER = 32
 _COSTS = 1 << 21     # bucket costs held at once while probing
 
 
@@ -71,23 +70,14 @@ def _buckets(x: np.ndarray, table: int, turns: int, probes: int, seed: int) -> n
     return code
 
 
-def turns_for(n: int, dim: int, per_bucket: int = 200) -> int:
-    """Rotations combined to a bucket: the most that leave ``per_bucket`` vectors in a mean
-    bucket, at least one and at most ``_MOST_TURNS``."""
-    axes, turns = 2 * dim, 1
-    while turns < _MOST_TURNS and n / axes ** (turns + 1) >= per_bucket:
-        turns += 1
-    return turns
-
-
 def probes_for(turns: int, dim: int, probes: int) -> int:
     """Buckets a query looks into in each table of ``turns`` rotations."""
     return min(probes * _WIDER ** (turns - 1), (2 * dim) ** turns)
 
 
 def _hashed(rows: DataFrame, top: float, lift: bool, size: int, tables: int, turns: int,
-            probes: int, seed: int) -> DataFrame:
-    """(vec_id, raw, buckets): the vector as float32 bytes and, table by table, ``probes``
+            probes: int, seed: int, kind: str) -> DataFrame:
+    """(vec_id, raw, buckets): the vector's bytes (of type ``kind``) and, table by table, ``probes``
     buckets."""
     pairs = min(probes, 2 * size) ** min(turns, 2)
     rows_at_once = max(1, min(2048, _COSTS // pairs))
@@ -96,7 +86,7 @@ def _hashed(rows: DataFrame, top: float, lift: bool, size: int, tables: int, tur
         for pdf in batches:
             for lo in range(0, len(pdf), rows_at_once):
                 part = pdf.iloc[lo:lo + rows_at_once]
-                x = np.stack(part["vec"].to_list()).astype("<f4")
+                x = np.stack(part["vec"].to_list()).astype(kind)
                 wide = np.zeros((len(x), size))
                 wide[:, :x.shape[1]] = x / top
                 if lift and probes == 1:     # an index entry; a query has 0 here
@@ -110,10 +100,18 @@ def _hashed(rows: DataFrame, top: float, lift: bool, size: int, tables: int, tur
                        "vec_id long, raw binary, buckets array<long>")
 
 
+_KINDS = {"<f4": "float", "<f8": "double"}
+
+
+def _kind(vectors: DataFrame, vec_col: str) -> str:
+    """Components are kept as they are: floats as floats, all other numbers as doubles."""
+    return "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, vec) of the rows that take part."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
-                          F.col(vec_col).cast("array<float>").alias("vec"))
+                          F.col(vec_col).cast(f"array<{_KINDS[_kind(vectors, vec_col)]}>").alias("vec"))
     return rows.filter("vec_id is not null and size(vec) > 0").filter(
         F.exists("vec", lambda c: c != 0) & F.forall("vec", lambda c: c.isNotNull()
                                                       & ~F.isnan(c) & (F.abs(c) != float("inf"))))
@@ -121,10 +119,13 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 8, probes: int = 16,
            block: int = 4096, seed: int = 11, id_col: str = "vec_id",
-           vec_col: str = "embedding", turns: int | None = None) -> DataFrame:
+           vec_col: str = "embedding", turns: int = 1) -> DataFrame:
     """(query_id, rank, vec_id, score): for each usable row of ``vectors`` for which
     ``is_query`` (over ``vec_id``) holds, its ``k`` nearest other ids. ``probes`` is for
-    one rotation; ``turns`` rotations are combined (none: as ``turns_for`` says)."""
+    one rotation; ``turns`` rotations (1 or 2) are combined."""
+    if turns not in (1, 2):
+        raise ValueError("turns must be 1 or 2")
+    kind = _kind(vectors, vec_col)
     rows = usable(vectors, id_col, vec_col)
     dims = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d"))
     common = dims.first()
@@ -142,23 +143,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 8, p
             .groupBy("vec").agg(F.min("vec_id").alias("vec_id"),
                                 F.array_sort(F.collect_list("vec_id")).alias("ids")), "ann-entries")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, c: a + c.cast("double") * c))
-    lo, top, n = entries.agg(F.min(norm), F.max(norm), F.count("*")).first()
+    lo, top = entries.agg(F.min(norm), F.max(norm)).first()
     lift = lo < top * 0.999
     size = 1 << (dim + lift - 1).bit_length() if dim + lift > 1 else 1
-    turns = turns or turns_for(n, size)
     probes = probes_for(turns, size, probes)
 
     def placed(hashed: DataFrame, per: int) -> DataFrame:
         return hashed.select("vec_id", "raw", F.posexplode("buckets").alias("at", "bucket")).select(
             "vec_id", "raw", F.floor(F.col("at") / per).cast("int").alias("table"), "bucket")
 
-    index = staged(_hashed(entries, top, lift, size, tables, turns, 1, seed), "ann-index")
+    index = staged(_hashed(entries, top, lift, size, tables, turns, 1, seed, kind), "ann-index")
     asked = (rows.filter(is_query).select("vec_id", "vec").distinct()
              .withColumnRenamed("vec_id", "query_id"))
     query_of = staged(asked.join(entries.select("vec", "vec_id"), "vec").select("query_id", "vec_id"),
                       "ann-queries")
     wanted = entries.join(query_of.select("vec_id").distinct(), "vec_id", "left_semi")
-    probing = staged(_hashed(wanted, top, lift, size, tables, turns, probes, seed), "ann-probes")
+    probing = staged(_hashed(wanted, top, lift, size, tables, turns, probes, seed, kind), "ann-probes")
     by = ["table", "bucket"]
     stored, sent = placed(index, 1), placed(probing, probes)
     blocks = staged(stored.groupBy(*by).agg(F.ceil(F.count("*") / block).cast("int").alias("ni"))
@@ -191,7 +191,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 8, p
             key = rows["cell"].to_numpy()
             cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(rows)]
             asks, ids = rows["asks"].to_numpy(bool), rows["vec_id"].to_numpy()
-            x = np.frombuffer(b"".join(rows["raw"]), "<f4").reshape(-1, dim).astype(np.float64)
+            x = np.frombuffer(b"".join(rows["raw"]), kind).reshape(-1, dim).astype(np.float64)
             for lo, hi in zip(cut, cut[1:]):
                 ask = asks[lo:hi]
                 if ask.any() and not ask.all():
