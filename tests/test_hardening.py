@@ -156,8 +156,10 @@ def test_live_feed_command(spark, tmp_path):
 
 
 def test_folder_topic_refuses_a_start_it_cannot_honour(spark):
-    with pytest.raises(ValueError, match="broker"):
+    with pytest.raises(ValueError, match="checkpoint"):
         read_topic(spark, scratch_path(spark, "topic"), starting_offsets="latest")
+    with pytest.raises(ValueError, match="earliest"):
+        read_topic(spark, scratch_path(spark, "topic"), starting_offsets='{"t":{"0":5}}')
 
 
 def test_enrich_without_a_target_is_refused_at_once(spark):

@@ -89,13 +89,13 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
         return r.load().select(*[F.col(c).cast("string").alias(c) for c in cols])
     if starting_offsets not in (None, "earliest", "latest"):
         raise ValueError(f"a folder topic starts at 'earliest' or 'latest', not at {starting_offsets!r}")
+    if starting_offsets == "latest" and checkpoint is None:
+        raise ValueError("a folder topic is read from its end only with a checkpoint to keep the start in")
     r = spark.readStream.schema("value string")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
     lines = r.text(topic)
     if starting_offsets == "latest":
-        if checkpoint is None:
-            raise ValueError("a folder topic is read from its end only with a checkpoint to keep the start in")
         end = _start_mark(spark, topic, checkpoint)
         time_of = F.unix_millis("_metadata.file_modification_time")
         lines = lines.filter((time_of > end["time"]) | (
