@@ -395,3 +395,16 @@ def test_language_stage_keeps_texts_of_several_languages(spark, small_dir):
     assert kept.columns == more.columns and kept.filter("doc_id = -5 and _ = 3").count() == 1
     scored = langid.identify(more).filter("doc_id = -5").select("language.*").first()
     assert scored.score < 0.6 < scored.certainty
+
+
+@pytest.mark.parametrize("name", ["op1_neighbours", "op2_mixing", "op6_simhash", "op11_lexical", "op12_hyperminhash",
+                                  "op13_negatives"])
+def test_nothing_is_left_in_the_scratch_folder(spark, small_dir, name):
+    import os
+    from tunelake.llm.common import staging
+    from tunelake.session import checkpoint_root
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(os.listdir(root))
+    with staging(spark):
+        QUERIES[name](spark, small_dir).collect()
+    assert set(os.listdir(root)) <= before

@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,10 +23,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Within it, every table that operators stage for a result that is read later is noted; on leaving, the
+    results must have been read or stored, and these tables are removed. Without it they stay
+    (a result may be read at any time) until the scratch folder is cleared."""
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in paths:
+            remove_path(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back: a
-    lineage cut that survives lost executors."""
+    lineage cut that survives lost executors. For what a result reads lazily; see ``staging``."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _scopes.get()[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import staged
+from tunelake.llm.common import Scratch, staged
+from tunelake.sinks.publish import remove_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,11 +31,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b): comparable ids, a <> b. Returns (node, root): every node
     that is not the smallest of its component, with that smallest node."""
-    now, before = staged(edges.select("a", "b").distinct(), "cc"), None
+    spark, kept, n = edges.sparkSession, Scratch(edges.sparkSession), 0
+    now, before = kept.put(edges.select("a", "b").distinct(), "cc-0"), None
     while True:
         mark = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"),
                              F.expr("sum(xxhash64(a, b) % 1000003)")).first())
         if mark == before or not mark[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = mark
-        now = staged(_small_star(_large_star(now)), "cc")
+            out = staged(now.select(F.col("a").alias("node"), F.col("b").alias("root")), "cc")
+            remove_path(spark, kept.paths[f"cc-{n}"])
+            return out
+        before, n = mark, n + 1
+        now = kept.put(_small_star(_large_star(now)), f"cc-{n}")
+        remove_path(spark, kept.paths[f"cc-{n - 1}"])
