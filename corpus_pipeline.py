@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import langid, mixing, packing, simhash, substrings
-from tunelake.llm.common import Scratch, read
+from tunelake.llm.common import Scratch, read, staging
 from tunelake.llm.queries import tokenizer_path
 
 #: Words of a kept text are on average at least as clearly of one known language, each of its own.
@@ -92,7 +92,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, kept = read(spark, sf_dir, "documents"), Scratch(spark)
     for i, (_, stage) in enumerate(STAGES[:-1]):
-        docs = kept.put(stage(spark, docs, sf_dir), f"stage-{i}")
+        with staging(spark):
+            docs = kept.put(stage(spark, docs, sf_dir), f"stage-{i}")
         if i:
             kept.drop(f"stage-{i - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
