@@ -121,3 +121,44 @@ def jaccard_components(rows, percent=80):
     return [(rows[i][0], len(sets[i]),
              min((rows[j][0] for j in range(len(rows)) if label[j] == label[i]
                   and rows[j][0] is not None), default=None)) for i in range(len(rows))]
+
+
+def lattice_scores(rows, pieces, p, train, rounds=3, prior=1000.0):
+    """log10 probability of every text: expectation-maximisation over all segmentations of the training
+    words into ``pieces`` (name: id) or bytes (ids after them), then the sum over all segmentations.
+    ``p`` holds the starting probabilities, the end's last; ``rows`` are (doc_id, text)."""
+    first_byte, longest = len(p) - 257, max(map(len, pieces))
+
+    def arcs(text):
+        for j in range(1, len(text) + 1):
+            yield j - 1, j, [first_byte + b for b in text[j - 1].encode()]
+            for i in range(max(0, j - longest), j):
+                if text[i:j] in pieces:
+                    yield i, j, [pieces[text[i:j]]]
+
+    def forward(text, p):
+        f = [1.0] + [0.0] * len(text)
+        for i, j, ids in arcs(text):
+            f[j] += f[i] * math.prod(p[k] for k in ids)
+        return f
+
+    def low(text):
+        return words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+    seen = Counter(w for i, (_, t) in enumerate(rows) if train[i] for w in low(t))
+    now = list(p)
+    for _ in range(rounds):
+        use = [prior * x for x in p]
+        for w, c in seen.items():
+            text = "\u2581" + w
+            f, b = forward(text, now), [0.0] * len(text) + [1.0]
+            for i, j, ids in sorted(arcs(text), key=lambda a: -a[1]):
+                b[i] += b[j] * math.prod(now[k] for k in ids)
+            for i, j, ids in arcs(text):
+                share = c * f[i] * math.prod(now[k] for k in ids) * b[j] / f[-1]
+                for k in ids:
+                    use[k] += share
+        use[-1] += sum(train)
+        now = [x / sum(use) for x in use]
+    return [sum(math.log10(forward("\u2581" + w, now)[-1]) for w in low(t)) + math.log10(now[-1])
+            for _, t in rows]

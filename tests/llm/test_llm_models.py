@@ -120,6 +120,25 @@ def test_scores(messy_docs, messy, no_docs, frequent):
     assert scoring.score(no_docs, tokenizer_path(PIECES)).count() == 0
 
 
+def test_scores_match_a_plain_lattice_model(spark):
+    """The whole score: training words, three rounds of fitting, the sum over all segmentations."""
+    import brute
+    import sentencepiece
+    path = tokenizer_path(PIECES)
+    rows = [(i, t) for i, t in enumerate(["the cat sat", "The CAT é x²", "unseen wörds here", None, "", "a a a b",
+                                          "the the cats", "zzzqqq \U0001f600", "sat on the mat", "on on"])]
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (
+        model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    _, log_p = scoring.load_vocabulary(path)
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
+    want = brute.lattice_scores(rows, {x: i for i, x in enumerate(names)}, np.exp(log_p).tolist(), train)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in scoring.score(docs, path, frequent=3).collect()}
+    assert len(names) + 257 == len(log_p) and any(train) and not all(train)
+    assert all(abs(got[i] - w) < 1e-6 for i, w in enumerate(want))
+
+
 def test_fitted_weights_score_better(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     total = [scoring.score(docs, tokenizer_path(PIECES), rounds=k).filter("held_out")
