@@ -215,8 +215,9 @@ class _Search:
                         names=["node", "elements"])
 
         wanted = wanted.distinct()
+        # an inner join: Spark would move a semi join before the sieve
         texts = _sieved(self.rows.select(F.col("row").alias("node"), "text"), "node", wanted).join(
-            wanted, "node", "left_semi")
+            wanted, "node")
         return texts.mapInArrow(run, "node long, elements array<long>")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
