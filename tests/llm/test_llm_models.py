@@ -251,6 +251,31 @@ def test_shared_lines_are_deleted_without_an_article(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_every_page_is_aligned_and_template_inside_articles_is_deleted(spark):
+    """Before, the alignment saw no page whose article holds its text."""
+    def page(i, *more):
+        return (f"<nav><p>Menu</p></nav><article><h1>Title {i}</h1><p>Read more in our app</p><p>Body {i}</p>"
+                + "".join(f"<p>{x}</p>" for x in more) + "</article>")
+
+    def want(i, *more):
+        return "\n\n".join([f"Title {i}", f"Body {i}", *more])
+
+    app = "Read more in our app"
+    quote = {5: ["As they said"], 6: ["As they said"]}          # neighbours that quote one line keep it
+    rows = [(i, f"https://h.org/{i:02d}", page(i, *quote.get(i, ()))) for i in range(20)]
+    rows += [(20 + i, f"https://h.org/zz{i}", page(99, "last")) for i in range(2)]        # copies stay whole
+    rows += [(30 + i, f"https://few.org/{i}", page(i)) for i in range(4)]                 # too few to tell
+    rows += [(40 + i, f"https://same.org/{i}", page(7, "same")) for i in range(12)]       # a group of copies
+    rows += [(60, "https://h.org/10/x", f"<article><p>{app}</p></article>")]              # nothing else: kept
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == want(i, *quote.get(i, ())) for i in range(20))
+    assert got[20] == got[21] == want(99, "last") and got[60] == app
+    assert all(got[30 + i] == f"Title {i}\n\n{app}\n\nBody {i}" for i in range(4))
+    assert all(got[40 + i] == f"Title 7\n\n{app}\n\nBody 7\n\nsame" for i in range(12))
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(100):

@@ -2,19 +2,21 @@
 
 A page is cut into text lines, one per block element. Pages of a host are ordered by
 URL path; each page is paired with whichever of its two neighbours has the path at the
-least edit distance (ties: the earlier). The two pages' lines are aligned by a longest
+least edit distance (ties: the earlier). The lines of every page are aligned with its mate's by a longest
 common subsequence, and shared lines are deleted: they are the host's template.
 
-What a page itself declares comes first. Lines inside an article or main element are its
-text and are never taken for template, since neighbouring pages may carry copies of one
-article (see the README for figures); but where the lines outside it that the pair does not share hold more
-text, they are text too. Lines inside menus, page headers and footers, sidebars, forms,
+What a page itself declares is checked after that. Lines inside an article or main element may be shared
+because neighbouring pages carry copies of one article, or quote one line (see the README for figures).
+So a shared line there is template only if, on a host of ``_FEW`` pages or more, three quarters of the
+pages share it with mates that are no copies: pairs that share at most half of the article's lines.
+An article of nothing but such lines keeps them. Where the lines outside the article that the pair does not
+share hold more text than it, they are text too. Lines inside menus, page headers and footers, sidebars, forms,
 notices, adverts and comments are deleted whether shared or not. Elements say so by their
 tag, or by a class, id or role of which every part is such a word or a neutral one
 (``cookie-notice``, ``site-header``; not ``with-sidebar`` or ``market-share``); a block that is marked so
 only by its class and holds the main element, or most of the page's text and all of its article, is not
 deleted; adverts, notices and comments always are.
-So the alignment decides on lines that no such element claims.
+So the alignment decides on lines that no such element claims, and on template inside articles.
 
 The order is a range sort with a global rank, and pairs are joins on the rank: no host
 is ever in one task.
@@ -72,6 +74,10 @@ _FIRM = frozenset(
     "newsletter promo promoted replies reply respond sponsor sponsored".split())
 
 ARTICLE, PLAIN, OUTSIDE = 0, 1, 2
+#: On a host of fewer pages no line inside an article is taken for template (fixed value).
+_FEW = 10
+#: Words of 64 bits in the bitmap of pages that lose a line: the bound of what is broadcast.
+_WORDS = 1 << 18
 
 
 def _tags(text: str) -> Iterator[tuple[int, int, str, bool, str]]:
@@ -304,10 +310,12 @@ def _holds_text(lines: list[str], kinds: list[int]) -> bool:
     return ARTICLE in kinds and size[0] >= size[1]
 
 
-def main_text(lines: list[str], kinds: list[int], shared: Collection[int] = ()) -> str:
-    """The article's lines; the plain lines that are not shared if they hold more text, or
-    there is no article."""
-    left = [OUTSIDE if k == PLAIN and i in shared else k for i, k in enumerate(kinds)]
+def main_text(lines: list[str], kinds: list[int], deleted: Collection[int] = ()) -> str:
+    """The article's lines; the plain lines too if they hold more text, or there is no article. Lines at the
+    places ``deleted`` are left out, but not all of an article."""
+    left = [OUTSIDE if i in deleted else k for i, k in enumerate(kinds)]
+    if ARTICLE not in left:
+        left = [k if k == ARTICLE else x for k, x in zip(kinds, left)]
     wanted = {ARTICLE} if _holds_text(lines, left) else {ARTICLE, PLAIN}
     return "\n\n".join(x for x, k in zip(lines, left) if k in wanted)
 
@@ -321,8 +329,7 @@ def _place(url: str | None) -> tuple[str | None, str]:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """A row per page: its place, a hash of every line, and its text if an article or main
-    element holds it; else ``lines`` and ``kinds`` for the alignment to decide on."""
+    """A row per page: its place, and a hash, the kind and the text of every line (no text of lines outside)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for pdf in batches:
@@ -330,22 +337,19 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 part = pdf.iloc[lo:lo + 512]
                 cut = [page_lines(h) for h in part["html"]]
                 where = [_place(u) for u in part["url"]]
-                said = [_holds_text(*c) for c in cut]
                 yield pd.DataFrame({
                     "page_id": part["page_id"].astype("Int64").array, "url": part["url"].array,
                     "host": [h for h, _ in where], "path": [p for _, p in where],
                     "marks": [np.array([xxhash.xxh3_64_intdigest(x) for x in ls], np.uint64)
                               .view(np.int64) for ls, _ in cut],
-                    "text": [main_text(*c) if a else None for c, a in zip(cut, said)],
-                    "lines": [None if a else ls for (ls, _), a in zip(cut, said)],
-                    "kinds": [None if a else ks for (_, ks), a in zip(cut, said)]})
+                    "kinds": [ks for _, ks in cut],
+                    "lines": [["" if k == OUTSIDE else x for x, k in zip(*c)] for c in cut]})
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     return map_batches(rows, run, "page_id long, url string, host string, path string, "
-                                  "marks array<long>, text string, lines array<string>, "
-                                  "kinds array<int>")
+                                  "marks array<long>, kinds array<int>, lines array<string>")
 
 
 def nearest_pages(places: DataFrame) -> DataFrame:
@@ -373,29 +377,78 @@ def nearest_pages(places: DataFrame) -> DataFrame:
     return mate(-1).union(mate(1)).groupBy("row").agg(F.min("m").alias("m")).select("row", "m.mate")
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Every page that has a mate, aligned with it by the hashes of their lines: ``row``, ``host``, the places
+    of shared ``plain`` lines, the places and ``marks`` of shared ``article`` lines, and whether
+    the mate is a ``copy``: more than half of the article's lines are shared."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for row, host, kinds, marks, mate in zip(
+                    *(pdf[c] for c in ("row", "host", "kinds", "marks", "mate_marks"))):
+                marks = list(marks)
+                same = sorted(shared_lines(marks, list(mate)))
+                plain, article = ([i for i in same if kinds[i] == k] for k in (PLAIN, ARTICLE))
+                copy = 2 * len(article) > sum(k == ARTICLE for k in kinds)
+                found.append((row, host, plain, article, [marks[i] for i in article], copy))
+            yield pd.DataFrame(found, columns=["row", "host", "plain", "article", "marks", "copy"])
+
+    pairs = nearest_pages(rows.select("row", "host", "path", "page_id"))
+    mates = pairs.join(rows.select(F.col("row").alias("mate"), F.col("marks").alias("mate_marks")),
+                       "mate").select("row", "mate_marks")
+    both = rows.select("row", "host", "kinds", "marks").join(mates, "row")
+    return map_batches(both, run, "row long, host string, plain array<int>, article array<int>, "
+                                  "marks array<long>, copy boolean").filter(
+        (F.size("plain") > 0) | (F.size("article") > 0))
+
+
+def _deleted(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """(row, deleted): the places of a page's shared lines that are template, for pages that have some."""
+    article = shared.select("row", "host", "copy", F.explode(F.arrays_zip("article", "marks")).alias("x")).select(
+        "row", "host", "copy", F.col("x.article").alias("place"), F.col("x.marks").alias("mark"))
+    sizes = rows.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("pages")).filter(
+        F.col("pages") >= _FEW)
+    seen = (article.filter("not copy").select("host", "mark", "row").distinct()
+            .groupBy("host", "mark").agg(F.count("*").alias("seen")))
+    template = (seen.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).filter("4 * seen >= 3 * pages")
+                .select("_host", F.col("mark").alias("_mark")))
+    inside = article.join(template, F.col("host").eqNullSafe(F.col("_host"))
+                          & (F.col("mark") == F.col("_mark")), "left_semi").select("row", "place")
+    return (shared.select("row", F.explode("plain").alias("place")).union(inside)
+            .groupBy("row").agg(F.collect_list("place").alias("deleted")))
+
+
+def _with_deleted(rows: DataFrame, deleted: DataFrame) -> DataFrame:
+    """``rows`` with their ``deleted`` places, null if none. Only the rows whose bit is set in a bitmap of
+    those that lose lines are shuffled with their text; a full bitmap lets more pass."""
+    at = F.pmod(F.xxhash64("row"), F.lit(_WORDS * 64))
+    bits = deleted.select(at.alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(_at & 63 as int)))").alias("_bits"))
+    keyed = (rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6))
+             .join(F.broadcast(bits), "_word", "left")
+             .withColumn("_hit", F.expr(
+                 "coalesce((shiftrightunsigned(_bits, cast(_at & 63 as int)) & 1) = 1, false)")))
+    hit, whole = (keyed.filter(c).select(*rows.columns) for c in ("_hit", "not _hit"))
+    return hit.join(deleted, "row", "left").unionByName(
+        whole.withColumn("deleted", F.lit(None).cast("array<int>")))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): ``page_id``, ``url``, ``text`` and
     ``n_chars``.
 
-    Lines are aligned by their hashes, so a pair costs eight bytes a line; only pages
-    whose own elements do not hold the text take part as the first of a pair.
+    Every page is aligned with its mate by the hashes of their lines, so a pair costs eight bytes a line.
     """
     rows = staged(_parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages-lines")
-    open_rows = rows.filter("lines is not null")
-    pairs = (nearest_pages(rows.select("row", "host", "path", "page_id"))
-             .join(open_rows.select("row"), "row", "left_semi"))
-    mates = (pairs.join(rows.select(F.col("row").alias("mate"), F.col("marks").alias("mate_marks")),
-                        "mate").select("row", "mate_marks"))
+    deleted = staged(_deleted(rows, staged(_shared(rows), "pages-shared")), "pages-deleted")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            text = [main_text(list(x), list(k), () if m is None else shared_lines(list(h), list(m)))
-                    for x, k, h, m in zip(*(pdf[c] for c in ("lines", "kinds", "marks", "mate_marks")))]
+            text = [main_text(list(x), list(k), () if d is None else set(d))
+                    for x, k, d in zip(*(pdf[c] for c in ("lines", "kinds", "deleted")))]
             yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"],
                                 "text": text})
 
-    joined = open_rows.join(mates, "row", "left").select("page_id", "url", "lines", "kinds", "marks",
-                                                         "mate_marks")
-    aligned = map_batches(joined, run, "page_id long, url string, text string")
-    told = rows.filter("lines is null").select("page_id", "url", "text")
-    return told.union(aligned).withColumn("n_chars", F.length("text").cast("long"))
+    told = _with_deleted(rows.select("row", "page_id", "url", "lines", "kinds"), deleted)
+    texts = map_batches(told.drop("row"), run, "page_id long, url string, text string")
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
