@@ -168,3 +168,25 @@ def test_a_bucketed_lookup_is_not_shuffled(spark):
         spark.sql("DROP TABLE lookup_plan_test")
     assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
     assert {r.event_id: r.track_name for r in rows} == {0: "t0000", 4999: "t4999", 5000: "t0000", 19999: "t4999"}
+
+
+def test_a_small_stored_lookup_is_not_broadcast(spark):
+    """Before, every epoch sent a lookup below the broadcast threshold through the driver."""
+    lookup = spark.range(50).select(F.col("id").alias("k"), F.format_string("t%02d", "id").alias("track_name"))
+    indexed = store_lookup(index_lookup(lookup, "k"), "small_lookup_test", scratch_path(spark, "lookup"), 8)
+    events = spark.range(3000).select(F.when(F.col("id") < 1000, F.col("id")).alias("event_id"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        picked = keyed_pick(events, indexed, F.col("event_id"), indexed.count())
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        rows = picked.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.sql("DROP TABLE small_lookup_test")
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.event_id: r.track_name for r in rows if r.event_id is not None} == {
+        i: f"t{i % 50:02d}" for i in range(1000)}
+    keyless = [r for r in rows if r.event_id is None]
+    assert len(keyless) == 2000 and all(r.track_name is None for r in keyless)
+    assert len({r.task for r in keyless}) == 8             # not all in one task

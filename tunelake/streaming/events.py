@@ -95,12 +95,12 @@ def index_lookup(lookup: DataFrame, key: str, col: str = "track_name") -> DataFr
 
 
 def store_lookup(indexed: DataFrame, table: str, path: str, buckets: int = 32) -> DataFrame:
-    """J1 at scale: the index as a table below ``path``, bucketed and sorted by ``idx``. A join on ``idx``
-    shuffles only the events, never the lookup, however large it is; while it is small
-    Spark broadcasts it. ``table`` is its name in the session's catalog."""
-    (indexed.write.mode("overwrite").option("path", path).bucketBy(buckets, "idx").sortBy("idx")
-     .saveAsTable(table))
-    return indexed.sparkSession.table(table)
+    """J1 at scale: the index as a table below ``path``, bucketed and sorted by ``idx``, a file a bucket. A
+    join on ``idx`` shuffles only the events, never the lookup, however large or small it is: a broadcast would
+    send it through the driver in every epoch. ``table`` is its name in the session's catalog."""
+    (indexed.repartition(buckets, "idx").write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, "idx").sortBy("idx").saveAsTable(table))
+    return indexed.sparkSession.table(table).hint("merge")
 
 
 def random_key(n: int, seed: int) -> Column:
@@ -116,10 +116,11 @@ def keyed_pick(events: DataFrame, indexed: DataFrame, key: Column, n: int,
     """Attach ``indexed[pmod(key, n)]`` to each event (deterministic pick).
 
     An empty lookup (``n == 0``) gives every event a null name instead of a
-    division by zero.
+    division by zero. Events without a key get numbers below 0, which no row of the
+    lookup has, so that a shuffle spreads them.
     """
     idx = F.pmod(key, F.lit(n)) if n > 0 else F.lit(None).cast("bigint")
-    picked = events.withColumn("_idx", idx)
+    picked = events.withColumn("_idx", F.coalesce(idx, -1 - F.floor(F.rand(0) * 1024)))
     return (picked.join(indexed.withColumnRenamed("idx", "_idx"), "_idx", "left")
                   .drop("_idx"))
 
